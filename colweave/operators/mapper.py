@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from colweave import schemas as S
@@ -24,8 +24,6 @@ from colweave.functions.sqltext import dynamic_sql_marker, marker_excerpt
 from colweave.session import KEY
 
 CODES = 8  # room for one transform code below the ordinal
-NO_STRING = F.lit(None).cast("string")
-NO_LONG = F.lit(None).cast("bigint")
 
 
 def _sides(tables: DataFrame, parent: str, fqn: str, real: str) -> DataFrame:
@@ -230,30 +228,33 @@ def attach_orphan_reason(columns: DataFrame, diagnostics: DataFrame) -> DataFram
 
 
 UNRESOLVED = {
-    "section": F.lit(0),
-    "ord": NO_LONG,
-    "src_ord": NO_LONG,
-    "reason": NO_STRING,
-    "target_column": NO_STRING,
-    "rel_type": NO_STRING,
-    "source_parent_id": NO_STRING,
-    "line": NO_LONG,
-    "col": NO_LONG,
-    "parser_message": NO_STRING,
-    "marker": NO_STRING,
-    "fragment_preview": NO_STRING,
-    "detail": NO_STRING,
+    "section": "int",
+    "ord": "bigint",
+    "src_ord": "bigint",
+    "reason": "string",
+    "target_column": "string",
+    "rel_type": "string",
+    "source_parent_id": "string",
+    "line": "bigint",
+    "col": "bigint",
+    "parser_message": "string",
+    "marker": "string",
+    "fragment_preview": "string",
+    "detail": "string",
 }
 
 
-def _reason_rows(df: DataFrame, section: int, **given) -> DataFrame:
-    values = UNRESOLVED | {"section": F.lit(section)} | given
-    return df.select(*KEY, *[v.alias(k) for k, v in values.items()])
+def reason_rows(df: DataFrame, section: int, **given: Column) -> DataFrame:
+    """Reasons in the common shape; fields that are not given are null."""
+    given["section"] = F.lit(section)
+    return df.select(
+        *KEY, *[given.get(name, F.lit(None)).cast(kind).alias(name) for name, kind in UNRESOLVED.items()]
+    )
 
 
 def unknown_source_rows(resolved: DataFrame) -> DataFrame:
     c = F.col
-    return _reason_rows(
+    return reason_rows(
         resolved.where("source_unknown"), 1,
         ord=c("rel_ord"), src_ord=c("src_ord"), reason=F.lit("source_table_unknown"),
         target_column=c("target_col"), rel_type=c("rel_type"), source_parent_id=c("source_parent_id"),
@@ -273,11 +274,11 @@ def unresolved_rows(
     orphans = attach_orphan_reason(columns, diagnostics)
     parts = [
         unknown_source_rows(resolved),
-        _reason_rows(
+        reason_rows(
             orphans, 2, reason=c("reason"), target_column=c("name"),
             line=c("line"), col=c("col"), parser_message=c("parser_message"),
         ),
-        _reason_rows(
+        reason_rows(
             diagnostics.where(c("category").isNull()), 3, ord=c("err_ord"),
             reason=F.lit("parser_syntax_hint"), line=c("line"), col=c("col"), parser_message=c("message"),
         ),
@@ -290,7 +291,7 @@ def unresolved_rows(
 def dynamic_sql_rows(sqls: DataFrame) -> DataFrame:
     """One reason per node whose SQL text holds a dynamic-SQL marker."""
     marked = sqls.withColumn("marker", dynamic_sql_marker(F.col("sql"))).where("marker is not null")
-    return _reason_rows(
+    return reason_rows(
         marked, 4, reason=F.lit("dynamic_sql"), marker=F.col("marker"),
         fragment_preview=marker_excerpt(F.col("sql")),
     )

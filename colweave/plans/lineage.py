@@ -82,8 +82,8 @@ def map_run(planned: DataFrame, answers: DataFrame) -> Lineage:
     nodes = capped.unionByName(stopped(bad, "failed")).unionByName(stopped(skipped, "skipped"))
     unresolved = (
         mapper.unresolved_rows(resolved, columns, diagnostics, sqls)
-        .unionByName(mapper._reason_rows(bad, 5, reason=F.coalesce("reason", F.lit("parser_error")), detail=F.col("detail")))
-        .unionByName(mapper._reason_rows(skipped, 5, reason=F.lit("skipped"), detail=F.col("skip_reason")))
+        .unionByName(mapper.reason_rows(bad, 5, reason=F.coalesce("reason", F.lit("parser_error")), detail=F.col("detail")))
+        .unionByName(mapper.reason_rows(skipped, 5, reason=F.lit("skipped"), detail=F.col("skip_reason")))
     )
     writes = evidence.procedural_write_targets(lines, tables, R.process_counts(flows))
     return Lineage(nodes, columns, edges, mapper.upstream_tables(tables), unresolved, diagnostics, writes)

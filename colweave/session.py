@@ -57,6 +57,11 @@ def fresh_path(spark: SparkSession, label: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared folder so that later rounds do not recompute it."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """``df`` written to the shared folder and read back.
+
+    Later rounds start from the files, so a lost executor costs one scan and not all rounds, and
+    the planner knows the true size.
+    """
+    path = fresh_path(df.sparkSession, "round")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
