@@ -277,10 +277,11 @@ STEPS["o_doc_reasons"] = (
 STEPS["o_docs"] = f"""
 SELECT s.project, s.run_id, s.node_id, 0 AS part, 1 AS parts,
   '{{"columns":' || coalesce(cols, '[]') || ',' || concat_ws(',', {_member('confidence', 's.confidence')}, {_member('dialect', 'r.dialect')})
-  || ',"downstream":[],' || {_member('node_id', 's.node_id')} || ',' || {_member('status', 's.status')}
+  || ',"downstream":[' || coalesce(kids, '') || '],' || {_member('node_id', 's.node_id')} || ',' || {_member('status', 's.status')}
   || ',"unresolved":' || coalesce(reasons, '[]')
   || ',"upstream_tables":[' || coalesce(tabs, '') || '],"warnings":[]}}' AS doc
 FROM o_status s JOIN v_resp r ON s.node_id = r.node_id
+LEFT JOIN (SELECT node_id, string_agg({_json('child_id')}, ',' ORDER BY child_id) AS kids FROM v_child GROUP BY node_id) k ON k.node_id = s.node_id
 LEFT JOIN o_doc_columns c ON c.node_id = s.node_id LEFT JOIN o_doc_reasons x ON x.node_id = s.node_id
 LEFT JOIN (SELECT node_id, string_agg({_json('fqn')}, ',' ORDER BY fqn) AS tabs FROM o_upstream GROUP BY node_id) t ON t.node_id = s.node_id"""
 oracle("render_lineage_doc", "SELECT * FROM o_docs")

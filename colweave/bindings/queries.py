@@ -8,10 +8,10 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colweave.bindings.views import spark_view, with_arrays
+from colweave.bindings.views import read_spread, read_table, spark_view, with_arrays
 from colweave.functions import rules, sqltext
 from colweave.operators import cache, citations, compare, emit, evidence, graph, mapper, quality, select
-from colweave.session import KEY, RUN, fresh_path
+from colweave.session import KEY, RUN, cut_lineage, fresh_path
 from colweave.sources import documents, manifests, responses
 from colweave.streaming import runs
 
@@ -33,7 +33,10 @@ class Inputs:
         return spark_view(self.spark, self.sf_dir, name)
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return read_table(self.spark, self.sf_dir, name)
+
+    def spread(self, name: str) -> DataFrame:
+        return read_spread(self.spark, self.sf_dir, name)
 
     @cached_property
     def lines(self) -> DataFrame:
@@ -47,14 +50,29 @@ class Inputs:
     def diagnostics(self) -> DataFrame:
         return responses.read_diagnostics(self.view("v_diag"))
 
+    @cached_property
+    def stored_tables(self) -> DataFrame:
+        """The tables, written once for queries that join them more than once."""
+        return cut_lineage(self.tables)
+
     @cached_property
     def resolved(self) -> DataFrame:
-        return mapper.resolve_lines(self.lines, self.tables)
+        return mapper.resolve_lines(self.lines, self.stored_tables)
 
     @cached_property
     def grouped(self) -> DataFrame:
         return mapper.group_edges(self.resolved)
 
+    @cached_property
+    def written(self) -> Inputs:
+        """The same inputs with tables, resolved lines and grouped edges written once, for
+        queries that use them in several ways."""
+        other = Inputs(self.spark, self.sf_dir)
+        other.tables = other.stored_tables = self.stored_tables
+        other.resolved = cut_lineage(mapper.resolve_lines(self.lines, other.tables))
+        other.grouped = cut_lineage(mapper.group_edges(other.resolved))
+        return other
+
     @cached_property
     def columns(self) -> DataFrame:
         return mapper.lineage_columns(self.grouped)
@@ -73,7 +91,7 @@ class Inputs:
 
     @cached_property
     def status(self) -> DataFrame:
-        return mapper.node_status(self.responses, self.columns, self.tables)
+        return mapper.node_status(self.responses, self.columns, self.stored_tables)
 
     @cached_property
     def emitted(self) -> DataFrame:
@@ -134,7 +152,7 @@ class Inputs:
     def texts(self) -> DataFrame:
         """All SQL texts and all prose."""
         sql = self.sqls.select(F.col("node_id").alias("id"), F.col("sql").alias("text"))
-        prose = self.table("documents").select(F.concat(F.lit("doc."), F.col("doc_id").cast("string")).alias("id"), "text")
+        prose = self.spread("documents").select(F.concat(F.lit("doc."), F.col("doc_id").cast("string")).alias("id"), "text")
         return sql.unionByName(prose)
 
     @cached_property
@@ -143,12 +161,10 @@ class Inputs:
 
     @cached_property
     def docs(self) -> DataFrame:
-        downstream = select.attach_downstream(
-            self.responses.select(F.lit("geo").alias("project"), "run_id", "node_id"), self.edges_of_models
-        ).where("child_id is not null")
+        w = self.written
         return emit.render_lineage_doc(
-            self.emitted, self.columns, self.edges, self.upstream, downstream,
-            mapper.unresolved_rows(self.resolved, self.columns, self.diagnostics, self.sqls),
+            w.emitted, w.columns, w.edges, w.upstream, w.view("v_child"),
+            mapper.unresolved_rows(w.resolved, w.columns, w.diagnostics, w.sqls),
         )
 
 
@@ -187,7 +203,7 @@ def manifest_texts(i: Inputs) -> DataFrame:
         .when(k % 13 == 3, "[1, 2]")
         .otherwise(F.to_json(doc))
     )
-    return i.table("orders").select(
+    return i.spread("orders").select(
         F.concat(F.lit("p"), (k % 4).cast("string")).alias("project"),
         F.concat(F.lit("r"), k.cast("string")).alias("run_id"),
         F.concat(F.lit("/in/"), k.cast("string"), F.lit(".json")).alias("path"),
@@ -298,7 +314,7 @@ def payloads(i: Inputs) -> DataFrame:
         .otherwise(flow)
     )
     parts = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-    return i.table("lineitem").select(
+    return i.spread("lineitem").select(
         F.concat(F.lit("shop"), text(F.col("l_orderkey") % 4)).alias("project"), F.lit("r1").alias("run_id"),
         F.concat_ws(".", F.lit("line"), *[text(F.col(p)) for p in parts]).alias("node_id"), wrapped.alias("payload"),
     )
@@ -347,22 +363,26 @@ def render_lineage_doc(i):
 @query
 def deterministic_order(i):
     """All documents as ordered lines of one JSON document per run."""
-    meta = i.status.select(*RUN).distinct().withColumn("project_name", F.col("project"))
-    headers = emit.document_headers(quality.run_stats(i.status), meta, "colweave", "0.2.x", {"mode": "none"})
-    lines = emit.document_lines(i.docs, headers)
+    docs = cut_lineage(i.docs)
+    status = i.written.status
+    meta = status.select(*RUN).distinct().withColumn("project_name", F.col("project"))
+    headers = emit.document_headers(quality.run_stats(status), meta, "colweave", "0.2.x", {"mode": "none"})
+    lines = emit.document_lines(docs, headers)
     return emit.deterministic_order(lines).select(*RUN, "section", "node_id", "line")
 
 
 @query
 def emit_datahub(i):
-    return emit.emit_datahub(i.emitted, i.columns, i.edges, i.upstream, platform_map={"dbvpresto": "presto_db"}).select(
+    w = i.written
+    return emit.emit_datahub(w.emitted, w.columns, w.edges, w.upstream, platform_map={"dbvpresto": "presto_db"}).select(
         "node_id", "payload"
     )
 
 
 @query
 def emit_openmetadata(i):
-    return emit.emit_openmetadata(i.emitted, i.columns, i.edges, i.upstream).select("node_id", "up_table", "payload")
+    w = i.written
+    return emit.emit_openmetadata(w.emitted, w.edges, w.upstream).select("node_id", "up_table", "payload")
 
 
 @query
@@ -519,7 +539,7 @@ def join_relationship_sources(i):
 
 @query
 def resolve_one_hop(i):
-    return evidence.resolve_one_hop(i.lines, i.tables).select(*KEY, *evidence.EDGE).distinct()
+    return evidence.resolve_one_hop(i.lines, i.stored_tables).select(*KEY, *evidence.EDGE).distinct()
 
 
 @query
@@ -542,7 +562,7 @@ def split_cached(i):
 
 @query
 def attach_write_subtype(i):
-    return evidence.attach_write_subtype(evidence.write_edges(i.lines, i.tables), i.tables)
+    return evidence.attach_write_subtype(evidence.write_edges(i.lines, i.stored_tables), i.stored_tables)
 
 
 @query
@@ -572,8 +592,9 @@ def column_confidence(i):
 @query
 def merge_columns_by_name(i):
     """For every model column: how it is derived, how sure we are, and which columns feed it."""
-    edges = i.edges.withColumnRenamed("column", "name")
-    return i.columns.select(*KEY, "name", "transform", "confidence").join(edges, [*KEY, "name"], "left")
+    w = i.written
+    edges = w.edges.withColumnRenamed("column", "name")
+    return w.columns.select(*KEY, "name", "transform", "confidence").join(edges, [*KEY, "name"], "left")
 
 
 @query
@@ -588,12 +609,13 @@ def node_status(i):
 
 @query
 def unresolved_rows(i):
-    return mapper.unresolved_rows(i.resolved, i.columns, i.diagnostics, i.sqls)
+    w = i.written
+    return mapper.unresolved_rows(w.resolved, w.columns, w.diagnostics, w.sqls)
 
 
 @query
 def procedural_write_targets(i):
-    return evidence.procedural_write_targets(i.lines, i.tables, i.responses)
+    return evidence.procedural_write_targets(i.lines, i.stored_tables, i.responses)
 
 
 @query
@@ -749,7 +771,7 @@ def event_documents(i: Inputs) -> DataFrame:
         F.lit('],"columns":[{"name":"c","transform":'), transform, extra, F.lit(',"upstream":['), edge, F.lit("]}]}]}"),
     )
     broken = F.when(e % 31 == 0, "[]").when(e % 31 == 1, "{").otherwise(doc)
-    return i.table("events").select("event_id", broken.alias("doc"))
+    return i.spread("events").select("event_id", broken.alias("doc"))
 
 
 @query

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
-ORDER_KEY = """'shop' || CAST({k} % 4 AS STRING) AS project, 'r1' AS run_id,
+ORDER_KEY = """'shop' || CAST({k} % 4 AS STRING) AS project, 'r' || CAST({k} % 3 AS STRING) AS run_id,
   'order.' || CAST({k} AS STRING) AS node_id"""
 LINE_KEY = ORDER_KEY.format(k="l_orderkey")
 ORDERS_KEY = ORDER_KEY.format(k="o_orderkey")
@@ -60,6 +60,9 @@ FROM (SELECT project, run_id, node_id, target_parent_id AS table_id, l_suppkey F
       SELECT project, run_id, node_id, source_parent_id AS table_id, l_suppkey FROM v_line_raw) x
 WHERE table_id NOT IN ('gone', 'missing')
 GROUP BY project, run_id, node_id, table_id""",
+    # models that read each order
+    "v_child": """
+SELECT DISTINCT project, run_id, node_id, 'mart.' || CAST(l_suppkey % 6 AS STRING) AS child_id FROM v_line_raw""",
     # one parser message per line item; some are blank
     "v_diag": """
 SELECT project, run_id, node_id, rel_ord AS err_ord,
@@ -198,10 +201,34 @@ def duckdb_sql(text: str) -> str:
     return re.sub(r"\{(\w+)\}", lambda m: m.group(1) if m.group(1) in TABLES else m.group(0), with_views(text))
 
 
+# what identifies a row of the larger tables
+ROW_ID = {
+    "lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"],
+    "orders": ["o_orderkey"],
+    "events": ["event_id"],
+    "documents": ["doc_id"],
+}
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def read_spread(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose rows mean much work each, such as parsing a text.
+
+    In fewer files than there are cores it is spread over the cores, since a file of one row
+    group is one task however many cores wait. In many files it is read as it is, unshuffled.
+    """
+    df = read_table(spark, sf_dir, name)
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores, *ROW_ID[name]) if len(df.inputFiles()) < cores else df
+
+
 def spark_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     text = with_views(f"SELECT * FROM {name}").replace('"column"', "`column`")
     used = set(re.findall(r"\{(\w+)\}", text))
-    return spark.sql(text, **{t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in used})
+    return spark.sql(text, **{t: (read_spread if t == "lineitem" else read_table)(spark, sf_dir, t) for t in used})
 
 
 def with_arrays(nodes: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ from colweave.functions.rules import (
     service_fqn,
     service_name,
 )
-from colweave.session import KEY, RUN
+from colweave.session import KEY, RUN, cut_lineage
 
 PART_LIMIT = 20_000
 
@@ -34,7 +34,9 @@ def emit_status_filter(nodes: DataFrame) -> DataFrame:
 
 def with_parts(items: DataFrame, keys: list[str], limit: int) -> DataFrame:
     """Add ``part`` and ``parts``. Only keys with more than ``limit`` items are in the join's
-    right side, so it has at most (all items / limit) rows."""
+    right side, so it has at most (all items / limit) rows. The items are written once, because
+    they are both counted and joined."""
+    items = cut_lineage(items)
     large = (
         items.groupBy(*keys)
         .agg(F.count("*").alias("n"))
@@ -51,7 +53,7 @@ def with_parts(items: DataFrame, keys: list[str], limit: int) -> DataFrame:
 
 
 def _sorted(c: Column) -> Column:
-    return F.array_sort(c)
+    return F.sort_array(c)
 
 
 def _edge_items(columns: DataFrame, edges: DataFrame) -> DataFrame:
@@ -328,7 +330,6 @@ def emit_datahub(
 
 def emit_openmetadata(
     nodes: DataFrame,
-    columns: DataFrame,
     edges: DataFrame,
     tables: DataFrame,
     service: str | None = None,
@@ -340,8 +341,7 @@ def emit_openmetadata(
     """
     pair = [*KEY, "up_table"]
     known = tables.select(*KEY, F.col("fqn").alias("up_table")).distinct()
-    named = edges.join(columns.select(*KEY, F.col("name").alias("column")), [*KEY, "column"], "left_semi")
-    items = known.join(named, pair, "left").select(*pair, "column", "up_column")
+    items = known.join(edges, pair, "left").select(*pair, "column", "up_column")
     per_column = (
         with_parts(items, pair, limit)
         .groupBy(*pair, "part", "parts", "column")

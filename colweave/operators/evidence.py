@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from colweave import schemas as S
 from colweave.functions.rules import is_synthetic_column
 from colweave.operators.mapper import join_relationship_sources, join_relationship_targets
-from colweave.session import KEY
+from colweave.session import KEY, cut_lineage
 
 EDGE = ["target_fqn", "target_col", "up_table", "up_column"]
 
@@ -97,7 +97,11 @@ def evidence_counts(edges: DataFrame, processes: DataFrame) -> DataFrame:
 
 
 def procedural_write_targets(lines: DataFrame, tables: DataFrame, processes: DataFrame) -> DataFrame:
-    """One row per edge of each write target, for nodes that count as procedural."""
-    edges = write_edges(lines, tables)
+    """One row per edge of each write target, for nodes that count as procedural.
+
+    The edges, far fewer than the lines, are written once: counts, sub-types and result all
+    start from them.
+    """
+    edges = cut_lineage(write_edges(lines, tables))
     kept = edges.select(*KEY, *EDGE).distinct().join(evidence_counts(edges, processes), KEY)
     return kept.join(attach_write_subtype(edges, tables), [*KEY, "target_fqn"])

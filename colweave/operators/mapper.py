@@ -23,7 +23,7 @@ from colweave.functions.rules import (
 from colweave.functions.sqltext import dynamic_sql_marker, marker_excerpt
 from colweave.session import KEY
 
-CODES = 8  # room for one transform code below the ordinal
+CODE_BITS = 3  # room for one transform code below the ordinal
 
 
 def _sides(tables: DataFrame, parent: str, fqn: str, real: str) -> DataFrame:
@@ -70,13 +70,17 @@ def group_edges(resolved: DataFrame) -> DataFrame:
     huge group over all tasks, because the upstream pair is part of its key.
     """
     code = transform_code(F.col("rel_type"))
-    packed = F.col("rel_ord") * CODES + code
+    packed = F.shiftleft("rel_ord", CODE_BITS) + code
     return resolved.groupBy(*KEY, "target_fqn", "target_col", "up_table", "up_column").agg(
         F.min(packed).alias("first_any"),
         F.min(F.when(code != S.DIRECT, packed)).alias("first_other"),
     )
 
 
+def _code(packed: str) -> Column:
+    return F.col(packed).bitwiseAND(F.lit(2**CODE_BITS - 1))
+
+
 def accumulate_target_columns(grouped: DataFrame) -> DataFrame:
     """One row per (node, target name, target column): transform, first type, upstream count."""
     out = grouped.groupBy(*KEY, "target_fqn", "target_col").agg(
@@ -86,9 +90,9 @@ def accumulate_target_columns(grouped: DataFrame) -> DataFrame:
     )
     return out.withColumns(
         {
-            "first_ord": F.floor(F.col("first_any") / CODES).cast("bigint"),
-            "transform_code": F.coalesce(F.col("first_other") % CODES, F.lit(S.DIRECT)).cast("int"),
-            "first_is_value": (F.col("first_any") % CODES) != S.CONTROL,
+            "first_ord": F.shiftright("first_any", CODE_BITS),
+            "transform_code": F.coalesce(_code("first_other"), F.lit(S.DIRECT)).cast("int"),
+            "first_is_value": _code("first_any") != S.CONTROL,
         }
     ).withColumn("transform", transform_name(F.col("transform_code"))).drop("first_any", "first_other")
 
@@ -110,7 +114,7 @@ def merge_columns_by_name(groups: DataFrame) -> DataFrame:
     drop out after the merge.
     """
     # ordinal, 3 bits of transform and 2 of confidence in one long
-    packed = (F.col("first_ord") * 8 + F.col("transform_code")) * 4 + F.col("confidence_code")
+    packed = F.shiftleft("first_ord", 5) + F.col("transform_code") * 4 + F.col("confidence_code")
     merged = groups.groupBy(*KEY, F.col("target_col").alias("name")).agg(
         F.min(packed).alias("first"), F.max(F.col("n_upstream") > 0).alias("has_upstream")
     )
@@ -118,8 +122,8 @@ def merge_columns_by_name(groups: DataFrame) -> DataFrame:
     return merged.where(~is_synthetic_column(F.col("name"))).select(
         *KEY,
         "name",
-        transform_name(F.floor(F.col("first") / 4) % 8).alias("transform"),
-        F.element_at(names, (F.col("first") % 4).cast("int") + 1).alias("confidence"),
+        transform_name(F.shiftright("first", 2).bitwiseAND(F.lit(7))).alias("transform"),
+        F.element_at(names, F.col("first").bitwiseAND(F.lit(3)).cast("int") + 1).alias("confidence"),
         "has_upstream",
     )
 

@@ -86,7 +86,7 @@ def failure_preview(nodes: DataFrame, keys: list[str], shown: int = 5) -> DataFr
         .withColumn("rn", F.row_number().over(first))
         .where(F.col("rn") <= shown)
         .groupBy(*keys)
-        .agg(F.array_join(F.array_sort(F.collect_list("node_id")), ", ").alias("ids"))
+        .agg(F.array_join(F.sort_array(F.collect_list("node_id")), ", ").alias("ids"))
     )
     counts = nodes.groupBy(*keys).agg(F.count("*").alias("n"))
     more = F.when(F.col("n") > shown, "...").otherwise("")
