@@ -12,7 +12,7 @@ from colweave.operators import emit, evidence, mapper, quality
 from colweave.operators.cache import prepare_sql
 from colweave.operators.compare import diff_headline, diff_report, edge_count_regressions, edge_counts
 from colweave.operators.select import eligibility_with_sql, select_nodes
-from colweave.session import KEY, RUN
+from colweave.session import KEY, RUN, cut_lineage
 from colweave.sources import responses as R
 from colweave.sources.documents import LineageTables
 from colweave.sources.manifests import Manifests, resolve_compiled_sql
@@ -46,7 +46,8 @@ def plan_run(
     nodes = manifests.nodes.join(chosen, KEY, "left_semi")
     adapters = manifests.meta.groupBy(*RUN).agg(F.max("adapter_type").alias("adapter_type"))
     with_sql = resolve_compiled_sql(nodes.join(adapters, RUN, "left"), files, target_dir)
-    return prepare_sql(eligibility_with_sql(with_sql, dialect), mode, parser_version, tool_version, redact)
+    planned = prepare_sql(eligibility_with_sql(with_sql, dialect), mode, parser_version, tool_version, redact)
+    return cut_lineage(planned)
 
 
 def map_run(planned: DataFrame, answers: DataFrame) -> Lineage:
@@ -54,17 +55,20 @@ def map_run(planned: DataFrame, answers: DataFrame) -> Lineage:
 
     Answers join by content, so one answer serves all nodes with the same SQL. Nodes that are not
     eligible are skipped and those without a good answer failed; both stay in the result.
+
+    What several steps use is written once: the parsed payloads (as variants, so the JSON is read
+    a single time), the tables, the resolved lines and the grouped edges.
     """
     answered = R.classify_responses(
         planned.where("eligible").join(answers.dropDuplicates(["cache_key"]), "cache_key", "left")
     )
     good = answered.where("outcome = 'ok' and payload is not null")
-    flows = R.normalize_responses(good).select(*KEY, "flow")
-    tables = R.explode_dbobjs(flows)
+    flows = cut_lineage(R.normalize_responses(good).select(*KEY, "flow"))
+    tables = cut_lineage(R.explode_dbobjs(flows))
     lines = R.explode_relationships(flows)
-    diagnostics = R.explode_diagnostics(flows)
-    resolved = mapper.resolve_lines(lines, tables)
-    grouped = mapper.group_edges(resolved)
+    diagnostics = cut_lineage(R.explode_diagnostics(flows))
+    resolved = cut_lineage(mapper.resolve_lines(lines, tables))
+    grouped = cut_lineage(mapper.group_edges(resolved))
     columns = mapper.lineage_columns(grouped)
     edges = mapper.lineage_edges(grouped)
     status = mapper.node_status(good, columns, tables)
@@ -98,7 +102,7 @@ def render_run(lineage: Lineage, children: DataFrame, meta: DataFrame, generator
     stats = quality.run_stats(lineage.nodes)
     described = stats.select(*RUN, "eligible_count", F.expr("parsed+partial+unsupported+failed+skipped").alias("selected_count"))
     full_meta = meta.join(described, RUN)
-    headers = emit.document_headers(stats, full_meta, generator, "0.2.x", backend)
+    headers = emit.document_headers(stats.drop("eligible_count"), full_meta, generator, "0.2.x", backend)
     return emit.document_lines(docs, headers)
 
 
