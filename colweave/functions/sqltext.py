@@ -38,20 +38,26 @@ def cache_key(sql: Column, dialect: Column, mode: Column, parser_version: Column
     return F.sha2(F.concat_ws("|", *[F.coalesce(p, F.lit("")) for p in parts]), 256)
 
 
-def _mask_exact(sql: str | None) -> str | None:
-    """Masking of one text with an unclosed literal, by the backtracking pattern."""
-    if sql is None:
-        return None
-    names = re.findall(QUOTED, sql)
-    kept = iter(range(len(names)))
-    text = re.sub(QUOTED, lambda _: f"\x00IDENT{next(kept)}\x00", sql)
-    text = re.sub(NUMBER, "0", re.sub(STRING, MASK, text))
-    return re.sub("\x00IDENT(\\d+)\x00", lambda m: names[int(m.group(1))], text)
+def _mask_unclosed():
+    """Arrow function that masks texts with an unclosed literal by the backtracking pattern.
 
+    All it needs is local to it, so executors get it by value and need not have this package.
+    """
+    quoted, string, number, mask = QUOTED, STRING, NUMBER, MASK
+
+    def one(sql: str) -> str:
+        names = re.findall(quoted, sql)
+        kept = iter(range(len(names)))
+        text = re.sub(quoted, lambda _: f"\x00IDENT{next(kept)}\x00", sql)
+        text = re.sub(number, "0", re.sub(string, mask, text))
+        return re.sub(
+            "\x00IDENT(\\d+)\x00", lambda m: names[int(m[1])] if int(m[1]) < len(names) else m[0], text
+        )
+
+    def many(sql: pd.Series) -> pd.Series:
+        return sql.map(one, na_action="ignore")
 
-@F.pandas_udf(StringType())
-def _mask_unclosed(sql: pd.Series) -> pd.Series:
-    return sql.map(_mask_exact, na_action="ignore")
+    return F.pandas_udf(many, StringType())
 
 
 def mask_literals(df: DataFrame, sql: str = "sql", out: str = "masked") -> DataFrame:
@@ -102,7 +108,7 @@ def mask_literals(df: DataFrame, sql: str = "sql", out: str = "masked") -> DataF
     )
     slow = F.col("_slow")
     return steps.withColumn(
-        out, F.when(slow, _mask_unclosed(F.when(slow, F.col(sql)))).otherwise(F.col("_fast"))
+        out, F.when(slow, _mask_unclosed()(F.when(slow, F.col(sql)))).otherwise(F.col("_fast"))
     ).drop("_ids", "_gaps", "_stashed", "_strings", "_slow", "_numbers", "_pieces", "_left", "_fast")
 
 

@@ -14,8 +14,8 @@ from colweave.functions.rules import (
     skip_reason,
     skip_reason_with_sql,
 )
-from colweave.operators.graph import ancestors, descendants, known_nodes_only
-from colweave.session import KEY, RUN
+from colweave.operators.graph import downward, known_nodes_only, reachable, upward
+from colweave.session import KEY, RUN, cut_lineage
 
 
 def match_tag(tag: str) -> Column:
@@ -68,13 +68,20 @@ def match_tokens(nodes: DataFrame, tokens: dict[str, list[str]]) -> DataFrame:
 def walk_tokens(matched: DataFrame, parent_edges: DataFrame, child_edges: DataFrame) -> DataFrame:
     """Matched nodes with the closures their ``+`` signs ask for: side and node keys, distinct.
 
-    A closure of a union is the union of the closures, so all tokens of all sides share one
-    upward and one downward walk.
+    A closure of a union is the union of the closures, so all tokens of all sides share one loop,
+    upward over the parent edges and downward over the child edges.
     """
     cols = ["side", *KEY]
-    up = ancestors(matched.where("up").select(*cols), parent_edges, ["side"])
-    down = descendants(matched.where("down").select(*cols), child_edges, ["side"])
-    return matched.select(*cols).unionByName(up.select(*cols)).unionByName(down.select(*cols)).distinct()
+    matched = cut_lineage(matched)
+    directions = F.array_compact(
+        F.array(F.when(F.col("up"), F.lit("up")), F.when(F.col("down"), F.lit("down")))
+    )
+    seeds = matched.select(*cols, F.explode(directions).alias("walk"))
+    steps = upward(parent_edges).withColumn("walk", F.lit("up")).unionByName(
+        downward(child_edges).withColumn("walk", F.lit("down"))
+    )
+    reached = reachable(seeds, steps, ["side"], ["walk"])
+    return matched.select(*cols).unionByName(reached.select(*cols)).distinct()
 
 
 def select_union(nodes: DataFrame, tokens: list[str]) -> DataFrame:

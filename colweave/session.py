@@ -36,19 +36,19 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, memory: str = "
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder for checkpoints and intermediate tables.
+    """The shared folder for intermediate tables, as the cluster names it in
+    ``spark.checkpoint.dir``.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local master may fall back to a
-    temporary folder of this machine; elsewhere a lost executor would lose the data with it.
+    Only a local master may fall back to a temporary folder of this machine; elsewhere a lost
+    executor would take the data with it.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if configured is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        configured = tempfile.mkdtemp(prefix="colweave-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(configured)
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="colweave-"))
+        configured = sc.getCheckpointDir()
     return configured
 
 
