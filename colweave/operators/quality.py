@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from colweave import schemas as S
 from colweave.operators.compare import edge_count_regressions
-from colweave.session import KEY, RUN
+from colweave.session import KEY, RUN, cut_lineage
 
 
 def run_stats(nodes: DataFrame) -> DataFrame:
@@ -211,7 +211,8 @@ def validate_lineage(docs: DataFrame, doc: str = "doc", keys: list[str] | None =
     mean lineage that readers silently miss.
     """
     keys = keys or RUN
-    parsed = docs.withColumn("_doc", F.try_parse_json(doc))
+    # every level of the document is read on its own; the text is parsed only here
+    parsed = cut_lineage(docs.select(*keys, F.try_parse_json(doc).alias("_doc")))
     broken = parsed.where(F.coalesce(_kind(F.col("_doc")) != "OBJECT", F.lit(True)))
     top = _Rules("_doc", F.lit("$."))
     top.required("schema_version", "generator", "manifest_metadata", "backend", "stats", "nodes")
@@ -268,10 +269,12 @@ def validate_lineage(docs: DataFrame, doc: str = "doc", keys: list[str] | None =
     up.closed(["table", "column"])
 
     lists = [
-        nodes.select(*keys, "i", F.lit(f).alias("f"), F.posexplode(F.try_variant_get("_node", f"$.{f}", "array<variant>")).alias("k", "e"))
+        F.struct(F.lit(f).alias("f"), F.try_variant_get("_node", f"$.{f}", "array<variant>").alias("es"))
         for f in ("upstream_tables", "downstream", "warnings", "unresolved")
     ]
-    items = reduce(DataFrame.unionByName, lists)
+    items = nodes.select(*keys, "i", F.explode(F.array(*lists)).alias("l")).select(
+        *keys, "i", "l.f", F.posexplode("l.es").alias("k", "e")
+    )
     wanted = F.when(F.col("f") == "unresolved", "OBJECT").otherwise("STRING")
     item = _Rules("e", F.concat(node_path, F.col("f"), F.lit("."), F.col("k").cast("string")))
     item.add("", "type", F.coalesce(_kind(F.col("e")) != wanted, F.lit(True)))
