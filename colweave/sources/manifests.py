@@ -23,10 +23,18 @@ class Manifests(NamedTuple):
     rejects: DataFrame
 
 
-def read_texts(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """One row per file: path and whole text. A missing path gives a row with null text."""
-    found = spark.read.option("ignoreMissingFiles", "true").text(paths, wholetext=True)
-    return found.select(F.col("_metadata.file_path").alias("path"), F.col("value"))
+def read_texts(spark: SparkSession, paths: list[str], expected: DataFrame | None = None) -> DataFrame:
+    """One row per file: path and whole text.
+
+    ``expected`` lists files that must be there, as full URIs in ``path``; the result then has
+    these files, and null text for those not found. One or three slashes after the scheme are
+    the same file.
+    """
+    found = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
+    if expected is None:
+        return found
+    uri = F.regexp_replace("path", "^(\\w+):/+", "$1:/").alias("_uri")
+    return expected.select("path", uri).distinct().join(found.select(uri, "value"), "_uri", "left").drop("_uri")
 
 
 def _text(root: str, field: str) -> Column:
@@ -93,9 +101,11 @@ def parse_manifests(texts: DataFrame) -> Manifests:
     return Manifests(nodes, up.unionByName(down), meta, rejects)
 
 
-def read_manifests(spark: SparkSession, paths: list[str], run_id: str) -> Manifests:
+def read_manifests(
+    spark: SparkSession, paths: list[str], run_id: str, expected: DataFrame | None = None
+) -> Manifests:
     """Manifest files of many projects; the project is the one each manifest names."""
-    texts = read_texts(spark, paths)
+    texts = read_texts(spark, paths, expected)
     named = F.try_variant_get(F.try_parse_json("value"), "$.metadata.project_name", "string")
     return parse_manifests(
         texts.select(

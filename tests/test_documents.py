@@ -93,6 +93,17 @@ def test_manifest_tables(manifest):
     assert tags[MODEL] == ["t"] and tags["model.shop.from_file"] is None
 
 
+def test_expected_files_that_are_missing(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"nodes": {}}')
+    (tmp_path / "b.json").write_text("[]")
+    uris = [f"file://{tmp_path}/{name}.json" for name in ("a", "gone")]
+    expected = spark.createDataFrame([(u,) for u in uris], "path string")
+    found = manifests.read_manifests(spark, [str(tmp_path)], "r", expected)
+    assert [(r.path, r.error) for r in found.rejects.collect()] == [(uris[1], "manifest not found")]
+    assert found.meta.count() == 1
+    assert manifests.read_optional_artifact(spark, [str(tmp_path)]).count() == 2
+
+
 def test_schema_version_of_urls(spark):
     urls = ["https://a/v12.json", "https://a/v12.json/", "https://a/v9.json?x=1", "v3.json#y", "https://a/v12.yml", "https://a/x12.json", "", None, "https://v1.json/a"]
     df = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "i int, dbt_schema_version string")
