@@ -3,13 +3,21 @@ can express it."""
 
 from __future__ import annotations
 
+from colweave.llm.decontaminate import op4_decontaminate
 from colweave.llm.language_id import op8_language_id
+from colweave.llm.mixing import MIX_SQL, op3_mix_sources
 from colweave.llm.quality_classifier import op6_quality_classifier
 from colweave.llm.quality_rules import op10_quality_rules
+from colweave.llm.token_files import op9_token_files
+from colweave.llm.url_filter import op2_url_filter
 
 QUERIES = {
+    "op2_url_filter": op2_url_filter,
+    "op3_mix_sources": op3_mix_sources,
+    "op4_decontaminate": op4_decontaminate,
     "op6_quality_classifier": op6_quality_classifier,
     "op8_language_id": op8_language_id,
+    "op9_token_files": op9_token_files,
     "op10_quality_rules": op10_quality_rules,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op3_mix_sources": MIX_SQL}
