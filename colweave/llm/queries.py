@@ -6,6 +6,7 @@ from __future__ import annotations
 from colweave.llm.decontaminate import op4_decontaminate
 from colweave.llm.language_id import op8_language_id
 from colweave.llm.mixing import MIX_SQL, op3_mix_sources
+from colweave.llm.near_dups import op7_near_duplicates
 from colweave.llm.quality_classifier import op6_quality_classifier
 from colweave.llm.quality_rules import op10_quality_rules
 from colweave.llm.token_files import op9_token_files
@@ -16,6 +17,7 @@ QUERIES = {
     "op3_mix_sources": op3_mix_sources,
     "op4_decontaminate": op4_decontaminate,
     "op6_quality_classifier": op6_quality_classifier,
+    "op7_near_duplicates": op7_near_duplicates,
     "op8_language_id": op8_language_id,
     "op9_token_files": op9_token_files,
     "op10_quality_rules": op10_quality_rules,
