@@ -1,17 +1,18 @@
 """MinHash near-duplicates: ProbMinHash signatures of weighted word shingles, banding, verification.
 
 A document is the multiset of its 5-word shingles (lower-cased, split at white space; a shorter text
-is one shingle). Each shingle of weight w sends a Poisson process of rate w into the signature's
-registers and stops as soon as its next arrival is later than every register's earliest, so two
-signatures agree in a register with the probability Jaccard similarity of the multisets.
+is one shingle). Each shingle of weight w, 1 + ln(count), sends a Poisson process of rate w into the
+signature's registers and stops as soon as its next arrival is later than every register's earliest,
+so two signatures agree in a register with the probability Jaccard similarity of the weighted sets.
 
 Candidates come from bands of 4 registers. A bucket of at most BUCKET members is compared in one
-task by signature, and gives the edges of a maximum spanning forest of the estimates, so its output
-is linear while documents joined by similar ones stay joined. A larger bucket gives a star around one
+task by signature, and gives the edges of two disjoint maximum spanning forests of the estimates, so
+its output is linear while documents joined by similar ones stay joined. A larger bucket gives a star around one
 member and is split anew by further registers, in several ways; what is still larger after the last
 split, where members agree in 12 registers, is cut into parts by hash. Each edge is then verified on
-the whole multisets: probability Jaccard or plain Jaccard of SIMILARITY or more. Classes are the
-connected components of the verified links together with equal multisets, by star contraction.
+the whole texts: Jaccard similarity of the shingle sets of SIMILARITY or more, so that lines repeated
+in a text do not make it a copy of others. Classes are the connected components of the verified
+links together with equal multisets, by star contraction.
 
 Edge cases: null, empty and blank texts have no shingle and form one class; documents without id are
 left out of the result; an id that comes several times is one document, its texts' classes joined;
@@ -40,8 +41,9 @@ REGISTERS = BANDS * ROWS
 #: deviations under SIMILARITY) are no candidates.
 BUCKET = 256
 HOPELESS = 0.64
+FORESTS = 2
 #: In how many ways a large bucket is split at each further level.
-SPLITS = (3, 3)
+SPLITS = (5, 4)
 
 
 def shingles(column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -73,7 +75,7 @@ def signatures(keys: np.ndarray, weights: np.ndarray, bounds: np.ndarray) -> np.
     row, now, step = T.rows_of(bounds), np.zeros(len(keys)), 0
     while len(keys):
         step += 1
-        draw = T.mix(keys + np.uint64(step) * np.uint64(0xD1342543DE82EF95))
+        draw = T.mix(keys + np.uint64(step * 0xD1342543DE82EF95 % 2**64))
         now = now - np.log(((draw >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0**53) / weights
         register = row * REGISTERS + (T.mix(draw ^ np.uint64(0xA0761D6478BD642F)) % np.uint64(REGISTERS)).astype(np.int64)
         np.minimum.at(time.reshape(-1), register, now)
@@ -89,7 +91,7 @@ def signatures(keys: np.ndarray, weights: np.ndarray, bounds: np.ndarray) -> np.
 
 def _sign(group: pa.RecordBatch) -> pa.RecordBatch:
     keys, weights, bounds = shingles(group.column("text"))
-    full = signatures(keys, weights, bounds)
+    full = signatures(keys, 1 + np.log(weights), bounds)
     bands = np.zeros((len(full), BANDS), np.uint64)
     for k in range(ROWS):
         bands = T.mix(bands + full[:, k::ROWS]) + np.uint64(k)
@@ -110,35 +112,34 @@ def sign(docs: DataFrame) -> DataFrame:
     return B.over_groups(docs, _sign, "doc_id long, key_1 long, key_2 long, filled boolean, bands array<long>, sig binary")
 
 
-def _estimates(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return (a == b).mean(-1)
-
-
 def _matrix(column) -> np.ndarray:
     column = column.cast(pa.large_binary())
     at, to = (np.frombuffer(column.buffers()[1], np.int64)[[column.offset, column.offset + len(column)]]) if len(column) else (0, 0)
     return np.frombuffer(column.buffers()[2], np.uint8)[at:to].reshape(-1, REGISTERS) if to > at else np.zeros((0, REGISTERS), np.uint8)
 
 
-def forest(ids: np.ndarray, sigs: np.ndarray) -> list[tuple[int, int]]:
-    """Edges of a maximum spanning forest of the estimated similarities, none below HOPELESS."""
+def forests(ids: np.ndarray, sigs: np.ndarray) -> list[tuple[int, int]]:
+    """Edges of FORESTS maximum spanning forests of the estimated similarities that share no edge,
+    none below HOPELESS: where one edge of two similar groups fails the verification, another may
+    hold."""
     n = len(ids)
-    best = np.full(n, -1.0)
-    near = np.zeros(n, int)
-    out_ = np.zeros(n, bool)
+    taken = np.zeros((n, n), bool)
     edges = []
-    at = 0
-    for _ in range(n):  # Prim: grow by the closest member, or begin a new tree with what is left
-        out_[at] = True
-        est = _estimates(sigs, sigs[at])
-        closer = ~out_ & (est > best)
-        best[closer], near[closer] = est[closer], at
-        best[out_] = -2
-        at = int(best.argmax())
-        if best[at] < -1:
-            break
-        if best[at] >= HOPELESS:
-            edges.append((int(ids[near[at]]), int(ids[at])))
+    for _ in range(FORESTS):
+        best, near, done, at = np.full(n, -1.0), np.zeros(n, int), np.zeros(n, bool), 0
+        for _ in range(n):  # Prim: grow by the closest member, or begin a new tree with what is left
+            done[at] = True
+            est = np.where(taken[at], -1.0, (sigs == sigs[at]).mean(1))
+            closer = ~done & (est > best)
+            best[closer], near[closer] = est[closer], at
+            best[done] = -2
+            to = int(best.argmax())
+            if best[to] < -1:
+                break
+            if best[to] >= HOPELESS:
+                edges.append((int(ids[near[to]]), int(ids[to])))
+                taken[near[to], to] = taken[to, near[to]] = True
+            at = to
     return edges
 
 
@@ -151,7 +152,7 @@ def _forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket = table.column("bucket").to_numpy()
         ids, sigs = table.column("doc_id").to_numpy(), _matrix(table.column("sig").combine_chunks())
         cuts = np.flatnonzero(np.diff(bucket)) + 1
-        found = [e for i, s in zip(np.split(ids, cuts), np.split(sigs, cuts), strict=True) if len(i) > 1 for e in forest(i, s)]
+        found = [e for i, s in zip(np.split(ids, cuts), np.split(sigs, cuts), strict=True) if len(i) > 1 for e in forests(i, s)]
         a, b = np.array(found, np.int64).reshape(-1, 2).T
         return pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], schema=schema)
 
@@ -161,7 +162,8 @@ def _forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches([batch])
         table = table if held is None else pa.concat_tables([held, table])
         bucket = table.column("bucket").to_numpy()
-        cut = int(np.append(np.flatnonzero(bucket != bucket[-1]), -1)[-2 if (bucket != bucket[-1]).any() else -1]) + 1
+        before = np.flatnonzero(bucket != bucket[-1])
+        cut = int(before[-1]) + 1 if len(before) else 0  # the last bucket may go on in the next batch
         held = table.slice(cut)
         if cut:
             yield edges(table.slice(0, cut))
@@ -172,7 +174,7 @@ def _forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Edges from each member of a bucket to the one it is compared with."""
     for batch in batches:
-        ok = (_estimates(_matrix(batch.column("sig")), _matrix(batch.column("lead_sig"))) >= HOPELESS) & (batch.column("doc_id").to_numpy() != batch.column("lead").to_numpy())
+        ok = ((_matrix(batch.column("sig")) == _matrix(batch.column("lead_sig"))).mean(1) >= HOPELESS) & (batch.column("doc_id").to_numpy() != batch.column("lead").to_numpy())
         a, b = batch.column("doc_id").to_numpy()[ok], batch.column("lead").to_numpy()[ok]
         yield pa.record_batch({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b))})
 
@@ -225,43 +227,32 @@ def candidates(reps: DataFrame) -> DataFrame:
     return out.distinct()
 
 
-def similarity(keys_a: np.ndarray, a: np.ndarray, keys_b: np.ndarray, b: np.ndarray) -> float:
-    """The larger of probability Jaccard of the weights and Jaccard of the sets; 1 for two empty."""
-    common, at_a, at_b = np.intersect1d(keys_a, keys_b, assume_unique=True, return_indices=True)
-    union = len(keys_a) + len(keys_b) - len(common)
-    if not union:
-        return 1.0
-    plain = len(common) / union
-    if plain >= SIMILARITY or not len(common) or (a.max() == 1 and b.max() == 1):
-        return plain
-    x, y = a[at_a].astype(float), b[at_b].astype(float)
-    order = np.argsort(x / y, kind="stable")
-    x, y = x[order], y[order]
-    below_y = np.cumsum(y) - y + (b.sum() - y.sum())  # of keys with a smaller ratio, or only in b
-    above_x = x[::-1].cumsum()[::-1] + (a.sum() - x.sum())
-    return max(plain, float((1 / (above_x / x + below_y / y)).sum()))
+def similarity(a: np.ndarray, b: np.ndarray) -> float:
+    """Jaccard similarity of two sets of distinct hashes; 1 for two empty ones."""
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    union = len(a) + len(b) - common
+    return common / union if union else 1.0
 
 
 def _sets(group: pa.RecordBatch) -> pa.RecordBatch:
-    keys, weights, bounds = shingles(group.column("text"))
-    w = weights.astype(np.uint32)
-    return pa.record_batch({"doc_id": group.column("doc_id"), "keys": pa.array([keys[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary()), "weights": pa.array([w[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())})
+    keys, _, bounds = shingles(group.column("text"))
+    return pa.record_batch({"doc_id": group.column("doc_id"), "keys": pa.array([keys[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())})
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        column = lambda name, kind: [np.frombuffer(x.as_buffer(), kind) for x in batch.column(name)]  # noqa: E731, B023
-        sims = [similarity(*p) for p in zip(column("keys_a", np.uint64), column("weights_a", np.uint32), column("keys_b", np.uint64), column("weights_b", np.uint32), strict=True)]
-        ok = pa.array(np.array(sims) >= SIMILARITY, pa.bool_())
-        yield pa.record_batch({"a": batch.column("a"), "b": batch.column("b")}).filter(ok)
+        a, b = ([np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column(name)] for name in ("keys_a", "keys_b"))
+        ok = np.array([similarity(*p) for p in zip(a, b, strict=True)]) >= SIMILARITY
+        yield pa.record_batch({"a": batch.column("a"), "b": batch.column("b")}).filter(pa.array(ok, pa.bool_()))
 
 
 def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs whose whole multisets are similar enough."""
+    """The pairs whose whole shingle sets are similar enough. An id with several texts is similar if
+    one of them is."""
     ends = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    sets = cut_lineage(B.over_groups(docs.join(ends, "doc_id", "left_semi"), _sets, "doc_id long, keys binary, weights binary"))
-    side = lambda x: sets.select(F.col("doc_id").alias(x), F.col("keys").alias(f"keys_{x}"), F.col("weights").alias(f"weights_{x}"))
+    sets = cut_lineage(B.over_groups(docs.join(ends, "doc_id", "left_semi"), _sets, "doc_id long, keys binary"))
+    side = lambda x: sets.select(F.col("doc_id").alias(x), F.col("keys").alias(f"keys_{x}"))
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_verify, "a long, b long")
 
 
