@@ -9,10 +9,12 @@ from colweave.llm.mixing import MIX_SQL, op3_mix_sources
 from colweave.llm.near_dups import op7_near_duplicates
 from colweave.llm.quality_classifier import op6_quality_classifier
 from colweave.llm.quality_rules import op10_quality_rules
+from colweave.llm.suffix_dedup import op1_suffix_dedup
 from colweave.llm.token_files import op9_token_files
 from colweave.llm.url_filter import op2_url_filter
 
 QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_url_filter": op2_url_filter,
     "op3_mix_sources": op3_mix_sources,
     "op4_decontaminate": op4_decontaminate,
