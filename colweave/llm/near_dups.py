@@ -113,9 +113,7 @@ def sign(docs: DataFrame) -> DataFrame:
 
 
 def _matrix(column) -> np.ndarray:
-    column = column.cast(pa.large_binary())
-    at, to = (np.frombuffer(column.buffers()[1], np.int64)[[column.offset, column.offset + len(column)]]) if len(column) else (0, 0)
-    return np.frombuffer(column.buffers()[2], np.uint8)[at:to].reshape(-1, REGISTERS) if to > at else np.zeros((0, REGISTERS), np.uint8)
+    return T.texts(column)[0].reshape(-1, REGISTERS)
 
 
 def forests(ids: np.ndarray, sigs: np.ndarray) -> list[tuple[int, int]]:
@@ -150,7 +148,7 @@ def _forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def edges(table: pa.Table) -> pa.RecordBatch:
         bucket = table.column("bucket").to_numpy()
-        ids, sigs = table.column("doc_id").to_numpy(), _matrix(table.column("sig").combine_chunks())
+        ids, sigs = table.column("doc_id").to_numpy(), _matrix(table.column("sig"))
         cuts = np.flatnonzero(np.diff(bucket)) + 1
         found = [e for i, s in zip(np.split(ids, cuts), np.split(sigs, cuts), strict=True) if len(i) > 1 for e in forests(i, s)]
         a, b = np.array(found, np.int64).reshape(-1, 2).T

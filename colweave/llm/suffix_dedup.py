@@ -201,13 +201,12 @@ def repeated(text: np.ndarray, begin: np.ndarray, bucket: np.ndarray, place: np.
     middle = LENGTH - COVER
     distinct, where = np.unique(spot, return_inverse=True)
     _, ranks = np.unique(T.span_hashes(sums, distinct, distinct + middle), return_inverse=True)
-    least = rank.copy()
-    for k in range(len(COVER_SET)):
-        key = (group.astype(np.uint64) * np.uint64(len(distinct)) + ranks[where.reshape(spot.shape)[:, k]].astype(np.uint64)) * np.uint64(COVER) + offset[:, k].astype(np.uint64)
-        _, same = np.unique(key, return_inverse=True)
-        first = np.full(same.max() + 1, np.iinfo(np.int64).max)
-        np.minimum.at(first, same, rank)
-        least = np.minimum(least, first[same])
+    key = (group[:, None].astype(np.uint64) * np.uint64(len(distinct)) + ranks[where.reshape(spot.shape)].astype(np.uint64)) * np.uint64(COVER) + offset.astype(np.uint64)
+    _, same = np.unique(key, return_inverse=True)
+    same = same.reshape(spot.shape)
+    first = np.full(same.max() + 1, np.iinfo(np.int64).max)
+    np.minimum.at(first, same, rank[:, None])
+    least = first[same].min(1)
     out[tie] = least < rank
     return out
 
@@ -253,7 +252,7 @@ def _sort_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     last_name = None
 
     def block(table: pa.Table) -> pa.RecordBatch:
-        data, offsets = T.texts(table.column("bytes").combine_chunks().cast(pa.large_binary()))
+        data, offsets = T.texts(table.column("bytes"))
         size = table.column("size").to_numpy()
         seg = np.repeat(np.arange(len(size)), size)
         within = np.arange(len(seg)) - np.repeat(np.cumsum(size) - size, size)

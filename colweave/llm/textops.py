@@ -28,7 +28,7 @@ def texts(column) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all rows and the row offsets (one more than rows); null is empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = pc.fill_null(column.cast(pa.large_string()), "")
+    column = pc.fill_null(column.cast(pa.large_binary()), b"")
     if not len(column):
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)
     _, offsets, data = column.buffers()
