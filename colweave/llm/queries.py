@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from colweave.llm.decontaminate import op4_decontaminate
 from colweave.llm.language_id import op8_language_id
+from colweave.llm.lm_score import op5_lm_score
 from colweave.llm.mixing import MIX_SQL, op3_mix_sources
 from colweave.llm.near_dups import op7_near_duplicates
 from colweave.llm.quality_classifier import op6_quality_classifier
@@ -18,6 +19,7 @@ QUERIES = {
     "op2_url_filter": op2_url_filter,
     "op3_mix_sources": op3_mix_sources,
     "op4_decontaminate": op4_decontaminate,
+    "op5_lm_score": op5_lm_score,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_near_duplicates": op7_near_duplicates,
     "op8_language_id": op8_language_id,
