@@ -29,6 +29,8 @@ EMBED = 8
 FIT_DOCUMENTS = 3000
 FIT_WINDOWS = 2
 UNKNOWN = "und"
+#: A text whose most probable language has less than this is rejected by `accept`.
+LEAST_SCORE = 0.3
 _PAD = max(WIDTHS) - 1
 
 
@@ -179,6 +181,14 @@ def predict(docs: DataFrame, model: ByteCnn | None, carried: str) -> DataFrame:
     return B.over_groups(docs.select(*names, *[c for c in ("text", "has_letter") if c not in names]), work, schema)
 
 
+def accept(docs: DataFrame, model: ByteCnn | None, least: float = LEAST_SCORE) -> DataFrame:
+    """Documents, with all their columns, whose language is known with a score of `least` or more."""
+    places = {c: c if c == "text" else f"c{i}" for i, c in enumerate(docs.columns)}
+    kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
+    found = predict(docs.toDF(*places.values()), model, ", ".join(f"{p} {kinds[c]}" for c, p in places.items()))
+    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select([F.col(p).alias(c) for c, p in places.items()])
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = B.read(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), F.col("text").cast("string"), "lang")
     docs = docs.withColumn("held_out", B.remainder(3) == 1)
