@@ -37,13 +37,13 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 20, 4
 REGISTERS = BANDS * ROWS
-#: Members of a bucket that one task compares; estimates below HOPELESS (over three standard
+#: Members of a bucket that one task compares; estimates below HOPELESS (2.5 standard
 #: deviations under SIMILARITY) are no candidates.
 BUCKET = 256
-HOPELESS = 0.64
+HOPELESS = 0.69
 FORESTS = 2
 #: In how many ways a large bucket is split at each further level.
-SPLITS = (5, 4)
+SPLITS = (3, 3)
 
 
 def shingles(column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -249,7 +249,8 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     one of them is."""
     ends = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    sets = cut_lineage(B.over_groups(docs.join(ends, "doc_id", "left_semi"), _sets, "doc_id long, keys binary"))
+    # ends grow with the input: one plan for every size, never a broadcast
+    sets = cut_lineage(B.over_groups(docs.join(ends.hint("merge"), "doc_id", "left_semi"), _sets, "doc_id long, keys binary"))
     side = lambda x: sets.select(F.col("doc_id").alias(x), F.col("keys").alias(f"keys_{x}"))
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_verify, "a long, b long")
 
