@@ -228,7 +228,7 @@ _COL = "'C' || CAST(l_partkey % 5 AS STRING)"
 oracle("normalize_response", f"SELECT {_LINE}, {_COL} AS first_target, TRUE AS has_flow FROM {{lineitem}}")
 oracle("classify_response", """
 SELECT node_id, CASE WHEN reason IS NULL THEN 'ok' ELSE 'failed' END AS outcome, reason,
-  CASE WHEN reason IS NOT NULL THEN left(detail, 200) END AS detail
+  CASE WHEN reason IS NOT NULL THEN detail END AS detail
 FROM (SELECT *, CASE WHEN http_status = 429 AND mode = 'anonymous' THEN 'quota_limited'
   WHEN http_status >= 400 OR code <> '200' THEN 'parser_error' END AS reason FROM v_resp) x""")
 _DB = "CASE WHEN l_suppkey % 3 > 0 THEN 'db.' ELSE '' END || 'sch.'"
@@ -275,7 +275,7 @@ STEPS["o_doc_reasons"] = (
     f"FROM o_reasons GROUP BY {K}"
 )
 STEPS["o_docs"] = f"""
-SELECT s.project, s.run_id, s.node_id, 0 AS part, 1 AS parts,
+SELECT s.project, s.run_id, s.node_id, 
   '{{"columns":' || coalesce(cols, '[]') || ',' || concat_ws(',', {_member('confidence', 's.confidence')}, {_member('dialect', 'r.dialect')})
   || ',"downstream":[' || coalesce(kids, '') || '],' || {_member('node_id', 's.node_id')} || ',' || {_member('status', 's.status')}
   || ',"unresolved":' || coalesce(reasons, '[]')
@@ -467,8 +467,8 @@ SELECT {K}, CASE WHEN calls > 50 THEN 'failed' ELSE 'answered' END AS outcome, C
   CASE WHEN calls = 51 AND is_new = 1 THEN 'anonymous tier rate-limited' WHEN calls > 50 THEN 'anonymous tier exhausted earlier in this run' END AS detail
 FROM (SELECT *, sum(is_new) OVER (PARTITION BY project, run_id ORDER BY node_id) AS calls
 FROM (SELECT *, CASE WHEN row_number() OVER (PARTITION BY project, run_id, cache_key ORDER BY node_id) = 1
-    AND cache_key NOT IN (SELECT cache_key FROM o_requests WHERE o_custkey % 3 = 0) THEN 1 ELSE 0 END AS is_new
-  FROM o_requests WHERE o_custkey % 6 > 0) x) y""")
+    AND cache_key NOT IN (SELECT cache_key FROM o_cached) THEN 1 ELSE 0 END AS is_new
+  FROM o_requests WHERE o_custkey % 5 > 0) x) y""")
 
 
 def _preview(where: str, keys: str, source: str = "v_run") -> str:
@@ -543,9 +543,9 @@ oracle("check_run", f"""
 SELECT s.project, s.run_id, gate, coalesce(message, 'OK: all check gates passed.') AS message
 FROM o_stats s LEFT JOIN ({' UNION ALL '.join(GATES.values())}) f ON (s.project, s.run_id) = (f.project, f.run_id)""")
 STEPS["o_counts"] = """
-SELECT coalesce(c.project, b.project) AS project, coalesce(c.node_id, b.node_id) AS node_id, c.n AS cur, b.n AS base
-FROM (SELECT project, node_id, count(*) AS n FROM v_cur GROUP BY ALL) c
-FULL JOIN (SELECT project, node_id, count(*) AS n FROM v_base GROUP BY ALL) b ON c.node_id = b.node_id"""
+SELECT r.project, r.node_id, coalesce(c.n, 0) AS cur, coalesce(b.n, 0) AS base FROM v_resp r
+LEFT JOIN (SELECT node_id, count(*) AS n FROM v_cur GROUP BY ALL) c ON c.node_id = r.node_id
+LEFT JOIN (SELECT node_id, count(*) AS n FROM v_base GROUP BY ALL) b ON b.node_id = r.node_id"""
 STEPS["o_lost"] = "SELECT project, 'r1' AS run_id, node_id, base - cur AS edges_lost, cur AS current, base AS baseline FROM o_counts WHERE cur < base"
 oracle("gate_regression", f"""
 SELECT project, run_id, 'regression' AS gate, CAST(n AS STRING) || ' regression(s) vs baseline: ' || preview AS message

@@ -156,11 +156,14 @@ FROM (SELECT 'site' || CAST(user_id % 3 AS STRING) AS project, CAST(CAST(ts AS D
   FROM {events}) e""",
     # an earlier and the current lineage of the orders
     "v_base": """
-SELECT DISTINCT project, 'r0' AS run_id, node_id, target_col AS "column", source_parent_id AS up_table, source_col AS up_column
-FROM v_line_raw WHERE qty >= 10 AND source_parent_id IS NOT NULL""",
+SELECT DISTINCT project, 'r0' AS run_id, node_id, CASE WHEN qty < 10 THEN 'C0' ELSE target_col END AS "column",
+  source_parent_id AS up_table, source_col AS up_column FROM v_line_raw WHERE source_parent_id IS NOT NULL""",
     "v_cur": """
-SELECT DISTINCT project, 'r1' AS run_id, node_id, target_col AS "column", source_parent_id AS up_table, source_col AS up_column
-FROM v_line_raw WHERE qty <= 40 AND source_parent_id IS NOT NULL""",
+SELECT DISTINCT project, 'r1' AS run_id, node_id, "column", up_table, up_column FROM (
+  SELECT project, node_id, CASE WHEN qty > 40 THEN 'C1' ELSE target_col END AS "column",
+    CASE WHEN qty > 35 THEN 'merged' ELSE source_parent_id END AS up_table,
+    CASE WHEN node_id LIKE '%70' THEN NULL WHEN qty > 30 THEN 'k' ELSE source_col END AS up_column
+  FROM v_line_raw WHERE source_parent_id IS NOT NULL) x WHERE up_column IS NOT NULL""",
     # texts that cite rows, and the index of labelled rows
     "v_cite": """
 SELECT doc_id, text || ' E' || lpad(CAST(doc_id % 30 AS STRING), 2, '0') || ', E' || lpad(CAST(doc_id % 7 AS STRING), 2, '0')
@@ -217,12 +220,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def read_spread(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table whose rows mean much work each, such as parsing a text.
 
-    In fewer files than there are cores it is spread over the cores, since a file of one row
-    group is one task however many cores wait. In many files it is read as it is, unshuffled.
+    It is spread by the row's key, at every size alike: a file of one row group would be one task
+    however many cores wait.
     """
-    df = read_table(spark, sf_dir, name)
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores, *ROW_ID[name]) if len(df.inputFiles()) < cores else df
+    return read_table(spark, sf_dir, name).repartition(*ROW_ID[name])
 
 
 def spark_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -2,12 +2,8 @@
 
 from __future__ import annotations
 
-import re
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from colweave import schemas as S
 
@@ -27,6 +23,10 @@ MASK = "'<REDACTED>'"
 # Possessive form of STRING: it never backtracks, so a long literal cannot exhaust the JVM
 # stack. It finds the same literals as long as each one is closed.
 CLOSED_STRING = r"'(?:''|\\'|[^'\\]|\\)*+'"
+# The longest start of a text in which every literal is closed, and what STRING finds after it:
+# from the open quote to the last quote that no other quote can extend.
+CLOSED_HEAD = r"^(?:[^']|'(?:''|\\'|[^'\\]|\\)*+')*+"
+OPEN_STRING = r"'[\s\S]*(?:'(?='[^']*\z)|(?<=\\)'(?=[^']*\z))"
 
 
 def normalize_sql(sql: Column) -> Column:
@@ -38,78 +38,46 @@ def cache_key(sql: Column, dialect: Column, mode: Column, parser_version: Column
     return F.sha2(F.concat_ws("|", *[F.coalesce(p, F.lit("")) for p in parts]), 256)
 
 
-def _mask_unclosed():
-    """Arrow function that masks texts with an unclosed literal by the backtracking pattern.
-
-    All it needs is local to it, so executors get it by value and need not have this package.
-    """
-    quoted, string, number, mask = QUOTED, STRING, NUMBER, MASK
-
-    def one(sql: str) -> str:
-        names = re.findall(quoted, sql)
-        kept = iter(range(len(names)))
-        text = re.sub(quoted, lambda _: f"\x00IDENT{next(kept)}\x00", sql)
-        text = re.sub(number, "0", re.sub(string, mask, text))
-        return re.sub(
-            "\x00IDENT(\\d+)\x00", lambda m: names[int(m[1])] if int(m[1]) < len(names) else m[0], text
-        )
-
-    def many(sql: pd.Series) -> pd.Series:
-        return sql.map(one, na_action="ignore")
-
-    return F.pandas_udf(many, StringType())
-
-
 def mask_literals(df: DataFrame, sql: str = "sql", out: str = "masked") -> DataFrame:
     """Add ``out``: ``sql`` with strings and numbers masked and quoted identifiers kept.
 
-    Identifiers are cut out first, over the whole text, and put back last. Texts whose literals
-    are all closed stay in the JVM. A text with a quote left over after the possessive pass is
-    the only kind whose masking needs backtracking; the Arrow function gets just those (null
-    for all others).
+    Identifiers are cut out first, over the whole text, and put back last. What stands before the
+    first quote that is never closed has closed literals only; from there on, the text up to the
+    last quote that can end a literal is one literal. All of it runs in the JVM, by patterns that
+    do not recurse, so literals may be of any length.
     """
-    mark = F.lit("\u0000IDENT")
-    end = F.lit("\u0000")
-    placeholder = "\\x00IDENT([0-9]+)\\x00"
-    ids = F.regexp_extract_all(F.col(sql), F.lit(QUOTED), F.lit(0))
-    gaps = F.split(F.col(sql), QUOTED, -1)
+    mark, end, nul = F.lit("\u0000q"), F.lit("\u0000"), F.lit("\u0000!")
+    placeholder = "\\x00q([0-9]+)\\x00"
+    text = F.replace(F.col(sql), F.lit("\u0000"), nul)
     # every gap but the last is followed by the placeholder of its identifier
     stashed = F.array_join(
         F.transform(
-            F.col("_gaps"),
-            lambda gap, i: F.when(
-                i < F.size("_ids"), F.concat(gap, mark, i.cast("string"), end)
-            ).otherwise(gap),
+            F.split(F.col("_text"), QUOTED, -1),
+            lambda gap, i: F.when(i < F.size("_ids"), F.concat(gap, mark, i.cast("string"), end)).otherwise(gap),
         ),
         "",
     )
-    # the masks hold the only quotes that may remain
-    left_over = F.replace("_strings", F.lit(MASK), F.lit("")).contains("'")
+    head = F.regexp_extract("_stashed", CLOSED_HEAD, 0)
+    rest = F.substring(F.col("_stashed"), F.length("_head") + 1, F.length("_stashed"))
+    masked = F.concat(F.regexp_replace("_head", CLOSED_STRING, MASK), F.regexp_replace(rest, OPEN_STRING, MASK))
     # an identifier inside a literal is masked with it, so the survivors name themselves
     survivors = F.regexp_extract_all(F.col("_numbers"), F.lit(placeholder), F.lit(1))
     restored = F.array_join(
         F.transform(
-            F.col("_pieces"),
-            lambda piece, i: F.concat(
-                piece,
-                F.coalesce(F.get(F.col("_ids"), F.get(F.col("_left"), i).cast("int")), F.lit("")),
-            ),
+            F.split("_numbers", placeholder, -1),
+            lambda piece, i: F.concat(piece, F.coalesce(F.get(F.col("_ids"), F.get(F.col("_left"), i).cast("int")), F.lit(""))),
         ),
         "",
     )
     steps = (
-        df.withColumns({"_ids": ids, "_gaps": gaps})
+        df.withColumn("_text", text)
+        .withColumn("_ids", F.regexp_extract_all(F.col("_text"), F.lit(QUOTED), F.lit(0)))
         .withColumn("_stashed", stashed)
-        .withColumn("_strings", F.regexp_replace("_stashed", CLOSED_STRING, MASK))
-        .withColumn("_slow", left_over | F.col(sql).contains("\u0000"))
-        .withColumn("_numbers", F.regexp_replace("_strings", "(?U)" + NUMBER, "0"))
-        .withColumns({"_pieces": F.split("_numbers", placeholder, -1), "_left": survivors})
-        .withColumn("_fast", restored)
+        .withColumn("_head", head)
+        .withColumn("_numbers", F.regexp_replace(masked, "(?U)" + NUMBER, "0"))
+        .withColumn("_left", survivors)
     )
-    slow = F.col("_slow")
-    return steps.withColumn(
-        out, F.when(slow, _mask_unclosed()(F.when(slow, F.col(sql)))).otherwise(F.col("_fast"))
-    ).drop("_ids", "_gaps", "_stashed", "_strings", "_slow", "_numbers", "_pieces", "_left", "_fast")
+    return steps.withColumn(out, F.replace(restored, nul, F.lit("\u0000"))).drop("_text", "_ids", "_stashed", "_head", "_numbers", "_left")
 
 
 def _first_marker(sql: Column, values: list) -> Column:

@@ -54,17 +54,26 @@ def cache_hit_stats(requests: DataFrame, cache: DataFrame) -> DataFrame:
     return out.withColumn("hit_rate_pct", share.cast("bigint"))
 
 
+def one_per_key(responses: DataFrame) -> DataFrame:
+    """One answer per key, the latest if the answers have a time; ties go to the greatest, so the
+    order of arrival does not matter."""
+    rest = sorted((c for c in responses.columns if c != "cache_key"), key=lambda c: (c != "written", c))
+    return responses.groupBy("cache_key").agg(F.max(F.struct(*rest)).alias("x")).select("cache_key", "x.*")
+
+
 def write_response_cache(responses: DataFrame, path: str) -> None:
     """Append responses, one per key, in directories by the first two characters of the key.
 
     The keys are digests, so the directories are of equal size and a repartition by them is even.
+    Every write has a time, by which the latest answer to a key is read.
     """
-    bucketed = responses.dropDuplicates(["cache_key"]).withColumn("bucket", F.left("cache_key", F.lit(2)))
-    bucketed.repartition("bucket").write.mode("append").partitionBy("bucket").parquet(path)
+    stamped = one_per_key(responses).withColumns({"bucket": F.left("cache_key", F.lit(2)), "written": F.unix_micros(F.current_timestamp())})
+    stamped.repartition("bucket").write.mode("append").partitionBy("bucket").parquet(path)
 
 
 def read_response_cache(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """The stored answers, one per key."""
+    return one_per_key(spark.read.parquet(path)).drop("written")
 
 
 def quota_cut(
@@ -75,7 +84,8 @@ def quota_cut(
 ) -> DataFrame:
     """Outcome of every eligible node when a run may spend ``budget`` calls.
 
-    Nodes go in order of their id; a key that is neither cached nor seen earlier spends a call.
+    Nodes go in order of their id; a key without a usable entry that was not seen
+    earlier spends a call.
     From the node that needs call number budget + 1 on, all nodes of the run fail.
 
     Only that one node per run has to be found. The first node of each new key is an aggregate;
@@ -86,7 +96,7 @@ def quota_cut(
     firsts = (
         eligible.groupBy(*RUN, "cache_key")
         .agg(F.min("node_id").alias("node_id"))
-        .join(cache.select("cache_key").distinct(), "cache_key", "left_anti")
+        .join(usable_entries(cache), "cache_key", "left_anti")
         .withColumn("salt", F.pmod(F.xxhash64("cache_key"), F.lit(SALTS)))
     )
     by_salt = F.row_number().over(W.partitionBy(*RUN, "salt").orderBy("node_id"))

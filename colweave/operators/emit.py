@@ -1,10 +1,8 @@
 """Lineage documents and catalog payloads.
 
-A payload belongs to one node, and a node may hold any share of the data. Items of a node are
-therefore counted first; above ``PART_LIMIT`` they are spread by hash over several parts, each a
-complete payload with a share of the items, so no row grows without bound and nothing is cut off.
-Ordinary nodes have one part. ``documents.tables_of`` unites the parts of a document; a catalog
-loader must merge payloads with ``parts > 1`` before it sends them.
+A payload belongs to one node and has one form whatever the node's size. All items of a node come
+from one parser answer and one manifest entry, so a payload is bounded by those rows. The flat
+tables (edges, columns, unresolved) are the form for analysis.
 """
 
 from __future__ import annotations
@@ -23,35 +21,13 @@ from colweave.functions.rules import (
     service_fqn,
     service_name,
 )
-from colweave.session import KEY, RUN, cut_lineage
-
-PART_LIMIT = 20_000
+from colweave.session import KEY, RUN
 
 
 def emit_status_filter(nodes: DataFrame) -> DataFrame:
     return nodes.where(F.col("status").isin(*S.EMITTED_STATUSES))
 
 
-def with_parts(items: DataFrame, keys: list[str], limit: int) -> DataFrame:
-    """Add ``part`` and ``parts``. Only keys with more than ``limit`` items are in the join's
-    right side, so it has at most (all items / limit) rows. The items are written once, because
-    they are both counted and joined."""
-    items = cut_lineage(items)
-    large = (
-        items.groupBy(*keys)
-        .agg(F.count("*").alias("n"))
-        .where(F.col("n") > limit)
-        .select(*keys, F.ceil(F.col("n") / limit).cast("int").alias("parts"))
-    )
-    content = [c for c in items.columns if c not in keys]
-    spread = F.pmod(F.xxhash64(*content), F.col("parts")).cast("int")
-    return (
-        items.join(large, keys, "left")
-        .withColumn("parts", F.coalesce("parts", F.lit(1)))
-        .withColumn("part", spread)
-    )
-
-
 def _sorted(c: Column) -> Column:
     return F.sort_array(c)
 
@@ -80,9 +56,9 @@ def render_lineage_doc(
     unresolved: DataFrame,
     diagnostics: DataFrame | None = None,
     writes: DataFrame | None = None,
-    limit: int = PART_LIMIT,
+    detail_chars: int = 200,
 ) -> DataFrame:
-    """One JSON document per node (per part): keys A to Z, arrays in a fixed order.
+    """One JSON document per node: keys A to Z, arrays in a fixed order.
 
     Columns go by name, upstreams by (table, column), tables and children by name, reasons in
     the order of ``unresolved_rows``. Evidence appears only for nodes that have some.
@@ -115,10 +91,8 @@ def render_lineage_doc(
         parts.append(items(diagnostics, g=F.struct("err_ord", "type", "category", "near_column", "line", "col", "message")))
     if writes is not None:
         parts.append(items(writes, w=F.struct("target_fqn", "target_col", "up_table", "up_column", "sub_type")))
-    spread = with_parts(reduce(DataFrame.unionByName, parts), KEY, limit)
-
-    # first bring the upstreams of a column together, then the items of a part
-    inner = spread.groupBy(*KEY, "part", "parts", "c", F.col("w.target_fqn").alias("wt"), F.col("w.sub_type").alias("ws")).agg(
+    # first bring the upstreams of a column together, then the items of a node
+    inner = reduce(DataFrame.unionByName, parts).groupBy(*KEY, "c", F.col("w.target_fqn").alias("wt"), F.col("w.sub_type").alias("ws")).agg(
         F.collect_list("u").alias("us"),
         F.collect_list("t").alias("ts"),
         F.collect_list("d").alias("ds"),
@@ -134,7 +108,7 @@ def render_lineage_doc(
         F.col("wt").isNotNull(),
         F.struct(F.col("wt").alias("table"), F.col("ws").alias("sub_type"), _sorted(F.col("ws_list")).alias("edges")),
     )
-    outer = inner.groupBy(*KEY, "part", "parts").agg(
+    outer = inner.groupBy(*KEY).agg(
         _sorted(F.collect_list(column)).alias("cs"),
         _sorted(F.flatten(F.collect_list("ts"))).alias("ts"),
         _sorted(F.flatten(F.collect_list("ds"))).alias("ds"),
@@ -151,6 +125,10 @@ def render_lineage_doc(
     def pair(u: Column) -> Column:
         return F.struct(u["column"].alias("column"), u["table"].alias("table"))
 
+    def reason(r: Column) -> Column:
+        """A reason as it is, but for the parser's error text, of which a document has the start."""
+        return F.struct(*[(F.left(r[f], F.lit(detail_chars)) if f == "detail" else r[f]).alias(f) for f in sorted(REASON)])
+
     def write_target(w: Column) -> Column:
         return F.struct(
             F.array_distinct(F.transform(w["edges"], lambda e: e["target_col"])).alias("columns"),
@@ -196,30 +174,27 @@ def render_lineage_doc(
         evidence.alias("evidence"),
         "node_id",
         "status",
-        listed("rs", lambda r: F.struct(*[r[f].alias(f) for f in sorted(REASON)])).alias("unresolved"),
+        listed("rs", reason).alias("unresolved"),
         listed("ts", lambda t: t).alias("upstream_tables"),
         F.array().cast("array<string>").alias("warnings"),
     )
-    return joined.select(
-        *KEY, F.coalesce("part", F.lit(0)).alias("part"), F.coalesce("parts", F.lit(1)).alias("parts"),
-        F.to_json(doc).alias("doc"),
-    )
+    return joined.select(*KEY, F.to_json(doc).alias("doc"))
 
 
 def document_lines(docs: DataFrame, headers: DataFrame) -> DataFrame:
     """Lines that, in order, make up one JSON document per run.
 
     ``headers`` has one row per run: ``head`` (JSON members that sort before ``nodes``) and
-    ``tail`` (those after). Order: project, run_id, section, node_id, part.
+    ``tail`` (those after). Order: project, run_id, section, node_id.
     """
-    first = docs.groupBy(*RUN).agg(F.min(F.struct("node_id", "part")).alias("first"))
-    comma = F.when(F.struct("node_id", "part") == F.col("first"), "").otherwise(",")
+    first = docs.groupBy(*RUN).agg(F.min("node_id").alias("first"))
+    comma = F.when(F.col("node_id") == F.col("first"), "").otherwise(",")
     body = docs.join(first, RUN).select(
-        *RUN, F.lit(1).alias("section"), "node_id", "part", F.concat(comma, "doc").alias("line")
+        *RUN, F.lit(1).alias("section"), "node_id", F.concat(comma, "doc").alias("line")
     )
 
     def edge(section: int, text: Column) -> DataFrame:
-        return headers.select(*RUN, F.lit(section).alias("section"), F.lit("").alias("node_id"), F.lit(0).alias("part"), text.alias("line"))
+        return headers.select(*RUN, F.lit(section).alias("section"), F.lit("").alias("node_id"), text.alias("line"))
 
     head = edge(0, F.concat(F.lit("{"), "head", F.lit(',"nodes":[')))
     tail = edge(2, F.concat(F.lit("],"), "tail", F.lit("}")))
@@ -248,12 +223,13 @@ def document_headers(
 
 def deterministic_order(lines: DataFrame) -> DataFrame:
     """Total order of document lines; a range partitioning, so no task sorts it all."""
-    return lines.orderBy(*RUN, "section", "node_id", "part")
+    return lines.orderBy(*RUN, "section", "node_id")
 
 
 def write_documents(lines: DataFrame, path: str) -> None:
-    """Text files per run; read in name order they are the run's JSON document."""
-    deterministic_order(lines).select(*RUN, "line").write.mode("overwrite").partitionBy(*RUN).text(path)
+    """Text files per run; read in name order they are the run's JSON document. Other runs in the
+    folder stay."""
+    deterministic_order(lines).select(*RUN, "line").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*RUN).text(path)
 
 
 # --- catalogs -------------------------------------------------------------------------------
@@ -267,7 +243,6 @@ def emit_datahub(
     env: str = "PROD",
     platform_map: Mapping[str, str] | None = None,
     generator: str = "colweave",
-    limit: int = PART_LIMIT,
 ) -> DataFrame:
     """One upstreamLineage change proposal per parsed or partial node.
 
@@ -278,7 +253,7 @@ def emit_datahub(
         *KEY, F.struct("column", "up_table", "up_column", "transform").alias("f"), F.lit(None).cast("string").alias("t")
     )
     coarse = tables.select(*KEY, F.lit(None).cast(fine.schema["f"].dataType).alias("f"), F.col("fqn").alias("t"))
-    grouped = with_parts(fine.unionByName(coarse), KEY, limit).groupBy(*KEY, "part", "parts").agg(
+    grouped = fine.unionByName(coarse).groupBy(*KEY).agg(
         _sorted(F.collect_list("f")).alias("fs"), _sorted(F.collect_list("t")).alias("ts")
     )
     joined = (
@@ -322,10 +297,7 @@ def emit_datahub(
             F.lit(generator).alias("runId"),
         ).alias("systemMetadata"),
     )
-    return joined.select(
-        *KEY, F.coalesce("part", F.lit(0)).alias("part"), F.coalesce("parts", F.lit(1)).alias("parts"),
-        F.to_json(proposal).alias("payload"),
-    )
+    return joined.select(*KEY, F.to_json(proposal).alias("payload"))
 
 
 def emit_openmetadata(
@@ -333,7 +305,6 @@ def emit_openmetadata(
     edges: DataFrame,
     tables: DataFrame,
     service: str | None = None,
-    limit: int = PART_LIMIT,
 ) -> DataFrame:
     """One lineage request per (node, upstream table), with its column pairs by target column.
 
@@ -343,12 +314,11 @@ def emit_openmetadata(
     known = tables.select(*KEY, F.col("fqn").alias("up_table")).distinct()
     items = known.join(edges, pair, "left").select(*pair, "column", "up_column")
     per_column = (
-        with_parts(items, pair, limit)
-        .groupBy(*pair, "part", "parts", "column")
+        items.groupBy(*pair, "column")
         .agg(_sorted(F.collect_list("up_column")).alias("ups"))
     )
     entry = F.when(F.col("column").isNotNull(), F.struct("column", "ups"))
-    requests = per_column.groupBy(*pair, "part", "parts").agg(_sorted(F.collect_list(entry)).alias("cols"))
+    requests = per_column.groupBy(*pair).agg(_sorted(F.collect_list(entry)).alias("cols"))
     joined = (
         requests.join(
             emit_status_filter(nodes).select(*KEY, service_name(F.col("dialect"), service).alias("svc")), KEY
@@ -370,9 +340,9 @@ def emit_openmetadata(
     edge = F.struct(
         entity("source").alias("fromEntity"), details.alias("lineageDetails"), entity("target").alias("toEntity")
     )
-    return joined.select(*pair, "part", "parts", F.to_json(F.struct(edge.alias("edge"))).alias("payload"))
+    return joined.select(*pair, F.to_json(F.struct(edge.alias("edge"))).alias("payload"))
 
 
 def write_payloads(payloads: DataFrame, path: str) -> None:
-    """One payload per line, in directories by project and run."""
-    payloads.select(*RUN, "payload").write.mode("overwrite").partitionBy(*RUN).text(path)
+    """One payload per line, in directories by project and run. Other runs in the folder stay."""
+    payloads.select(*RUN, "payload").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*RUN).text(path)

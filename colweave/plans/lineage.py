@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from colweave.operators import emit, evidence, mapper, quality
-from colweave.operators.cache import prepare_sql
+from colweave.operators.cache import one_per_key, prepare_sql
 from colweave.operators.compare import diff_headline, diff_report, edge_count_regressions, edge_counts
 from colweave.operators.select import eligibility_with_sql, select_nodes
 from colweave.session import KEY, RUN, cut_lineage
@@ -60,7 +60,7 @@ def map_run(planned: DataFrame, answers: DataFrame) -> Lineage:
     a single time), the tables, the resolved lines and the grouped edges.
     """
     answered = R.classify_responses(
-        planned.where("eligible").join(answers.dropDuplicates(["cache_key"]), "cache_key", "left")
+        planned.where("eligible").join(one_per_key(answers), "cache_key", "left")
     )
     good = answered.where("outcome = 'ok' and payload is not null")
     flows = cut_lineage(R.normalize_responses(good).select(*KEY, "flow"))

@@ -42,7 +42,7 @@ def tables_of(nodes: DataFrame) -> LineageTables:
 
 
 def parse_node_lines(lines: DataFrame) -> LineageTables:
-    """``lines``: project, run_id, doc - one node (or one part of a large node) per line."""
+    """``lines``: project, run_id, doc - one node per line."""
     return tables_of(
         lines.select(*RUN, F.lit(0).alias("node_ord"), F.from_json("doc", S.NODE_DOCUMENT).alias("n"))
     )

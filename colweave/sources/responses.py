@@ -40,7 +40,7 @@ def classify_responses(raw: DataFrame, mode: Column | None = None) -> DataFrame:
         {
             "outcome": F.when(reason.isNull(), "ok").otherwise("failed"),
             "reason": reason,
-            "detail": F.when(reason.isNotNull(), F.left(F.col("detail"), F.lit(200))),
+            "detail": F.when(reason.isNotNull(), F.col("detail")),
         }
     )
 

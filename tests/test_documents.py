@@ -175,26 +175,25 @@ def test_catalog_payloads(mapped):
     }}
 
 
-def test_large_nodes_come_in_whole_parts(spark):
-    """A node beyond the limit is spread over parts; together they hold every item once."""
-    edges = [("p", "r", "big", f"c{i % 3}", f"t{i}", "k") for i in range(500)] + [("p", "r", "small", "c", "t", "k")]
-    edges = spark.createDataFrame(edges, "project string, run_id string, node_id string, column string, up_table string, up_column string")
+def test_a_node_of_any_size_is_one_payload(spark, tmp_path):
+    i = F.col("id")
+    big = spark.range(50_000).select(F.lit("p").alias("project"), F.lit("r").alias("run_id"), F.lit("big").alias("node_id"), F.concat(F.lit("c"), i % 3).alias("column"), F.concat(F.lit("t"), i).alias("up_table"), F.lit("k").alias("up_column"))
+    edges = big.unionByName(big.limit(1).withColumn("node_id", F.lit("small")))
     columns = edges.select(*KEY, F.col("column").alias("name"), F.lit("direct").alias("transform"), F.lit("high").alias("confidence")).distinct()
     nodes = columns.select(*KEY, F.lit("parsed").alias("status"), F.lit("high").alias("confidence"), F.lit("dbvspark").alias("dialect")).distinct()
     tables = edges.select(*KEY, F.col("up_table").alias("fqn")).distinct()
     none = spark.createDataFrame([], "project string, run_id string, node_id string, child_id string")
     reasons = spark.createDataFrame([], "project string, run_id string, node_id string, section int, ord long, src_ord long, reason string, target_column string, rel_type string, source_parent_id string, line long, col long, parser_message string, marker string, fragment_preview string, detail string")
-    docs = emit.render_lineage_doc(nodes, columns, edges, tables, none, reasons, limit=100)
-    counts = {r.node_id: r.n for r in docs.groupBy("node_id").agg(F.count("*").alias("n")).collect()}
-    assert counts["small"] == 1 and counts["big"] > 5
-    back = documents.parse_node_lines(docs)
-    keep = [*KEY, "column", "up_table", "up_column"]
-    assert sorted(back.edges.select(keep).collect()) == sorted(edges.select(keep).collect())
-    assert sorted(back.columns.select(*KEY, "name").collect()) == sorted(columns.select(*KEY, "name").collect())
-    assert back.nodes.count() == 2 and back.tables.count() == 501
-    fine = emit.emit_datahub(nodes, columns, edges, tables, limit=100).where("node_id = 'big'").collect()
-    assert sum(len(json.loads(r.payload)["aspect"]["json"]["fineGrainedLineages"]) for r in fine) == 500
-    assert {r.parts for r in fine} == {10}
+    docs = emit.render_lineage_doc(nodes, columns, edges, tables, none, reasons)
+    assert sorted(r.node_id for r in docs.collect()) == ["big", "small"]
+    assert documents.parse_node_lines(docs).edges.count() == 50_001
+    fine = emit.emit_datahub(nodes, columns, edges, tables)
+    (row,) = fine.where("node_id = 'big'").collect()
+    assert len(json.loads(row.payload)["aspect"]["json"]["fineGrainedLineages"]) == 50_000
+    path = str(tmp_path / "out")
+    emit.write_payloads(fine, path)
+    emit.write_payloads(fine.withColumn("run_id", F.lit("r2")), path)  # leaves the other run alone
+    assert {r.run_id: r.n for r in spark.read.text(path).groupBy("run_id").agg(F.count("*").alias("n")).collect()} == {"r": 2, "r2": 2}
 
 
 def test_evidence_in_document(spark):

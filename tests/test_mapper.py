@@ -27,19 +27,19 @@ def rel(kind, target, *sources):
 SRC, RS = table("1", "src"), table("2", "RS-1")
 ONE = tree(tables=[SRC], others=[RS])
 TWO_TARGETS = tree(
-    tables=[SRC, table("2", "delta"), table("3", "tmp1", subType="temp_table"), table("4", "tmp2", subType="temp_table")],
-    others=[table("5", "RS-1"), table("6", "RS-2")],
+    tables=[table("b", "sold", subType="temp_table"), table("h", "herd"), table("a", "fed", subType="temp_table"), table("f", "feed")],
+    others=[table("x", "RS-8"), table("y", "RS-3")],
 )
 ORPHAN = "find orphan column(10500) near: "
 
 CASES = {
     "empty": {},
     "single": {
-        "dbobjs": tree(tables=[SRC], others=[RS], server="s", db="d", schema="sch"),
-        "relationships": [rel("fdd", ("2", "id"), ("1", "id"))],
+        "dbobjs": tree(tables=[table("t7", "herd")], others=[table("r9", "RS-4")], server="north", db="farm", schema="main"),
+        "relationships": [rel("fdd", ("r9", "weight"), ("t7", "kg"))],
     },
     "defaults": {
-        "dbobjs": tree(tables=[table("1", "users")], server="DEFAULT_SERVER", db="DEFAULT", schema="myschema"),
+        "dbobjs": tree(views=[table("k", "barns")], server="DEFAULT_SERVER", db="DEFAULT", schema="land"),
         "relationships": [],
     },
     "unknown_source": {"dbobjs": tree(others=[RS]), "relationships": [rel("fdd", ("2", "id"), ("999", "id"))]},
@@ -55,26 +55,26 @@ CASES = {
     "procedural": {
         "dbobjs": TWO_TARGETS,
         "relationships": [
-            rel("fdd", ("5", "id"), ("1", "id")),
-            rel("fdd", ("3", "id"), ("5", "id")),
-            rel("fdd", ("6", "id"), ("2", "id")),
-            rel("fdd", ("4", "id"), ("6", "id")),
+            rel("fdd", ("a", "grams"), ("y", "g")),
+            rel("fdd", ("y", "g"), ("f", "amount")),
+            rel("fdd", ("x", "who"), ("h", "tag")),
+            rel("fdd", ("b", "animal"), ("x", "who")),
         ],
-        "processes": [{"id": "p1"}, {"id": "p2"}],
+        "processes": [{"id": "q"}, {"id": "r"}, {"id": "s"}],
     },
     "single_target": {
-        "dbobjs": tree(tables=[SRC, table("2", "tgt")], others=[table("3", "RS-1")]),
-        "relationships": [rel("fdd", ("3", "id"), ("1", "id")), rel("fdd", ("2", "id"), ("3", "id"))],
+        "dbobjs": tree(tables=[table("out", "yield"), table("in", "plots")], others=[table("mid", "RS-5")]),
+        "relationships": [rel("fdd", ("out", "tons"), ("mid", "t")), rel("fdd", ("mid", "t"), ("in", "area"))],
     },
     "orphan": {
-        "dbobjs": tree(tables=[SRC], views=[table("9", "v_target")], others=[RS]),
+        "dbobjs": tree(tables=[table("h", "herd")], views=[table("w", "v_herd")], others=[table("m", "RS-6")]),
         "relationships": [
-            rel("fdd", ("2", "id"), ("1", "id")),
-            rel("fdd", ("9", "id"), ("2", "id")),
-            rel("fdd", ("2", "SORT_KEY"), ("999", "SORT_KEY")),
+            rel("fdd", ("w", "tag"), ("m", "tag")),
+            rel("fdd", ("m", "Breed_Code"), ("gone", "code")),
+            rel("fdd", ("m", "tag"), ("h", "tag")),
         ],
         "errors": [
-            {"errorType": "SyntaxHint", "errorMessage": ORPHAN + "[Sort_Key](14,8)", "originCoordinates": [{"x": 1, "y": 30}]}
+            {"errorType": "SyntaxHint", "errorMessage": ORPHAN + "[breed_code](5,21)", "originCoordinates": [{"x": 4, "y": 2}]}
         ],
     },
     "untraced": {
@@ -159,12 +159,12 @@ def test_empty_response(result):
 
 def test_single_edge(result):
     assert of(result, "status", "single") == [("parsed", "high", 1, 1)]
-    assert of(result, "edges", "single") == [("id", "s.d.sch.src", "id")]
-    assert of(result, "tables", "single") == [("s.d.sch.src",)]
+    assert of(result, "edges", "single") == [("weight", "north.farm.main.herd", "kg")]
+    assert of(result, "tables", "single") == [("north.farm.main.herd",)]
 
 
 def test_default_names_are_blank(result):
-    assert of(result, "tables", "defaults") == [("myschema.users",)]
+    assert of(result, "tables", "defaults") == [("land.barns",)]
     assert of(result, "status", "defaults") == [("partial", "low", 0, 0)]
 
 
@@ -180,17 +180,17 @@ def test_synthetic_columns_drop_out(result):
 
 def test_procedural_evidence(result):
     rows = of(result, "writes", "procedural")
-    assert [(r[0], r[1], r[2], r[3]) for r in rows] == [("tmp1", "id", "src", "id"), ("tmp2", "id", "delta", "id")]
-    assert {r[4:] for r in rows} == {(2, 2, 2, "temp_table")}
+    assert [(r[0], r[1], r[2], r[3]) for r in rows] == [("fed", "grams", "feed", "amount"), ("sold", "animal", "herd", "tag")]
+    assert {r[4:] for r in rows} == {(2, 2, 3, "temp_table")}
     assert of(result, "writes", "single_target") == []
 
 
 def test_orphan_column(result):
     assert of(result, "diagnostics", "orphan") == [
-        (0, "SyntaxHint", "orphan_column", "Sort_Key", 14, 8, ORPHAN + "[Sort_Key](14,8)")
+        (0, "SyntaxHint", "orphan_column", "breed_code", 5, 21, ORPHAN + "[breed_code](5,21)")
     ]
     rows = [r for r in of(result, "unresolved", "orphan") if r[3] == "parser_orphan_column"]
-    assert [(r[4], r[7], r[8]) for r in rows] == [("SORT_KEY", 14, 8)]
+    assert [(r[4], r[7], r[8]) for r in rows] == [("Breed_Code", 5, 21)]
 
 
 def test_untraced_column(result):

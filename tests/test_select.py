@@ -4,17 +4,18 @@ import pytest
 
 from colweave.operators import cache, graph, select
 
+#: A diamond (load feeds left and right, both feed join) with a snapshot after it and one test.
 NODES = [
-    ("model.demo.stg_orders", "stg_orders", "model", ["demo", "staging", "stg_orders"], ["staging"]),
-    ("model.demo.fct_orders", "fct_orders", "model", ["demo", "marts", "fct_orders"], ["marts", "core"]),
-    ("model.demo.dim_users", "dim_users", "model", ["demo", "marts", "dim_users"], ["marts"]),
-    ("test.demo.unique_stg", "unique_stg", "test", ["demo", "tests", "unique_stg"], None),
-]
-STG, FCT, DIM, TEST = (n[0] for n in NODES)
-EDGES = [
-    ("parent_map", STG, FCT), ("parent_map", STG, DIM), ("parent_map", "source.raw", STG),
-    ("child_map", STG, FCT), ("child_map", STG, DIM),
+    ("model.zoo.load", "load", "model", ["zoo", "in", "load"], ["raw"]),
+    ("model.zoo.left", "left", "model", ["zoo", "mid", "left"], ["mid", "slow"]),
+    ("model.zoo.right", "right", "model", ["zoo", "mid", "right"], ["mid"]),
+    ("model.zoo.join", "join", "model", ["zoo", "out", "join"], ["out"]),
+    ("snapshot.zoo.kept", "kept", "snapshot", ["zoo", "kept"], None),
+    ("test.zoo.not_null", "not_null", "test", ["zoo", "checks", "not_null"], None),
 ]
+LOAD, LEFT, RIGHT, JOIN, KEPT, TEST = (n[0] for n in NODES)
+LINKS = [(LOAD, LEFT), (LOAD, RIGHT), (LEFT, JOIN), (RIGHT, JOIN), (JOIN, KEPT)]
+EDGES = [(kind, *link) for kind in ("parent_map", "child_map") for link in LINKS] + [("parent_map", "source.animals", LOAD)]
 
 
 @pytest.fixture(scope="module")
@@ -32,15 +33,16 @@ def demo(spark):
 @pytest.mark.parametrize(
     "kwargs, expected",
     [
-        ({}, {STG, FCT, DIM, TEST}),
-        ({"select": ["stg_orders"]}, {STG}),
-        ({"select": ["DEMO.marts.Dim_Users", " tag:core "]}, {DIM, FCT}),
-        ({"select": ["tag:Core"]}, set()),
-        ({"select": ["stg_orders+"]}, {STG, FCT, DIM}),
-        ({"select": ["+fct_orders"]}, {STG, FCT}),
-        ({"select": ["tag:marts"], "exclude": ["dim_users"]}, {FCT}),
-        ({"exclude": ["+fct_orders"]}, {DIM, TEST}),
-        ({"resource_types": [" Model "]}, {STG, FCT, DIM}),
+        ({}, {LOAD, LEFT, RIGHT, JOIN, KEPT, TEST}),
+        ({"select": ["right"]}, {RIGHT}),
+        ({"select": ["ZOO.mid.Left", " tag:out "]}, {LEFT, JOIN}),
+        ({"select": ["tag:Slow"]}, set()),
+        ({"select": ["left+"]}, {LEFT, JOIN, KEPT}),
+        ({"select": ["+join"]}, {LOAD, LEFT, RIGHT, JOIN}),
+        ({"select": ["load+"]}, {LOAD, LEFT, RIGHT, JOIN, KEPT}),
+        ({"select": ["tag:mid"], "exclude": ["right"]}, {LEFT}),
+        ({"exclude": ["+left", "tag:out"]}, {RIGHT, KEPT, TEST}),
+        ({"resource_types": [" Snapshot "]}, {KEPT}),
         ({"select": ["  "]}, set()),
     ],
 )
@@ -75,7 +77,8 @@ def test_quota_cut_equals_walk(spark):
     ]
     cached = {"k3", "k8"}
     df = spark.createDataFrame(planned, "project string, run_id string, node_id string, cache_key string, eligible boolean")
-    known = spark.createDataFrame([(k,) for k in cached], "cache_key string")
+    entries = [(k, "{}") for k in cached] + [("k1", "{broken"), ("k12", "")]  # a broken entry spends a call
+    known = spark.createDataFrame(entries, "cache_key string, payload string")
     for budget in (0, 4, 100):
         got = {(r.run_id, r.node_id): (r.outcome, r.detail) for r in cache.quota_cut(df, known, budget, "limit").collect()}
         for run in ("r1", "run2"):
@@ -133,3 +136,8 @@ def test_cache(spark, tmp_path):
     assert {r.node_id for r in todo.collect()} == {"b", "c", "d"}
     (stats,) = cache.cache_hit_stats(requests, stored).collect()
     assert (stats.hits, stats.misses, stats.hit_rate_pct) == (2, 2, 50)
+    later = spark.createDataFrame([("k3", '{"code": 201}'), ("k4", "{}")], "cache_key string, payload string")
+    cache.write_response_cache(later, path)
+    again = {r.cache_key: r.payload for r in cache.read_response_cache(spark, path).collect()}
+    assert again == {"k1": '{"code": 200}', "k3": '{"code": 201}', "k4": "{}"}
+    assert cache.read_response_cache(spark, path).count() == 3
