@@ -41,6 +41,9 @@ REGISTERS = BANDS * ROWS
 #: deviations under SIMILARITY) are no candidates.
 BUCKET = 256
 HOPELESS = 0.69
+#: A star around one member of a large bucket takes likely links only; the others are sought in the
+#: narrower buckets.
+LIKELY = 0.77
 FORESTS = 2
 #: In how many ways a large bucket is split at each further level.
 SPLITS = (3, 3)
@@ -172,7 +175,7 @@ def _forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Edges from each member of a bucket to the one it is compared with."""
     for batch in batches:
-        ok = ((_matrix(batch.column("sig")) == _matrix(batch.column("lead_sig"))).mean(1) >= HOPELESS) & (batch.column("doc_id").to_numpy() != batch.column("lead").to_numpy())
+        ok = ((_matrix(batch.column("sig")) == _matrix(batch.column("lead_sig"))).mean(1) >= LIKELY) & (batch.column("doc_id").to_numpy() != batch.column("lead").to_numpy())
         a, b = batch.column("doc_id").to_numpy()[ok], batch.column("lead").to_numpy()[ok]
         yield pa.record_batch({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b))})
 
