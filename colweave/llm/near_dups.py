@@ -196,22 +196,32 @@ def _split(level: int, ways: int):
     return run
 
 
+def _sized(rows: DataFrame, pool: DataFrame) -> DataFrame:
+    """Buckets of several members with their size; large ones also with a leading member and its
+    signature from the pool. The lead is the id that is least after xor with the bucket's hash, so
+    that buckets of the same documents have different leads."""
+    sizes = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min(F.col("doc_id").bitwiseXOR(F.col("bucket"))).alias("x")).where("n > 1")
+    sizes = sizes.select("bucket", "n", F.col("x").bitwiseXOR(F.col("bucket")).alias("lead"))
+    leads = pool.select(F.col("doc_id").alias("lead"), F.col("sig").alias("lead_sig"))
+    # an id with several texts has several signatures: one of them leads
+    large = sizes.where(F.col("n") > BUCKET).join(leads, "lead").groupBy("bucket", "n", "lead").agg(F.min("lead_sig").alias("lead_sig"))
+    return sizes.where(F.col("n") <= BUCKET).withColumn("lead_sig", F.lit(None).cast("binary")).unionByName(large)
+
+
 def candidates(reps: DataFrame) -> DataFrame:
     """Distinct candidate pairs (a < b) of the signed documents."""
     light = reps.select("doc_id", F.explode("bands").alias("bucket"))
+    pool = reps.select("doc_id", "sig")
     members, found, level = None, [], 0
     while True:
-        rows = light if members is None else members
-        sizes = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min(F.xxhash64("doc_id", "bucket")).alias("lead_hash")).where("n > 1")
+        sized = _sized(light if members is None else members, pool)
         if members is None:
-            shared = rows.join(sizes, "bucket")
-            members = shared.join(reps.select("doc_id", "sig"), "doc_id")
+            members = light.join(sized, "bucket").join(pool, "doc_id")
         else:
-            members = rows.join(sizes, "bucket")
-        members = cut_lineage(members.select("bucket", "doc_id", "sig", "n", "lead_hash"))
+            members = members.join(sized, "bucket")
+        members = cut_lineage(members.select("bucket", "doc_id", "sig", "n", "lead", "lead_sig"))
         large = members.where(F.col("n") > BUCKET)
-        lead = large.where(F.xxhash64("doc_id", "bucket") == F.col("lead_hash")).groupBy("bucket").agg(F.min(F.struct(F.col("doc_id").alias("lead"), F.col("sig").alias("lead_sig"))).alias("x")).select("bucket", "x.*")
-        found.append(large.join(lead, "bucket").select("doc_id", "sig", "lead", "lead_sig").mapInArrow(_stars, "a long, b long"))
+        found.append(large.select("doc_id", "sig", "lead", "lead_sig").mapInArrow(_stars, "a long, b long"))
         small = members.where(F.col("n") <= BUCKET).select("bucket", "doc_id", "sig")
         last = level == len(SPLITS)
         if last:
@@ -220,6 +230,7 @@ def candidates(reps: DataFrame) -> DataFrame:
         found.append(small.repartition("bucket").sortWithinPartitions("bucket", "doc_id").mapInArrow(_forests, "a long, b long"))
         if last or large.isEmpty():
             break
+        pool = large.select("doc_id", "sig").distinct()
         members = large.select("doc_id", "sig", "bucket").mapInArrow(_split(level, SPLITS[level]), "doc_id long, sig binary, bucket long")
         level += 1
     out = found[0]
