@@ -1,9 +1,11 @@
-"""MinHash near-duplicates: ProbMinHash signatures of weighted word shingles, banding, verification.
+"""MinHash near-duplicates: ProbMinHash signatures of word shingles, banding, verification.
 
-A document is the multiset of its 5-word shingles (lower-cased, split at white space; a shorter text
-is one shingle). Each shingle of weight w, 1 + ln(count), sends a Poisson process of rate w into the
-signature's registers and stops as soon as its next arrival is later than every register's earliest,
-so two signatures agree in a register with the probability Jaccard similarity of the weighted sets.
+A document is the set of its 5-word shingles (lower-cased, split at white space; a shorter text is
+one shingle). Each shingle of weight w sends a Poisson process of rate w into the signature's
+registers and stops as soon as its next arrival is later than every register's earliest, so two
+signatures agree in a register with the probability Jaccard similarity of the weighted sets. All
+shingles weigh the same here: then that is the Jaccard similarity of the sets, by which pairs are
+verified, and how often a text repeats a passage does not matter to either.
 
 Candidates come from bands of 4 registers. A bucket of at most BUCKET members is compared in one
 task by signature, and gives the edges of two disjoint maximum spanning forests of the estimates, so
@@ -12,7 +14,7 @@ member and is split anew by further registers, in several ways; what is still la
 split, where members agree in 12 registers, is cut into parts by hash. Each edge is then verified on
 the whole texts: Jaccard similarity of the shingle sets of SIMILARITY or more, so that lines repeated
 in a text do not make it a copy of others. Classes are the connected components of the verified
-links together with equal multisets, by star contraction.
+links together with equal sets, by star contraction.
 
 Edge cases: null, empty and blank texts have no shingle and form one class; documents without id are
 left out of the result; an id that comes several times is one document, its texts' classes joined;
@@ -49,9 +51,9 @@ FORESTS = 2
 SPLITS = (3, 3)
 
 
-def shingles(column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct shingle hashes of all rows, ascending within each row, their weights, and where each
-    row's begin (one more than rows)."""
+def shingles(column) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingle hashes of all rows, ascending within each row, and where each row's begin
+    (one more than rows)."""
     data, offsets = T.texts(pc.utf8_lower(column))
     at, to = T.words(data, offsets)
     bounds = T.per_row(at, offsets)
@@ -65,9 +67,7 @@ def shingles(column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     keys, row = keys[order], row[order]
     new = np.ones(len(keys), bool)
     new[1:] = (keys[1:] != keys[:-1]) | (row[1:] != row[:-1])
-    begin = np.flatnonzero(new)
-    weights = np.diff(np.append(begin, len(keys)))
-    return keys[new], weights, np.searchsorted(row[new], np.arange(len(counts) + 1))
+    return keys[new], np.searchsorted(row[new], np.arange(len(counts) + 1))
 
 
 def signatures(keys: np.ndarray, weights: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -93,24 +93,23 @@ def signatures(keys: np.ndarray, weights: np.ndarray, bounds: np.ndarray) -> np.
 
 
 def _sign(group: pa.RecordBatch) -> pa.RecordBatch:
-    keys, weights, bounds = shingles(group.column("text"))
-    full = signatures(keys, 1 + np.log(weights), bounds)
+    keys, bounds = shingles(group.column("text"))
+    full = signatures(keys, np.ones(len(keys)), bounds)
     bands = np.zeros((len(full), BANDS), np.uint64)
     for k in range(ROWS):
         bands = T.mix(bands + full[:, k::ROWS]) + np.uint64(k)
     bands = T.mix(bands + np.arange(1, BANDS + 1, dtype=np.uint64)).view(np.int64)
     short = np.ascontiguousarray((full >> np.uint64(40)).astype(np.uint8))
-    w = weights.astype(np.uint64)
     total = lambda v: T.sums_by_row(v.view(np.int64), bounds)  # noqa: E731  wraps around
     return pa.record_batch({
-        "doc_id": group.column("doc_id"), "key_1": pa.array(total(T.mix(keys) * w)), "key_2": pa.array(total(T.mix(keys ^ np.uint64(0x5851F42D4C957F2D)) * w)),
+        "doc_id": group.column("doc_id"), "key_1": pa.array(total(T.mix(keys))), "key_2": pa.array(total(T.mix(keys ^ np.uint64(0x5851F42D4C957F2D)))),
         "filled": pa.array(np.diff(bounds) > 0), "bands": pa.ListArray.from_arrays(pa.array(np.arange(len(full) + 1) * BANDS, pa.int32()), pa.array(bands.ravel())),
         "sig": pa.FixedSizeBinaryArray.from_buffers(pa.binary(REGISTERS), len(full), [None, pa.py_buffer(short)]).cast(pa.binary()),
     })
 
 
 def sign(docs: DataFrame) -> DataFrame:
-    """Signature, band keys and multiset key of every document with an id."""
+    """Signature, band keys and set key of every document with an id."""
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where("doc_id is not null")
     return B.over_groups(docs, _sign, "doc_id long, key_1 long, key_2 long, filled boolean, bands array<long>, sig binary")
 
@@ -247,7 +246,7 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def _sets(group: pa.RecordBatch) -> pa.RecordBatch:
-    keys, _, bounds = shingles(group.column("text"))
+    keys, bounds = shingles(group.column("text"))
     return pa.record_batch({"doc_id": group.column("doc_id"), "keys": pa.array([keys[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())})
 
 

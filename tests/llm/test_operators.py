@@ -235,6 +235,18 @@ def test_large_buckets_are_split_without_losing_classes(spark, monkeypatch):
     assert {r.class_id for r in got} == {0} and len(got) == 60
 
 
+def test_repeated_passages_do_not_part_near_duplicates(spark):
+    rng = np.random.default_rng(11)
+    rows = []
+    for k in range(6):
+        passage, rest = sentence(rng, 60), sentence(rng, 140)
+        other = " ".join(["new", *rest.split()[1:]])
+        rows += [(3 * k, f"{passage} {passage} {rest}"), (3 * k + 1, f"{passage} " * 50 + rest), (3 * k + 2, f"{passage} " * 50 + other)]
+        assert jaccard(rows[-3][1], rows[-2][1]) == 1 and 0.8 < jaccard(rows[-3][1], rows[-1][1]) < 1
+    got = near_dups.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.class_id for r in got} == {i: i - i % 3 for i in range(18)}
+
+
 def test_signatures_estimate_probability_jaccard():
     rng = np.random.default_rng(3)
     keys = rng.integers(1, 2**63, 900, dtype=np.uint64)
