@@ -7,14 +7,13 @@ signatures agree in a register with the probability Jaccard similarity of the we
 shingles weigh the same here: then that is the Jaccard similarity of the sets, by which pairs are
 verified, and how often a text repeats a passage does not matter to either.
 
-Candidates come from bands of 4 registers. A bucket of at most BUCKET members is compared in one
-task by signature, and gives the edges of two disjoint maximum spanning forests of the estimates, so
-its output is linear while documents joined by similar ones stay joined. A larger bucket gives a star around one
-member and is split anew by further registers, in several ways; what is still larger after the last
-split, where members agree in 12 registers, is cut into parts by hash. Each edge is then verified on
-the whole texts: Jaccard similarity of the shingle sets of SIMILARITY or more, so that lines repeated
-in a text do not make it a copy of others. Classes are the connected components of the verified
-links together with equal sets, by star contraction.
+Candidates come from bands of 4 registers. In a bucket of at most BUCKET members all pairs are
+compared by signature, and those with an estimate of HOPELESS or more are verified on the whole texts:
+Jaccard similarity of the shingle sets of SIMILARITY or more. Members of larger buckets are joined
+exactly (`set_join`), without estimates: each is first verified against one leading member, which
+gives classes to begin with, and then all pairs of different classes that can be similar are compared
+on their sets. Classes are the connected components of the links together with equal sets, by star
+contraction.
 
 Edge cases: null, empty and blank texts have no shingle and form one class; documents without id are
 left out of the result; an id that comes several times is one document, its texts' classes joined;
@@ -31,6 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from colweave.llm import set_join
 from colweave.llm import tables as B
 from colweave.llm import textops as T
 from colweave.session import cut_lineage
@@ -39,16 +39,10 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 20, 4
 REGISTERS = BANDS * ROWS
-#: Members of a bucket that one task compares; estimates below HOPELESS (2.5 standard
-#: deviations under SIMILARITY) are no candidates.
-BUCKET = 256
+#: Up to how many members a bucket's pairs are listed one by one; estimates below HOPELESS (2.5
+#: standard deviations under SIMILARITY) are no candidates.
+BUCKET = 32
 HOPELESS = 0.69
-#: A star around one member of a large bucket takes likely links only; the others are sought in the
-#: narrower buckets.
-LIKELY = 0.77
-FORESTS = 2
-#: In how many ways a large bucket is split at each further level.
-SPLITS = (3, 3)
 
 
 def shingles(column) -> tuple[np.ndarray, np.ndarray]:
@@ -118,42 +112,22 @@ def _matrix(column) -> np.ndarray:
     return T.texts(column)[0].reshape(-1, REGISTERS)
 
 
-def forests(ids: np.ndarray, sigs: np.ndarray) -> list[tuple[int, int]]:
-    """Edges of FORESTS maximum spanning forests of the estimated similarities that share no edge,
-    none below HOPELESS: where one edge of two similar groups fails the verification, another may
-    hold."""
-    n = len(ids)
-    taken = np.zeros((n, n), bool)
-    edges = []
-    for _ in range(FORESTS):
-        best, near, done, at = np.full(n, -1.0), np.zeros(n, int), np.zeros(n, bool), 0
-        for _ in range(n):  # Prim: grow by the closest member, or begin a new tree with what is left
-            done[at] = True
-            est = np.where(taken[at], -1.0, (sigs == sigs[at]).mean(1))
-            closer = ~done & (est > best)
-            best[closer], near[closer] = est[closer], at
-            best[done] = -2
-            to = int(best.argmax())
-            if best[to] < -1:
-                break
-            if best[to] >= HOPELESS:
-                edges.append((int(ids[near[to]]), int(ids[to])))
-                taken[near[to], to] = taken[to, near[to]] = True
-            at = to
-    return edges
-
-
-def _forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Forest edges of all buckets; rows come sorted by bucket."""
+def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of all buckets with an estimate of HOPELESS or more; rows come sorted by bucket."""
     held = None
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def edges(table: pa.Table) -> pa.RecordBatch:
         bucket = table.column("bucket").to_numpy()
         ids, sigs = table.column("doc_id").to_numpy(), _matrix(table.column("sig"))
+        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         cuts = np.flatnonzero(np.diff(bucket)) + 1
-        found = [e for i, s in zip(np.split(ids, cuts), np.split(sigs, cuts), strict=True) if len(i) > 1 for e in forests(i, s)]
-        a, b = np.array(found, np.int64).reshape(-1, 2).T
+        for begin, end in zip([0, *cuts], [*cuts, len(bucket)], strict=True):
+            for k in range(begin + 1, end):
+                near = begin + np.flatnonzero((sigs[begin:k] == sigs[k]).mean(1) >= HOPELESS)
+                a.append(ids[near])
+                b.append(np.full(len(near), ids[k]))
+        a, b = np.concatenate(a), np.concatenate(b)
         return pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], schema=schema)
 
     for batch in batches:
@@ -171,71 +145,21 @@ def _forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield edges(held)
 
 
-def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges from each member of a bucket to the one it is compared with."""
-    for batch in batches:
-        ok = ((_matrix(batch.column("sig")) == _matrix(batch.column("lead_sig"))).mean(1) >= LIKELY) & (batch.column("doc_id").to_numpy() != batch.column("lead").to_numpy())
-        a, b = batch.column("doc_id").to_numpy()[ok], batch.column("lead").to_numpy()[ok]
-        yield pa.record_batch({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b))})
-
-
-def _split(level: int, ways: int):
-    """Rows of a large bucket once for each way, with the bucket narrowed by four more registers."""
-    picks = np.random.default_rng(100 + level).permuted(np.tile(np.arange(REGISTERS), (ways, 1)), axis=1)[:, :ROWS]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sigs, bucket = _matrix(batch.column("sig")).astype(np.uint64), batch.column("bucket").to_numpy().view(np.uint64)
-            for way, registers in enumerate(picks):
-                key = T.mix(bucket + np.uint64(way + 1))
-                for r in registers:
-                    key = T.mix(key + sigs[:, r])
-                yield pa.record_batch({"doc_id": batch.column("doc_id"), "sig": batch.column("sig"), "bucket": pa.array(key.view(np.int64))})
-
-    return run
-
-
-def _sized(rows: DataFrame, pool: DataFrame) -> DataFrame:
-    """Buckets of several members with their size; large ones also with a leading member and its
-    signature from the pool. The lead is the id that is least after xor with the bucket's hash, so
-    that buckets of the same documents have different leads."""
-    sizes = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min(F.col("doc_id").bitwiseXOR(F.col("bucket"))).alias("x")).where("n > 1")
-    sizes = sizes.select("bucket", "n", F.col("x").bitwiseXOR(F.col("bucket")).alias("lead"))
-    leads = pool.select(F.col("doc_id").alias("lead"), F.col("sig").alias("lead_sig"))
-    # an id with several texts has several signatures: one of them leads
-    large = sizes.where(F.col("n") > BUCKET).join(leads, "lead").groupBy("bucket", "n", "lead").agg(F.min("lead_sig").alias("lead_sig"))
-    return sizes.where(F.col("n") <= BUCKET).withColumn("lead_sig", F.lit(None).cast("binary")).unionByName(large)
-
+def candidates(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Distinct candidate pairs (a < b) of the signed documents, and the members of large buckets with
+    the largest bucket of each as its home.
 
-def candidates(reps: DataFrame) -> DataFrame:
-    """Distinct candidate pairs (a < b) of the signed documents."""
+    Of large buckets the pairs are only those with the home's lead: the id that is least after xor
+    with the bucket's hash, so that buckets of the same documents have different leads."""
     light = reps.select("doc_id", F.explode("bands").alias("bucket"))
-    pool = reps.select("doc_id", "sig")
-    members, found, level = None, [], 0
-    while True:
-        sized = _sized(light if members is None else members, pool)
-        if members is None:
-            members = light.join(sized, "bucket").join(pool, "doc_id")
-        else:
-            members = members.join(sized, "bucket")
-        members = cut_lineage(members.select("bucket", "doc_id", "sig", "n", "lead", "lead_sig"))
-        large = members.where(F.col("n") > BUCKET)
-        found.append(large.select("doc_id", "sig", "lead", "lead_sig").mapInArrow(_stars, "a long, b long"))
-        small = members.where(F.col("n") <= BUCKET).select("bucket", "doc_id", "sig")
-        last = level == len(SPLITS)
-        if last:
-            part = F.xxhash64("bucket", F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("n") / (BUCKET // 2))))
-            small = small.unionByName(large.select(part.alias("bucket"), "doc_id", "sig"))
-        found.append(small.repartition("bucket").sortWithinPartitions("bucket", "doc_id").mapInArrow(_forests, "a long, b long"))
-        if last or large.isEmpty():
-            break
-        pool = large.select("doc_id", "sig").distinct()
-        members = large.select("doc_id", "sig", "bucket").mapInArrow(_split(level, SPLITS[level]), "doc_id long, sig binary, bucket long")
-        level += 1
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out.distinct()
+    sizes = light.groupBy("bucket").agg(F.count("*").alias("n"), F.min(F.col("doc_id").bitwiseXOR(F.col("bucket"))).alias("x")).where("n > 1")
+    members = cut_lineage(light.join(sizes.select("bucket", "n", F.col("x").bitwiseXOR(F.col("bucket")).alias("lead")), "bucket"))
+    small = members.where(F.col("n") <= BUCKET).select("bucket", "doc_id").join(reps.select("doc_id", "sig"), "doc_id")
+    found = small.repartition("bucket").sortWithinPartitions("bucket", "doc_id").mapInArrow(_pairs, "a long, b long")
+    home = F.max(F.struct("n", "bucket", "lead")).alias("home")
+    crowd = cut_lineage(members.where(F.col("n") > BUCKET).groupBy("doc_id").agg(home).select("doc_id", F.col("home.bucket").alias("home"), F.col("home.lead").alias("lead")))
+    seeds = crowd.select(F.least("doc_id", "lead").alias("a"), F.greatest("doc_id", "lead").alias("b"))
+    return found.unionByName(seeds).where("a != b").distinct(), crowd.select("doc_id", "home")
 
 
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
@@ -257,17 +181,35 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch({"a": batch.column("a"), "b": batch.column("b")}).filter(pa.array(ok, pa.bool_()))
 
 
-def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def shingle_sets(ids: DataFrame, docs: DataFrame) -> DataFrame:
+    """(doc_id, keys) of the texts with these ids."""
+    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    # ids grow with the input: one plan for every size, never a broadcast
+    return cut_lineage(B.over_groups(docs.join(ids.hint("merge"), "doc_id", "left_semi"), _sets, "doc_id long, keys binary"))
+
+
+def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs whose whole shingle sets are similar enough. An id with several texts is similar if
     one of them is."""
-    ends = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    # ends grow with the input: one plan for every size, never a broadcast
-    sets = cut_lineage(B.over_groups(docs.join(ends.hint("merge"), "doc_id", "left_semi"), _sets, "doc_id long, keys binary"))
     side = lambda x: sets.select(F.col("doc_id").alias(x), F.col("keys").alias(f"keys_{x}"))
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_verify, "a long, b long")
 
 
+def links(reps: DataFrame, docs: DataFrame) -> DataFrame:
+    """Pairs (a, b) that connect the signed documents as all their similar pairs do."""
+    pairs, crowd = candidates(reps)
+    pairs = cut_lineage(pairs)
+    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).union(crowd.select("doc_id")).distinct()
+    sets = shingle_sets(ids, docs)
+    found = cut_lineage(verified(pairs, sets))
+    if crowd.isEmpty():
+        return found
+    known = cut_lineage(components(found))
+    rows = crowd.join(known, "doc_id", "left").select("doc_id", "home", F.coalesce("class_id", "doc_id").alias("class_id")).join(sets, "doc_id")
+    more = set_join.between_classes(cut_lineage(rows.where("octet_length(keys) > 0")), SIMILARITY)
+    return known.select(F.col("doc_id").alias("a"), F.col("class_id").alias("b")).unionByName(more)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(doc_id, class_id) of every id in the edges (a, b): the least id it is connected to.
 
@@ -295,9 +237,9 @@ def classes(docs: DataFrame) -> DataFrame:
     signed = cut_lineage(sign(docs))
     least = cut_lineage(signed.groupBy("key_1", "key_2").agg(F.min("doc_id").alias("rep")))
     reps = signed.where("filled").join(least.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    links = verified(cut_lineage(candidates(reps)), docs)
+    near = links(reps, docs)
     same = signed.select("doc_id", "key_1", "key_2").join(least, ["key_1", "key_2"]).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    found = components(links.unionByName(same.where("a != b")))
+    found = components(near.unionByName(same.where("a != b")))
     out = signed.select("doc_id").distinct().join(found, "doc_id", "left")
     return out.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
 

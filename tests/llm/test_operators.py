@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from colweave.llm import decontaminate, language_id, lm_score, mixing, near_dups, quality_classifier, quality_rules
-from colweave.llm import suffix_dedup, textops, token_files, url_filter
+from colweave.llm import set_join, suffix_dedup, textops, token_files, url_filter
 from colweave.llm.subwords import Encoder
 
 P = pytest.importorskip("public_tokenizers")
@@ -235,6 +235,45 @@ def test_large_buckets_are_split_without_losing_classes(spark, monkeypatch):
     assert {r.class_id for r in got} == {0} and len(got) == 60
 
 
+def test_crowded_buckets_are_joined_exactly(spark, monkeypatch):
+    monkeypatch.setattr(near_dups, "BUCKET", 8)
+    monkeypatch.setattr(set_join, "BLOCK", 16)
+    monkeypatch.setattr(set_join, "CHUNK", 64)
+    rng = np.random.default_rng(12)
+    texts, parent = [], list(range(400))
+    for g in range(2):
+        base = sentence(rng, 90).split()
+        for i in range(200):  # similarities between members go from 0.3 to 1
+            words = list(base)
+            for k in rng.integers(90, size=int(rng.integers(0, 4))):
+                words[k] = f"w{g}x{rng.integers(6)}"
+            texts.append(" ".join(words))
+
+    def root(i):
+        return i if parent[i] == i else root(parent[i])
+
+    for i in range(400):
+        for j in range(i):
+            if root(i) != root(j) and jaccard(texts[i], texts[j]) >= 0.8:
+                a, b = sorted((root(i), root(j)))
+                parent[b] = a
+    want = {i: root(i) for i in range(400)}
+    assert len(set(want.values())) > 20
+    assert {r.doc_id: r.class_id for r in near_dups.classes(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()} == want
+
+
+def test_common_keys_and_prefixes_equal_brute_force():
+    rng = np.random.default_rng(13)
+    sets = [np.unique(rng.integers(0, 60, int(n)).astype(np.uint64)) for n in rng.integers(1, 80, 40)]
+    keys, bounds = np.concatenate(sets), np.cumsum([0, *map(len, sets)])
+    got = set_join.common_keys(keys, bounds, np.arange(40), np.arange(40))
+    assert all(got[i, j] == len(np.intersect1d(sets[i], sets[j])) for i in range(40) for j in range(40))
+    often = np.bincount(keys.astype(int), minlength=set_join.BINS)
+    key, row = set_join.prefixes(keys, bounds, often, 0.8)
+    heads = [set(key[row == i]) for i in range(40)]
+    assert all(heads[i] & heads[j] for i in range(40) for j in range(i) if near_dups.similarity(sets[i], sets[j]) >= 0.8)
+
+
 def test_repeated_passages_do_not_part_near_duplicates(spark):
     rng = np.random.default_rng(11)
     rows = []
