@@ -158,6 +158,24 @@ def test_lm_base_score_is_exact_and_model_is_a_distribution(spark, docs, texts):
     assert 0 < p.sum() + end <= 1.0001
 
 
+def test_lm_layers_learn_from_every_window(spark, docs, texts):
+    training = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    counted = lm_score.counts(training).cache()
+    ids, bounds = lm_score.encoder(lm_score.TOKENIZER).encode(*lm_score.Words(pa.array([t or "" for t in texts])).normal())
+    model = lm_score.Attention.begin(np.bincount(ids, minlength=lm_score.VOCABULARY))
+    n, total = model.gradient_sum(ids, bounds)
+    assert n == len(ids) + len(texts)
+    stored = lm_score.in_rounds(training)
+    parts = [lm_score.gradient(stored.where(F.col("round") == k), model) for k in range(lm_score.ROUNDS)]
+    assert sum(p[0] for p in parts) == n and np.allclose(sum(p[1] for p in parts), total, atol=1e-2)
+    x, y, _ = model.windows(ids, bounds)
+    whole = model._gradient(x, y)
+    assert all(np.allclose(g, whole[name], atol=1e-4) for name, g in model.split(total / n).items())
+    # with one document to begin with, the layers still learn from the others
+    first = lm_score.begin_layers(training, lm_score.Attention.begin(np.bincount(ids, minlength=lm_score.VOCABULARY)), 1)
+    assert lm_score.train(training, counted, 1).score(ids, bounds).sum() > first.score(ids, bounds).sum()
+
+
 def test_attention_gradient_and_lookup():
     rng = np.random.default_rng(0)
     model = lm_score.Attention.begin(np.ones(lm_score.VOCABULARY))
