@@ -9,7 +9,8 @@ that the planner knows its size, and joined on the source.
 Edge cases: a null source is a source of its own; a source without target weight (when weights are
 given) has rate 0; a source whose texts are all empty has rate 1, as nothing can be weighed; rows
 with equal ids draw equal counts; a null id draws as empty text; an empty table gives an empty one;
-extra columns are kept, even if named like the operator's own working columns.
+extra columns are kept, even if named like the operator's own working columns (`mix` returns its own
+`mix_copy` and `mix_order`, `repeat` those of the documents).
 """
 
 from __future__ import annotations
@@ -59,18 +60,32 @@ def distributions(rate: DataFrame) -> DataFrame:
     return sums.groupBy("mix_source").agg(F.sort_array(F.collect_list("cdf")).alias("mix_cdf"))
 
 
-def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, seed: int = SEED) -> DataFrame:
-    """Each document as often as drawn, in global random order, with `mix_copy` from 1."""
+def _repeated(docs: DataFrame, weights: dict[str | None, float] | None, seed: int) -> DataFrame:
+    """Each document as often as drawn, in global random order, its columns named by position (c0,
+    c1 ...), with `mix_copy` and `mix_order`."""
     table = cut_lineage(distributions(rates(docs, weights)))
-    own = [c for c in docs.columns if c not in ("mix_source", "mix_cdf", "mix_copies", "mix_copy", "mix_order")]
-    drawn = docs.select(own).join(table, F.col("source").eqNullSafe(F.col("mix_source")))
-    u = uniform(str(seed), _id())
+    places = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    own = list(places.values())
+    drawn = docs.toDF(*own).join(table, F.col(places["source"]).eqNullSafe(F.col("mix_source")))
+    u = uniform(str(seed), _id(places["doc_id"]))
     copies = drawn.withColumn("mix_copies", F.size(F.filter("mix_cdf", lambda c: c <= u))).where("mix_copies > 0")
     copies = copies.withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies"))))
-    copies = copies.withColumn("mix_order", F.md5(F.concat_ws("|", F.lit(f"{seed} order"), _id(), F.col("mix_copy"))))
+    copies = copies.withColumn("mix_order", F.md5(F.concat_ws("|", F.lit(f"{seed} order"), _id(places["doc_id"]), F.col("mix_copy"))))
     return copies.orderBy("mix_order").select(*own, "mix_copy", "mix_order")
 
 
+def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, seed: int = SEED) -> DataFrame:
+    """Each document as often as drawn, in global random order, with `mix_copy` from 1. These two
+    columns take the place of columns of the same name."""
+    kept = [F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns) if c not in ("mix_copy", "mix_order")]
+    return _repeated(docs, weights, seed).select(*kept, "mix_copy", "mix_order")
+
+
+def repeat(docs: DataFrame, weights: dict[str | None, float] | None = None, seed: int = SEED) -> DataFrame:
+    """As `mix`, with the columns of docs and no other, whatever their names."""
+    return _repeated(docs, weights, seed).select([F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = B.read(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mix(docs).select("doc_id", "source", "mix_copy", "mix_order", "text")

@@ -29,7 +29,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats documents so that every source has the same share of the text, in random order."""
-    return mixing.mix(docs).select(docs.columns)
+    return mixing.repeat(docs)
 
 
 def token_file(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -118,6 +118,17 @@ def test_mixing_follows_poisson_and_weights(spark, docs, none):
     assert set(docs.columns) < set(mixing.mix(docs).columns) and mixing.mix(none).count() == 0
 
 
+def test_mixing_keeps_columns_named_like_its_own(docs):
+    own = ("mix_source", "mix_cdf", "mix_copies", "mix_copy", "mix_order")
+    named = docs.select("*", *[F.concat(F.lit(c), F.col("doc_id").cast("string")).alias(c) for c in own])
+    plain, kept, only = mixing.mix(docs).collect(), mixing.mix(named).collect(), mixing.repeat(named)
+    assert [(r.doc_id, r.mix_copy, r.mix_order) for r in kept] == [(r.doc_id, r.mix_copy, r.mix_order) for r in plain]
+    assert all(r[c] == f"{c}{r.doc_id}" for r in kept for c in own[:3])
+    rows = only.collect()
+    assert only.columns == named.columns and [r.doc_id for r in rows] == [r.doc_id for r in plain]
+    assert all(r[c] == f"{c}{r.doc_id}" for r in rows for c in own)
+
+
 def test_tiling_finds_moved_passages(spark, docs, texts, none):
     item = texts[20].split()
     assert len(item) > 30
