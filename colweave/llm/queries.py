@@ -8,6 +8,8 @@ from colweave.llm.language_id import op8_language_id
 from colweave.llm.lm_score import op5_lm_score
 from colweave.llm.mixing import MIX_SQL, op3_mix_sources
 from colweave.llm.near_dups import op7_near_duplicates
+from colweave.llm.periodic_runs import op12_periodic_runs
+from colweave.llm.prefix_trie import TRIE_SQL, op11_prefix_trie
 from colweave.llm.quality_classifier import op6_quality_classifier
 from colweave.llm.quality_rules import op10_quality_rules
 from colweave.llm.suffix_dedup import op1_suffix_dedup
@@ -25,5 +27,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_token_files": op9_token_files,
     "op10_quality_rules": op10_quality_rules,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_periodic_runs": op12_periodic_runs,
 }
-ORACLES: dict[str, str] = {"op3_mix_sources": MIX_SQL}
+ORACLES: dict[str, str] = {"op3_mix_sources": MIX_SQL, "op11_prefix_trie": TRIE_SQL}

@@ -96,6 +96,21 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return runs(~IS_SPACE[data], offsets)
 
 
+def cut_out(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.LargeBinaryArray:
+    """The spans [start, end) as values of an Arrow array."""
+    size = ends - starts
+    to = np.concatenate([[0], np.cumsum(size)])
+    inside = data[np.repeat(starts - to[:-1], size) + np.arange(to[-1])]
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(to.astype(np.int64)), pa.py_buffer(inside)])
+
+
+def numbered(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A number for each span [start, end): equal for equal bytes and different for others."""
+    if not len(starts):
+        return np.zeros(0, np.int64)
+    return cut_out(data, starts, ends).dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
+
+
 def per_row(starts: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Where each row's spans begin among all spans; one more than rows."""
     return np.searchsorted(starts, offsets, "left")
