@@ -185,20 +185,16 @@ def burst(found: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     while True:
         depth = len(heads)
         ending = F.octet_length("path") == depth * WIDTH
-        sizes = state.groupBy(prefix("path", depth).alias("prefix")).agg(
-            F.count("*").alias("rows"), F.sum(F.octet_length("path")).alias("bytes"),
-            F.coalesce(F.sum(F.when(ending, F.col("n"))), F.lit(0)).alias("n"), F.min(F.when(ending, F.col("first"))).alias("first"),
-            F.coalesce(F.max(F.when(ending, F.col("ends"))), F.lit(NO_ENDS)).alias("ends"),
-        )
-        big = cut_lineage(sizes.where(f"rows > 1 and (rows > {CONTAINER} or bytes > {CONTAINER_BYTES})").drop("rows", "bytes"))
+        sizes = state.groupBy(prefix("path", depth).alias("prefix")).agg(F.count("*").alias("rows"), F.sum(F.octet_length("path")).alias("bytes"))
+        big = cut_lineage(sizes.where(f"rows > 1 and (rows > {CONTAINER} or bytes > {CONTAINER_BYTES})").select("prefix"))
         if big.isEmpty():
             small.append(state.withColumn("top", F.lit(depth)))
             return reduce(DataFrame.unionByName, small), heads
-        marked = state.withColumn("prefix", prefix("path", depth)).join(big.select("prefix", F.lit(True).alias("bursts")), "prefix", "left")
-        marked = cut_lineage(marked.drop("prefix"))
-        small.append(marked.where("bursts is null").drop("bursts").withColumn("top", F.lit(depth)))
-        state = marked.where(F.col("bursts") & ~ending).drop("bursts")
-        heads.append(big)
+        marked = cut_lineage(state.withColumn("prefix", prefix("path", depth)).join(big.withColumn("bursts", F.lit(True)), "prefix", "left"))
+        small.append(marked.where("bursts is null").drop("bursts", "prefix").withColumn("top", F.lit(depth)))
+        state = marked.where(F.col("bursts") & ~ending).drop("bursts", "prefix")
+        ended = marked.where(F.col("bursts") & ending).select("prefix", "n", "first", "ends")
+        heads.append(big.join(ended, "prefix", "left").select("prefix", F.coalesce("n", F.lit(0)).alias("n"), "first", F.coalesce("ends", F.lit(NO_ENDS)).alias("ends")))
 
 
 def build(conversations: DataFrame) -> DataFrame:

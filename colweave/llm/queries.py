@@ -14,6 +14,7 @@ from colweave.llm.quality_classifier import op6_quality_classifier
 from colweave.llm.quality_rules import op10_quality_rules
 from colweave.llm.suffix_dedup import op1_suffix_dedup
 from colweave.llm.token_files import op9_token_files
+from colweave.llm.toxicity import op13_toxicity
 from colweave.llm.url_filter import op2_url_filter
 
 QUERIES = {
@@ -29,5 +30,6 @@ QUERIES = {
     "op10_quality_rules": op10_quality_rules,
     "op11_prefix_trie": op11_prefix_trie,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_toxicity": op13_toxicity,
 }
 ORACLES: dict[str, str] = {"op3_mix_sources": MIX_SQL, "op11_prefix_trie": TRIE_SQL}

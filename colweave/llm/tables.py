@@ -34,3 +34,10 @@ def over_groups(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch],
 def sample(df: DataFrame, most: int, key: str = "doc_id") -> DataFrame:
     """At most `most` rows, chosen by hash of the key: the same ones in every run."""
     return df.orderBy(F.xxhash64(key, F.lit(17)), key).limit(most)
+
+
+def chosen_texts(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """`chosen` (doc_id and other columns, a bounded number of distinct ids) with `text`: one row for
+    each id, however many rows of docs have it, with the least text of them."""
+    found = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
+    return found.groupBy(*chosen.columns).agg(F.min("text").alias("text"))
