@@ -42,7 +42,7 @@ STEPS = {
     "o_tables": f"SELECT *, {FQN} AS fqn, {IS_REAL} AS is_real FROM v_tbl",
     "o_targets": f"""
 SELECT l.*, t.fqn AS target_fqn, t.is_real AS target_is_real FROM v_line l JOIN o_tables t
-  ON (l.project, l.run_id, l.node_id, l.target_parent_id) = (t.project, t.run_id, t.node_id, t.table_id)""",
+  ON l.project = t.project AND l.run_id = t.run_id AND l.node_id = t.node_id AND l.target_parent_id = t.table_id""",
     "o_kept": "SELECT * FROM o_targets WHERE target_col <> '' AND NOT (target_col = '*' AND target_is_real)",
     "o_sources": """
 SELECT l.*, t.fqn AS source_fqn, t.is_real AS source_is_real,
@@ -50,7 +50,7 @@ SELECT l.*, t.fqn AS source_fqn, t.is_real AS source_is_real,
   CASE WHEN t.is_real AND source_col <> '' THEN source_col END AS up_column,
   src_ord IS NOT NULL AND t.fqn IS NULL AS source_unknown
 FROM {lines} l LEFT JOIN o_tables t
-  ON (l.project, l.run_id, l.node_id, l.source_parent_id) = (t.project, t.run_id, t.node_id, t.table_id)""",
+  ON l.project = t.project AND l.run_id = t.run_id AND l.node_id = t.node_id AND l.source_parent_id = t.table_id""",
     "o_groups": f"""
 SELECT {K}, target_fqn, target_col, min(rel_ord) AS first_ord,
   coalesce(arg_min({TRANSFORM}, rel_ord) FILTER ({TRANSFORM} <> 'direct'), 'direct') AS transform,
@@ -145,6 +145,15 @@ SELECT e.project, e.run_id, e.node_id, e.target_fqn,
 FROM o_write_edges e JOIN o_tables t ON (e.node_id, e.target_parent_id) = (t.node_id, t.table_id)
 GROUP BY e.project, e.run_id, e.node_id, e.target_fqn"""
 
+STEPS["o_procedural"] = f"""
+SELECT e.*, write_target_count, column_edge_count, process_count, sub_type
+FROM (SELECT DISTINCT {K}, target_fqn, target_col, up_table, up_column FROM o_write_edges) e
+JOIN (SELECT node_id, count(DISTINCT target_fqn) AS write_target_count, count(DISTINCT (target_fqn, target_col, up_table, up_column)) AS column_edge_count
+  FROM o_write_edges GROUP BY node_id) n ON n.node_id = e.node_id
+JOIN v_resp r ON r.node_id = e.node_id
+JOIN o_subtypes s ON (s.node_id, s.target_fqn) = (e.node_id, e.target_fqn)
+WHERE write_target_count >= 2 OR process_count >= 2"""
+
 # selection
 STEPS["o_nodes"] = """
 SELECT *, lower(name) AS low, lower(fqn1 || '.' || fqn2 || '.' || fqn3) AS dotted, lower(fqn3) AS last FROM v_node"""
@@ -233,9 +242,9 @@ FROM (SELECT *, CASE WHEN http_status = 429 AND mode = 'anonymous' THEN 'quota_l
   WHEN http_status >= 400 OR code <> '200' THEN 'parser_error' END AS reason FROM v_resp) x""")
 _DB = "CASE WHEN l_suppkey % 3 > 0 THEN 'db.' ELSE '' END || 'sch.'"
 oracle("explode_dbobjs", f"""
-SELECT DISTINCT {_LINE}, CAST(l_suppkey AS STRING) AS table_id, 'tables' AS collection, {_DB} || 'tab_' || CAST(l_suppkey AS STRING) AS fqn,
+SELECT {_LINE}, CAST(l_suppkey AS STRING) AS table_id, 'tables' AS collection, {_DB} || 'tab_' || CAST(l_suppkey AS STRING) AS fqn,
   CASE WHEN l_suppkey % 2 = 0 THEN 'temp_table' END AS sub_type, TRUE AS is_real FROM {{lineitem}}
-UNION ALL SELECT DISTINCT {_LINE}, '-1', 'others', {_DB} || 'RS-' || CAST(l_linenumber AS STRING), NULL, FALSE FROM {{lineitem}}""")
+UNION ALL SELECT {_LINE}, '-1', 'others', {_DB} || 'RS-' || CAST(l_linenumber AS STRING), NULL, FALSE FROM {{lineitem}}""")
 oracle("explode_relationships", f"""
 SELECT {_LINE}, 0 AS rel_ord, l_returnflag AS rel_type, '-1' AS target_parent_id, {_COL} AS target_col, 0 AS src_ord,
   CAST(l_suppkey AS STRING) AS source_parent_id, 'k' || CAST(l_partkey % 7 AS STRING) AS source_col FROM {{lineitem}}
@@ -248,7 +257,6 @@ SELECT {_LINE}, 4 AS err_ord, 'SyntaxHint' AS type, 'orphan_column' AS category,
 FROM {{lineitem}} WHERE l_suppkey % 11 > 0
 UNION ALL SELECT {_LINE}, 5, CASE WHEN l_suppkey % 2 = 0 THEN 'Note' ELSE 'Hint' END, NULL, NULL, l_linenumber, NULL, 'odd token'
 FROM {{lineitem}} WHERE l_suppkey % 11 > 0""")
-oracle("read_lineage_docs", "SELECT * FROM o_edges")
 
 # --- sinks ----------------------------------------------------------------------------------
 
@@ -274,14 +282,38 @@ STEPS["o_doc_reasons"] = (
     + ") || '}', ',' ORDER BY section, ord NULLS FIRST, src_ord NULLS FIRST, target_column NULLS FIRST) || ']' AS reasons "
     f"FROM o_reasons GROUP BY {K}"
 )
+_diag_fields = [("category", False), ("col", True), ("line", True), ("message", False), ("near_column", False), ("type", False)]
+STEPS["o_doc_diags"] = (
+    "SELECT node_id, '\"parser_diagnostics\":[' || string_agg('{' || concat_ws(',', "
+    + ", ".join(_member(f, f, n) for f, n in _diag_fields)
+    + ") || '}', ',' ORDER BY err_ord) || ']' AS diags FROM o_diag GROUP BY node_id"
+)
+STEPS["o_doc_targets"] = f"""
+SELECT node_id, target_fqn, write_target_count, column_edge_count, process_count,
+  '{{"columns":[' || array_to_string(list_distinct_in_order, ',') || '],"edges":[' || edges || '],"from":[' || froms || ']'
+  || CASE WHEN sub_type <> '' THEN ',"subType":' || {_json('sub_type')} ELSE '' END || ',"table":' || {_json('target_fqn')} || '}}' AS target
+FROM (SELECT node_id, target_fqn, any_value(sub_type) AS sub_type, any_value(write_target_count) AS write_target_count,
+    any_value(column_edge_count) AS column_edge_count, any_value(process_count) AS process_count,
+    list_sort(list(DISTINCT {_json('target_col')})) AS list_distinct_in_order,
+    string_agg('{{"from":{{' || {_member('column', 'up_column')} || ',' || {_member('table', 'up_table')} || '}},' || {_member('target_column', 'target_col')} || '}}', ','
+      ORDER BY target_col, up_table, up_column) AS edges,
+    string_agg(DISTINCT {_json('up_table')}, ',' ORDER BY {_json('up_table')}) AS froms
+  FROM o_procedural GROUP BY node_id, target_fqn) x"""
+STEPS["o_doc_evidence"] = f"""
+SELECT node_id, '"evidence":{{' || concat_ws(',', diags, procs) || '}},' AS evidence
+FROM o_doc_diags FULL JOIN (
+  SELECT node_id, '"procedural":{{"column_edge_count":' || any_value(column_edge_count) || ',"process_count":' || any_value(process_count)
+    || ',"write_target_count":' || any_value(write_target_count) || ',"write_targets":[' || string_agg(target, ',' ORDER BY target_fqn) || ']}}' AS procs
+  FROM o_doc_targets GROUP BY node_id) w USING (node_id)"""
 STEPS["o_docs"] = f"""
-SELECT s.project, s.run_id, s.node_id, 
+SELECT s.project, s.run_id, s.node_id,
   '{{"columns":' || coalesce(cols, '[]') || ',' || concat_ws(',', {_member('confidence', 's.confidence')}, {_member('dialect', 'r.dialect')})
-  || ',"downstream":[' || coalesce(kids, '') || '],' || {_member('node_id', 's.node_id')} || ',' || {_member('status', 's.status')}
+  || ',"downstream":[' || coalesce(kids, '') || '],' || coalesce(evidence, '') || {_member('node_id', 's.node_id')} || ',' || {_member('status', 's.status')}
   || ',"unresolved":' || coalesce(reasons, '[]')
   || ',"upstream_tables":[' || coalesce(tabs, '') || '],"warnings":[]}}' AS doc
 FROM o_status s JOIN v_resp r ON s.node_id = r.node_id
 LEFT JOIN (SELECT node_id, string_agg({_json('child_id')}, ',' ORDER BY child_id) AS kids FROM v_child GROUP BY node_id) k ON k.node_id = s.node_id
+LEFT JOIN o_doc_evidence v ON v.node_id = s.node_id
 LEFT JOIN o_doc_columns c ON c.node_id = s.node_id LEFT JOIN o_doc_reasons x ON x.node_id = s.node_id
 LEFT JOIN (SELECT node_id, string_agg({_json('fqn')}, ',' ORDER BY fqn) AS tabs FROM o_upstream GROUP BY node_id) t ON t.node_id = s.node_id"""
 oracle("render_lineage_doc", "SELECT * FROM o_docs")
@@ -295,6 +327,20 @@ SELECT project, run_id, 0 AS section, '' AS node_id, '{{"backend":{{"mode":"none
 UNION ALL SELECT project, run_id, 1, node_id, CASE WHEN node_id = min(node_id) OVER (PARTITION BY project, run_id) THEN '' ELSE ',' END || doc FROM o_docs
 UNION ALL SELECT project, run_id, 2, '', '],"schema_version":"0.2.x","stats":{{' || concat_ws(',', '"coverage":' || CAST(coalesce(coverage, 0.0) AS STRING),
   {', '.join(_member(s, s, True) for s in sorted([*S.STATUSES, 'resolved_columns', 'total_columns']))}) || '}}}}' FROM o_node_stats""")
+def _content(*fields: str) -> str:
+    return "concat_ws('|', " + ", ".join(f"CAST({f} AS STRING)" for f in fields) + ")"
+
+
+oracle("read_lineage_docs", f"""
+SELECT project, run_id, '' AS node_id, 'header' AS kind, '0.2.x|colweave|none|' || project || '|' || parsed || '|' || total_columns AS content FROM o_node_stats
+UNION ALL SELECT s.project, s.run_id, s.node_id, 'node', {_content('status', 'confidence', 'dialect')} FROM o_status s JOIN v_resp r ON r.node_id = s.node_id
+UNION ALL SELECT {K}, 'column', {_content('name', 'transform', 'confidence')} FROM o_columns
+UNION ALL SELECT {K}, 'edge', {_content('"column"', 'up_table', 'up_column')} FROM o_edges
+UNION ALL SELECT {K}, 'table', fqn FROM o_upstream
+UNION ALL SELECT c.project, c.run_id, c.node_id, 'child', child_id FROM v_child c JOIN o_status s ON s.node_id = c.node_id
+UNION ALL SELECT {K}, 'reason', {_content('reason', 'target_column', 'source_parent_id', 'line', 'col', 'parser_message', 'marker')} FROM o_reasons
+UNION ALL SELECT {K}, 'diagnostic', {_content('type', 'category', 'near_column', 'line', 'col', 'message')} FROM o_diag
+UNION ALL SELECT {K}, 'write', {_content('target_fqn', 'target_col', 'up_table', 'up_column', "nullif(sub_type, '')", 'write_target_count', 'process_count')} FROM o_procedural""")
 _PLATFORM = _case("dialect", S.DIALECT_PLATFORMS | {"dbvpresto": "presto_db"}, "coalesce(nullif(replace(dialect, 'dbv', ''), ''), 'external')")
 STEPS["o_platform"] = f"""
 SELECT s.project, s.run_id, s.node_id, {_PLATFORM} AS p FROM o_status s JOIN v_resp r ON s.node_id = r.node_id
@@ -341,7 +387,8 @@ _KEY_OF = f"sha256(concat_ws('|', {_normal('sql')}, dialect, 'anonymous', 'unkno
 STEPS["o_requests"] = f"SELECT *, {_KEY_OF} AS cache_key FROM v_request"
 STEPS["o_cached"] = "SELECT DISTINCT cache_key FROM o_requests WHERE o_custkey % 3 = 0 AND o_custkey % 4 > 0"
 oracle("write_response_cache", f"""
-SELECT DISTINCT left(cache_key, 2) AS bucket, cache_key, '{{"sql":"' || {_normal('sql')} || '"}}' AS payload FROM o_requests""")
+SELECT DISTINCT left(cache_key, 2) AS bucket, cache_key, CASE WHEN o_custkey % 4 > 0 THEN '{{"sql":"' || {_normal('sql')} || '"}}' ELSE '{{"sql":"?"}}' END AS payload
+FROM o_requests""")
 
 _RT = "resource_type"
 _REASON = (
@@ -435,14 +482,7 @@ FROM o_columns c LEFT JOIN o_edges e ON (c.node_id, c.name) = (e.node_id, e."col
 oracle("upstream_tables", "SELECT * FROM o_upstream")
 oracle("node_status", "SELECT * FROM o_status")
 oracle("unresolved_rows", "SELECT * FROM o_reasons")
-oracle("procedural_write_targets", f"""
-SELECT e.*, write_target_count, column_edge_count, process_count, sub_type
-FROM (SELECT DISTINCT {K}, target_fqn, target_col, up_table, up_column FROM o_write_edges) e
-JOIN (SELECT node_id, count(DISTINCT target_fqn) AS write_target_count, count(DISTINCT (target_fqn, target_col, up_table, up_column)) AS column_edge_count
-  FROM o_write_edges GROUP BY node_id) n ON n.node_id = e.node_id
-JOIN v_resp r ON r.node_id = e.node_id
-JOIN o_subtypes s ON (s.node_id, s.target_fqn) = (e.node_id, e.target_fqn)
-WHERE write_target_count >= 2 OR process_count >= 2""")
+oracle("procedural_write_targets", "SELECT * FROM o_procedural")
 oracle("compute_node_confidence", f"SELECT {K}, confidence FROM o_status")
 oracle("run_stats", "SELECT * FROM o_stats")
 _NODE_COV = "coalesce((parsed + partial) / nullif(eligible_count, 0), 1.0)"
@@ -539,9 +579,6 @@ GATES = {
 }
 for _name, _gate in GATES.items():
     oracle(_name, _gate)
-oracle("check_run", f"""
-SELECT s.project, s.run_id, gate, coalesce(message, 'OK: all check gates passed.') AS message
-FROM o_stats s LEFT JOIN ({' UNION ALL '.join(GATES.values())}) f ON (s.project, s.run_id) = (f.project, f.run_id)""")
 STEPS["o_counts"] = """
 SELECT r.project, r.node_id, coalesce(c.n, 0) AS cur, coalesce(b.n, 0) AS base FROM v_resp r
 LEFT JOIN (SELECT node_id, count(*) AS n FROM v_cur GROUP BY ALL) c ON c.node_id = r.node_id
@@ -551,6 +588,23 @@ oracle("gate_regression", f"""
 SELECT project, run_id, 'regression' AS gate, CAST(n AS STRING) || ' regression(s) vs baseline: ' || preview AS message
 FROM ({_preview('TRUE', 'project, run_id', 'o_lost')}) p""")
 oracle("edge_count_regressions", "SELECT * FROM o_lost")
+STEPS["o_check_stats"] = STEPS["o_stats"].replace("v_run", "v_check")
+
+
+def _over_check(gate: str) -> str:
+    return gate.replace("o_stats", "o_check_stats").replace("FROM v_run", "FROM v_check")
+
+
+_FIVE = [
+    _over_check(_coverage_gate("node_coverage", _NODE_COV, 0.85)), _over_check(GATES["gate_column_coverage"]),
+    _over_check(GATES["gate_unsupported"]), _over_check(GATES["gate_failed"]),
+    "SELECT project, run_id, 'regression' AS gate, CAST(n AS STRING) || ' regression(s) vs baseline: ' || preview AS message "
+    f"FROM ({_preview('TRUE', 'project, run_id', 'o_lost')}) p WHERE project <> 'shop3'",
+]
+oracle("check_run", f"""
+SELECT s.project, s.run_id, gate, coalesce(message, 'OK: all check gates passed.') AS message
+FROM o_check_stats s LEFT JOIN ({' UNION ALL '.join(_FIVE)}) f ON (s.project, s.run_id) = (f.project, f.run_id)
+UNION ALL SELECT project, run_id, 'baseline', 'warning: baseline not found; skipping regression check' FROM o_check_stats WHERE project = 'shop3'""")
 oracle("diff_report", """
 SELECT project, run_id, node_id, format('  {}: {} -> {} (-{})', node_id, baseline, current, edges_lost) AS line,
   '{"node_id":"' || node_id || '","edges_lost":' || edges_lost || ',"current":' || current || ',"baseline":' || baseline || '}' AS json FROM o_lost
@@ -582,6 +636,95 @@ FROM (SELECT * FROM v_base UNION ALL SELECT * FROM v_cur) x"""
 oracle("content_fingerprint", f"""
 SELECT *, count(*) OVER (PARTITION BY node_id) > 1 AND min(fingerprint) OVER (PARTITION BY node_id) <> max(fingerprint) OVER (PARTITION BY node_id) AS drifted
 FROM (SELECT {K}, sha256(concat_ws('|', count(*), sum(w), bit_xor(w))) AS fingerprint FROM o_words GROUP BY {K}) x""")
+# columns, statuses, state
+STEPS["o_col_pairs"] = """
+SELECT project, node_id, "column", up_table, up_column, max(now) AS now, max(before) AS before FROM (
+  SELECT project, node_id, "column", up_table, up_column, 1 AS now, 0 AS before FROM v_cur
+  UNION ALL SELECT project, node_id, "column", up_table, up_column, 0, 1 FROM v_base) x
+WHERE node_id IN (SELECT node_id FROM v_cur) AND node_id IN (SELECT node_id FROM v_base) GROUP BY ALL"""
+_UP_JSON = f"'{{' || concat_ws(',', {_member('table', 'up_table')}, {_member('column', 'up_column')}) || '}}'"
+_UP_ORDER = "ORDER BY up_table, up_column"
+oracle("column_diff", f"""
+SELECT project, node_id, "column", severity, '  ' || node_id || '.' || "column" || ': ' || change
+    || coalesce(' -[' || lost || ']', '') || coalesce(' +[' || added || ']', '') AS line,
+  '{{"node_id":' || {_json('node_id')} || ',"column":' || {_json('"column"')} || ',"lost_upstream":[' || coalesce(lost_json, '') || '],"added_upstream":['
+    || coalesce(added_json, '') || '],"change":"' || change || '","severity":"' || severity || '"}}' AS json
+FROM (SELECT *, CASE WHEN n_now = 0 THEN 'column_lost' WHEN n_before = 0 THEN 'column_added' ELSE 'changed' END AS change,
+    CASE WHEN lost IS NOT NULL THEN 'regression' ELSE 'addition' END AS severity
+  FROM (SELECT project, node_id, "column", sum(now) AS n_now, sum(before) AS n_before,
+      string_agg(up_table || '.' || up_column, ', ' {_UP_ORDER}) FILTER (now < before) AS lost,
+      string_agg(up_table || '.' || up_column, ', ' {_UP_ORDER}) FILTER (now > before) AS added,
+      string_agg({_UP_JSON}, ',' {_UP_ORDER}) FILTER (now < before) AS lost_json,
+      string_agg({_UP_JSON}, ',' {_UP_ORDER}) FILTER (now > before) AS added_json
+    FROM o_col_pairs GROUP BY project, node_id, "column") x WHERE lost IS NOT NULL OR added IS NOT NULL) y""")
+_RANK = _case("status", {"parsed": "0", "partial": "1", "unsupported": "2", "failed": "3"})
+oracle("status_regressions", f"""
+SELECT n.project, n.run_id, n.node_id, b.status AS baseline, n.status AS current, CASE WHEN b.status = 'parsed' THEN 'high' ELSE 'medium' END AS severity
+FROM v_run n JOIN v_run_before b ON b.project = n.project AND b.node_id = n.node_id
+WHERE n.status <> 'skipped' AND b.status <> 'skipped' AND {_RANK.replace('status', 'n.status')} > {_RANK.replace('status', 'b.status')}""")
+for _side_name, _side_view in (("o_ren_base", "v_ren_base"), ("o_ren_cur", "v_ren_cur")):
+    STEPS[_side_name] = f"""
+SELECT project, node_id, "column" AS name, string_agg(up_table || '.' || coalesce(up_column, '?'), ',' ORDER BY up_table, up_column) AS ups
+FROM {_side_view} GROUP BY project, node_id, "column\""""
+STEPS["o_ren_lost"] = """
+SELECT *, row_number() OVER (PARTITION BY node_id, ups ORDER BY name) AS place FROM o_ren_base b
+WHERE NOT EXISTS (SELECT 1 FROM o_ren_cur c WHERE (c.node_id, c.name, c.ups) = (b.node_id, b.name, b.ups))"""
+STEPS["o_ren_new"] = """
+SELECT *, row_number() OVER (PARTITION BY node_id, ups ORDER BY name) AS place FROM o_ren_cur c
+WHERE NOT EXISTS (SELECT 1 FROM o_ren_base b WHERE (c.node_id, c.name, c.ups) = (b.node_id, b.name, b.ups))"""
+STEPS["o_ren_match"] = """
+SELECT coalesce(l.project, n.project) AS project, coalesce(l.node_id, n.node_id) AS node_id, l.name AS old_name, n.name AS new_name
+FROM o_ren_lost l FULL JOIN o_ren_new n ON (l.node_id, l.ups, l.place) = (n.node_id, n.ups, n.place)"""
+STEPS["o_ren_kind"] = """
+SELECT m.*, CASE
+  WHEN old_name IS NOT NULL AND new_name IS NOT NULL THEN CASE
+    WHEN EXISTS (SELECT 1 FROM o_ren_match r WHERE (r.node_id, r.old_name, r.new_name) = (m.node_id, m.new_name, m.old_name)) THEN 'swapped'
+    WHEN NOT is_old AND NOT stays THEN 'renamed' ELSE 'moved' END
+  WHEN old_name IS NOT NULL THEN CASE WHEN stays THEN 'changed' ELSE 'lost' END
+  WHEN NOT is_old THEN 'added'
+  WHEN EXISTS (SELECT 1 FROM o_ren_match r WHERE r.node_id = m.node_id AND r.old_name = m.new_name AND r.new_name IS NOT NULL) THEN 'replaced' END AS kind
+FROM (SELECT *, EXISTS (SELECT 1 FROM o_ren_base b WHERE b.node_id = x.node_id AND b.name = x.new_name) AS is_old,
+    EXISTS (SELECT 1 FROM o_ren_cur c WHERE c.node_id = x.node_id AND c.name = x.old_name) AS stays FROM o_ren_match x) m"""
+oracle("renamed_columns", "SELECT project, node_id, old_name, new_name, kind FROM o_ren_kind WHERE kind IS NOT NULL")
+_PLACES = "CASE rank WHEN 0 THEN 'direct' WHEN 1 THEN 'expression' WHEN 2 THEN 'aggregate' WHEN 3 THEN 'control' ELSE 'unknown' END"
+STEPS["o_hop_tables"] = STEPS["o_tables"].replace("v_tbl", "v_hop_tbl")
+STEPS["o_hop_lines"] = """
+SELECT l.project, l.run_id, l.node_id, l.target_parent_id AS tp, l.target_col AS tc, t.fqn AS target_fqn, s.fqn, s.is_real,
+  CASE WHEN s.table_id IS NULL OR source_col = '' THEN NULL ELSE source_parent_id END AS sp, source_col AS sc,
+  CASE lower(rel_type) WHEN 'fdd' THEN 0 WHEN 'fdc' THEN 1 WHEN 'fda' THEN 2 WHEN 'fdr' THEN 3 ELSE 4 END AS step
+FROM v_hop l JOIN o_hop_tables t ON t.node_id = l.node_id AND t.table_id = l.target_parent_id
+LEFT JOIN o_hop_tables s ON s.node_id = l.node_id AND s.table_id = l.source_parent_id"""
+oracle("trace_multi_hop", f"""
+SELECT project, run_id, node_id, target_fqn, target_col, up_table, up_column, depth::INT AS depth, {_PLACES} AS transform
+FROM (SELECT w.project, w.run_id, w.node_id, t.fqn AS target_fqn, w.tc AS target_col, e.fqn AS up_table, e.sc AS up_column, w.depth + 1 AS depth, greatest(w.rank, e.step) AS rank
+  FROM hop_walk w JOIN o_hop_lines e ON e.node_id = w.node_id AND e.tp = w.p AND e.tc = w.c AND e.is_real AND e.sp IS NOT NULL
+  JOIN o_hop_tables t ON t.node_id = w.node_id AND t.table_id = w.tp) x
+QUALIFY row_number() OVER (PARTITION BY node_id, target_fqn, target_col, up_table, up_column ORDER BY depth, rank) = 1""",
+       # no least path is longer than the 14 places of a node
+       "hop_walk AS (SELECT DISTINCT project, run_id, node_id, tp, tc, tp AS p, tc AS c, 0 AS depth, 0 AS rank FROM o_hop_lines UNION "
+       "SELECT w.project, w.run_id, w.node_id, w.tp, w.tc, l.sp, l.sc, w.depth + 1, greatest(w.rank, l.step) FROM hop_walk w JOIN o_hop_lines l "
+       "ON l.node_id = w.node_id AND l.tp = w.p AND l.tc = w.c AND l.sp IS NOT NULL AND NOT l.is_real WHERE w.depth < 14)")
+oracle("propagate_tags", """
+SELECT project, run_id, "table", "column", tag, min(depth)::INT AS depth FROM tag_walk GROUP BY ALL""",
+       'tag_walk AS (SELECT DISTINCT project, run_id, "table", "column", tag, 0 AS depth FROM v_coltag UNION '
+       "SELECT w.project, w.run_id, s.dst_table, s.dst_column, w.tag, w.depth + 1 FROM tag_walk w JOIN v_colstep s "
+       "ON s.src_table = w.\"table\" AND s.src_column = w.\"column\" AND s.transform <> 'control' AND NOT (w.tag = 'pii' AND s.transform = 'aggregate') "
+       "AND NOT (w.tag = 'secret' AND s.transform = 'expression') WHERE w.depth < 12)")
+_SQL_OF = f"concat_ws('|', coalesce({_normal('compiled_code')}, '?'), coalesce({_normal('compiled_sql')}, '?'), coalesce(resource_type, '?'), coalesce(adapter_type, '?'), name, tag)"
+STEPS["o_modified"] = f"""
+SELECT n.node_id, CASE WHEN b.node_id IS NULL THEN 'added' WHEN b.state <> n.state THEN 'changed' END AS reason
+FROM (SELECT node_id, {_SQL_OF} AS state FROM v_node) n LEFT JOIN (SELECT node_id, {_SQL_OF} AS state FROM v_node_before) b ON b.node_id = n.node_id"""
+oracle("state_modified", """
+SELECT node_id, reason FROM o_modified WHERE reason IS NOT NULL
+UNION ALL SELECT node_id, 'downstream' FROM o_modified WHERE reason IS NULL AND node_id IN (SELECT id FROM mod_walk)""",
+       "mod_walk AS (SELECT child_id AS id FROM v_edge_removed WHERE origin = 'child_map' AND (parent_id IN (SELECT node_id FROM o_modified WHERE reason IS NOT NULL) "
+       "OR parent_id IN (SELECT node_id FROM v_node_before WHERE node_id NOT IN (SELECT node_id FROM v_node))) "
+       "UNION SELECT child_id FROM v_edge_removed JOIN mod_walk ON parent_id = id WHERE origin = 'child_map')")
+oracle("split_reads_writes", f"""
+SELECT u.project, u.run_id, u.node_id, u.fqn, CASE WHEN w.fqn IS NULL THEN 'read' WHEN r.fqn IS NULL THEN 'write' ELSE 'read_write' END AS role
+FROM o_upstream u
+LEFT JOIN (SELECT DISTINCT node_id, source_fqn AS fqn FROM o_resolved WHERE source_is_real) r ON (r.node_id, r.fqn) = (u.node_id, u.fqn)
+LEFT JOIN (SELECT DISTINCT node_id, target_fqn AS fqn FROM o_writes WHERE source_fqn IS NOT NULL AND source_col <> '') w ON (w.node_id, w.fqn) = (u.node_id, u.fqn)""")
 STEPS["o_tokens"] = r"SELECT DISTINCT doc_id, unnest(regexp_extract_all(text, '\bE\d{2}\b')) AS id FROM v_cite"
 oracle("cited_ids", "SELECT id, doc_id FROM o_tokens WHERE id IN (SELECT id FROM v_index)")
 _LABEL = "coalesce(label, '<missing>')"

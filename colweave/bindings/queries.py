@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from colweave.bindings.views import read_spread, read_table, spark_view, with_arrays
 from colweave.functions import rules, sqltext
-from colweave.operators import cache, citations, compare, emit, evidence, graph, mapper, quality, select
+from colweave.operators import cache, citations, compare, emit, evidence, graph, mapper, paths, quality, select, state
 from colweave.session import KEY, RUN, cut_lineage, fresh_path
 from colweave.sources import documents, manifests, responses
 from colweave.streaming import runs
@@ -163,11 +163,22 @@ class Inputs:
     @cached_property
     def docs(self) -> DataFrame:
         w = self.written
+        w.columns = cut_lineage(w.columns)  # read for the status, the reasons and the items
         return emit.render_lineage_doc(
             w.emitted, w.columns, w.edges, w.upstream, w.view("v_child"),
-            mapper.unresolved_rows(w.resolved, w.columns, w.diagnostics, w.sqls),
+            mapper.unresolved_rows(w.resolved, w.columns, w.diagnostics, w.sqls), w.diagnostics, w.writes,
         )
 
+    @cached_property
+    def headers(self) -> DataFrame:
+        status = self.written.status
+        meta = status.select(*RUN).distinct().withColumn("project_name", F.col("project"))
+        return emit.document_headers(quality.run_stats(status), meta, "colweave", "0.2.x", {"mode": "none"})
+
+    @cached_property
+    def writes(self) -> DataFrame:
+        return evidence.procedural_write_targets(self.resolved, self.stored_tables, self.responses)
+
 
 def query(fn: Callable[[Inputs], DataFrame]):
     QUERIES[fn.__name__] = lambda spark, sf_dir: fn(Inputs(spark, sf_dir))
@@ -349,8 +360,28 @@ def explode_diagnostics(i):
 
 @query
 def read_lineage_docs(i):
-    """The edges that come back from the rendered documents."""
-    return documents.parse_node_lines(i.docs).edges.drop("node_ord")
+    """All that comes back from the files of a document table: one row per thing a document says."""
+    path = fresh_path(i.spark, "documents")
+    emit.write_document_table(emit.document_rows(i.docs, i.headers), path)
+    back = documents.read_document_table(i.spark, path)
+    c = F.col
+
+    def rows(df: DataFrame, kind: str, *content) -> DataFrame:
+        node = c("node_id") if "node_id" in df.columns else F.lit("")
+        return df.select(*RUN, node.alias("node_id"), F.lit(kind).alias("kind"), F.concat_ws("|", *[x.cast("string") for x in content]).alias("content"))
+
+    return (
+        rows(back.headers, "header", c("schema_version"), c("generator"), c("backend.mode"), c("manifest_metadata.project_name"), c("stats.parsed"), c("stats.total_columns"))
+        .unionByName(rows(back.nodes, "node", c("status"), c("confidence"), c("dialect")))
+        .unionByName(rows(back.columns, "column", c("name"), c("transform"), c("confidence")))
+        .unionByName(rows(back.edges, "edge", c("column"), c("up_table"), c("up_column")))
+        .unionByName(rows(back.tables, "table", c("fqn")))
+        .unionByName(rows(back.downstream, "child", c("child_id")))
+        .unionByName(rows(back.unresolved, "reason", c("reason"), c("target_column"), c("source_parent_id"), c("line"), c("col"), c("parser_message"), c("marker")))
+        .unionByName(rows(back.diagnostics, "diagnostic", c("type"), c("category"), c("near_column"), c("line"), c("col"), c("message")))
+        .unionByName(rows(back.writes, "write", c("target_fqn"), c("target_col"), c("up_table"), c("up_column"), c("sub_type"), c("write_target_count"), c("process_count")))
+        .unionByName(rows(back.rejects, "reject", c("text")))
+    )
 
 
 # --- sinks ----------------------------------------------------------------------------------
@@ -364,11 +395,7 @@ def render_lineage_doc(i):
 @query
 def deterministic_order(i):
     """All documents as ordered lines of one JSON document per run."""
-    docs = cut_lineage(i.docs)
-    status = i.written.status
-    meta = status.select(*RUN).distinct().withColumn("project_name", F.col("project"))
-    headers = emit.document_headers(quality.run_stats(status), meta, "colweave", "0.2.x", {"mode": "none"})
-    lines = emit.document_lines(docs, headers)
+    lines = emit.document_lines(cut_lineage(i.docs), i.headers)
     return emit.deterministic_order(lines).select(*RUN, "section", "node_id", "line")
 
 
@@ -388,9 +415,12 @@ def emit_openmetadata(i):
 
 @query
 def write_response_cache(i):
+    """The cache after two writes: the second has new answers to some keys, and keys of its own."""
     path = fresh_path(i.spark, "cache")
-    answers = i.requests.select("cache_key", F.concat(F.lit('{"sql":"'), sqltext.normalize_sql(F.col("sql")), F.lit('"}')).alias("payload"))
-    cache.write_response_cache(answers, path)
+    answers = i.requests.select("cache_key", "o_custkey", F.concat(F.lit('{"sql":"'), sqltext.normalize_sql(F.col("sql")), F.lit('"}')).alias("payload"))
+    old = answers.where("o_custkey % 2 = 0").select("cache_key", F.lit('{"sql":"?"}').alias("payload"))
+    cache.write_response_cache(old, path)
+    cache.write_response_cache(answers.where("o_custkey % 4 > 0").drop("o_custkey"), path)
     return cache.read_response_cache(i.spark, path).select("bucket", "cache_key", "payload")
 
 
@@ -540,7 +570,7 @@ def join_relationship_sources(i):
 
 @query
 def resolve_one_hop(i):
-    return evidence.resolve_one_hop(i.lines, i.stored_tables).select(*KEY, *evidence.EDGE).distinct()
+    return evidence.resolve_one_hop(i.resolved).select(*KEY, *evidence.EDGE).distinct()
 
 
 @query
@@ -563,7 +593,7 @@ def split_cached(i):
 
 @query
 def attach_write_subtype(i):
-    return evidence.attach_write_subtype(evidence.write_edges(i.lines, i.stored_tables), i.stored_tables)
+    return evidence.attach_write_subtype(evidence.write_edges(i.written.resolved), i.stored_tables)
 
 
 @query
@@ -616,7 +646,7 @@ def unresolved_rows(i):
 
 @query
 def procedural_write_targets(i):
-    return evidence.procedural_write_targets(i.lines, i.stored_tables, i.responses)
+    return i.written.writes
 
 
 @query
@@ -716,6 +746,34 @@ def select_nodes(i):
     return select.select_nodes(i.nodes, i.edges_of_models, TOKENS, EXCLUDED, TYPES).select("node_id")
 
 
+@query
+def trace_multi_hop(i):
+    """Real sources behind chains of result sets, with the least number of steps."""
+    tables = cut_lineage(responses.describe_tables(i.view("v_hop_tbl")))
+    resolved = cut_lineage(mapper.resolve_lines(i.view("v_hop"), tables))
+    return paths.trace_multi_hop(resolved).drop("target_parent_id")
+
+
+@query
+def propagate_tags(i):
+    """Tags of regions and customers on all columns below; personal data ends at aggregates."""
+    return paths.propagate_tags(i.view("v_coltag"), i.view("v_colstep"), {"pii": ["aggregate"], "secret": ["expression"]})
+
+
+@query
+def state_modified(i):
+    """Nodes that are new or changed since an earlier manifest, whose states were kept, and all below."""
+    path = fresh_path(i.spark, "state")
+    state.write_state(state.node_state(with_arrays(i.view("v_node_before"))), path)
+    edges = i.view("v_edge_removed").where("origin = 'child_map'")
+    return state.state_modified(i.nodes, edges, state.read_state(i.spark, path, "r0")).select("node_id", "reason")
+
+
+@query
+def split_reads_writes(i):
+    return evidence.split_reads_writes(i.written.resolved, i.stored_tables)
+
+
 # --- gates and comparison -------------------------------------------------------------------
 
 
@@ -746,7 +804,10 @@ def gate_regression(i):
 
 @query
 def check_run(i):
-    return quality.check_run(i.stats, i.runs, 0.5, 0.66, True, True)
+    """All five gates over the orders as nodes of a run; the last project has no baseline."""
+    nodes = i.view("v_check")
+    counts = i.counts("v_cur"), i.counts("v_base").where("project <> 'shop3'")
+    return quality.check_run(quality.run_stats(nodes), nodes, 0.85, 0.66, True, True, counts)
 
 
 @query
@@ -827,6 +888,24 @@ def content_fingerprint(i):
     )
 
 
+@query
+def column_diff(i):
+    """Columns with lost or added upstreams, as text and as JSON."""
+    now, before = i.view("v_cur"), i.view("v_base")
+    names = lambda e: e.select("project", "node_id", F.col("column").alias("name")).distinct()
+    return compare.column_diff_report(compare.column_diff(names(now), now, names(before), before))
+
+
+@query
+def status_regressions(i):
+    return compare.status_regressions(i.runs, i.view("v_run_before"))
+
+
+@query
+def renamed_columns(i):
+    return compare.renamed_columns(i.view("v_ren_cur"), i.view("v_ren_base"))
+
+
 @query
 def cited_ids(i):
     return citations.cited_ids(i.view("v_cite"), i.view("v_index"))

@@ -154,7 +154,8 @@ FROM (SELECT 'site' || CAST(user_id % 3 AS STRING) AS project, CAST(CAST(ts AS D
   CASE WHEN event_type IN ('view', 'click', 'purchase') THEN CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT)
     ELSE CAST(0 AS BIGINT) END AS total_columns
   FROM {events}) e""",
-    # an earlier and the current lineage of the orders
+    # an earlier and the current lineage of the orders; items of a small quantity have lost their source,
+    # and with it nodes that have no others
     "v_base": """
 SELECT DISTINCT project, 'r0' AS run_id, node_id, CASE WHEN qty < 10 THEN 'C0' ELSE target_col END AS "column",
   source_parent_id AS up_table, source_col AS up_column FROM v_line_raw WHERE source_parent_id IS NOT NULL""",
@@ -162,8 +163,82 @@ SELECT DISTINCT project, 'r0' AS run_id, node_id, CASE WHEN qty < 10 THEN 'C0' E
 SELECT DISTINCT project, 'r1' AS run_id, node_id, "column", up_table, up_column FROM (
   SELECT project, node_id, CASE WHEN qty > 40 THEN 'C1' ELSE target_col END AS "column",
     CASE WHEN qty > 35 THEN 'merged' ELSE source_parent_id END AS up_table,
-    CASE WHEN node_id LIKE '%70' THEN NULL WHEN qty > 30 THEN 'k' ELSE source_col END AS up_column
+    CASE WHEN qty <= 6 THEN NULL WHEN qty > 30 THEN 'k' ELSE source_col END AS up_column
   FROM v_line_raw WHERE source_parent_id IS NOT NULL) x WHERE up_column IS NOT NULL""",
+    # relationships through chains of result sets, some of them cycles, and the tables they name
+    "v_hop": """
+SELECT project, run_id, node_id, rel_ord, rel_type,
+  CASE WHEN l_linenumber = 1 THEN 'S' ELSE 'RS' || CAST(l_linenumber AS STRING) END AS target_parent_id,
+  'c' || CAST(l_partkey % 2 AS STRING) AS target_col, src_ord,
+  CASE WHEN l_suppkey % 5 = 0 THEN 'T' || CAST(l_partkey % 3 AS STRING) WHEN l_suppkey % 11 = 0 THEN 'gone'
+    ELSE 'RS' || CAST(2 + (l_linenumber + l_partkey % 3) % 6 AS STRING) END AS source_parent_id,
+  CASE WHEN l_suppkey % 13 = 0 THEN '' ELSE 'c' || CAST(l_suppkey % 2 AS STRING) END AS source_col
+FROM v_line_raw""",
+    "v_hop_tbl": """
+SELECT DISTINCT project, run_id, node_id, table_id, CASE WHEN table_id LIKE 'RS%' THEN 'others' ELSE 'tables' END AS collection,
+  'DEFAULT_SERVER' AS server, 'db' AS db, 'sch' AS schema_name, 'tab_' || lower(table_id) AS name, CAST(NULL AS STRING) AS sub_type
+FROM (SELECT project, run_id, node_id, target_parent_id AS table_id FROM v_hop
+      UNION ALL SELECT project, run_id, node_id, source_parent_id AS table_id FROM v_hop) x WHERE table_id <> 'gone'""",
+    # columns of regions that feed those of nations, customers and orders, and some orders that feed nations
+    "v_colstep": """
+SELECT 'geo' AS project, 'r1' AS run_id, 'region.' || CAST(n_regionkey AS STRING) AS src_table, 'k' || CAST(n_nationkey % 2 AS STRING) AS src_column,
+  'nation.' || CAST(n_nationkey AS STRING) AS dst_table, 'k' || CAST(n_nationkey % 3 AS STRING) AS dst_column, 'direct' AS transform FROM {nation}
+UNION ALL
+SELECT 'geo', 'r1', 'nation.' || CAST(c_nationkey AS STRING), 'k' || CAST(c_custkey % 3 AS STRING), 'customer.' || CAST(c_custkey AS STRING),
+  'k' || CAST(c_custkey % 2 AS STRING),
+  CASE c_mktsegment WHEN 'BUILDING' THEN 'aggregate' WHEN 'MACHINERY' THEN 'control' ELSE 'direct' END FROM {customer}
+UNION ALL
+SELECT 'geo', 'r1', 'customer.' || CAST(o_custkey AS STRING), 'k' || CAST(o_orderkey % 2 AS STRING), 'order.' || CAST(o_orderkey AS STRING),
+  'k' || CAST(o_custkey % 2 AS STRING),
+  CASE o_orderpriority WHEN '1-URGENT' THEN 'expression' WHEN '5-LOW' THEN 'control' ELSE 'direct' END FROM {orders}
+UNION ALL
+SELECT 'geo', 'r1', 'order.' || CAST(o_orderkey AS STRING), 'k0', 'nation.' || CAST(o_custkey % 25 AS STRING), 'k1', 'direct'
+FROM {orders} WHERE o_orderstatus = 'P'""",
+    "v_coltag": """
+SELECT 'geo' AS project, 'r1' AS run_id, 'region.' || CAST(r_regionkey AS STRING) AS "table", 'k0' AS "column",
+  CASE WHEN r_name < 'B' THEN 'pii' ELSE 'secret' END AS tag FROM {region}
+UNION ALL
+SELECT 'geo', 'r1', 'customer.' || CAST(c_custkey AS STRING), 'k0', CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN 'pii' ELSE 'email' END
+FROM {customer} WHERE c_mktsegment IN ('AUTOMOBILE', 'FURNITURE')""",
+    # columns of orders before and after a release that renames, swaps, rotates, drops and changes some
+    "v_ren_base": """
+SELECT DISTINCT project, 'r0' AS run_id, node_id, 'c' || CAST(l_linenumber % 4 AS STRING) AS "column",
+  'T' || CAST(l_partkey % 5 AS STRING) AS up_table, CASE WHEN l_partkey % 7 = 0 THEN NULL ELSE 'k' || CAST(l_suppkey % 3 AS STRING) END AS up_column
+FROM (SELECT project, node_id, l_linenumber, l_partkey, l_suppkey FROM v_line_raw) x""",
+    "v_ren_cur": """
+SELECT DISTINCT project, 'r1' AS run_id, node_id, CASE CAST(substring(node_id, 7) AS BIGINT) % 6
+    WHEN 0 THEN CASE "column" WHEN 'c1' THEN 'n1' ELSE "column" END
+    WHEN 1 THEN CASE "column" WHEN 'c0' THEN 'c1' WHEN 'c1' THEN 'c0' ELSE "column" END
+    WHEN 2 THEN CASE "column" WHEN 'c0' THEN 'c1' WHEN 'c1' THEN 'c2' WHEN 'c2' THEN 'c0' ELSE "column" END
+    WHEN 3 THEN CASE "column" WHEN 'c2' THEN 'merged' WHEN 'c3' THEN 'merged' ELSE "column" END
+    ELSE "column" END AS "column",
+  CASE WHEN "column" = 'c3' AND CAST(substring(node_id, 7) AS BIGINT) % 6 = 4 THEN 'old_' || up_table ELSE up_table END AS up_table, up_column
+FROM v_ren_base""",
+    # statuses of the nodes of runs in an earlier run
+    "v_run_before": """
+SELECT project, 'before' AS run_id, node_id, CASE total_columns % 4 WHEN 0 THEN 'parsed' WHEN 1 THEN 'partial' WHEN 2 THEN 'failed' ELSE status END AS status
+FROM v_run""",
+    # the nodes of an earlier manifest: no snapshots yet, other SQL in one market segment, and some nodes since removed
+    "v_node_before": """
+SELECT project, 'r0' AS run_id, node_id, name, resource_type, fqn1, fqn2, fqn3, tag, adapter_type,
+  CASE WHEN fqn2 = 'BUILDING' THEN 'select 0' ELSE compiled_code END AS compiled_code,
+  CASE WHEN compiled_sql IS NULL THEN NULL ELSE compiled_sql || '  ' END AS compiled_sql, compiled_path, path
+FROM v_node WHERE resource_type IS NULL OR resource_type <> 'Snapshot'
+UNION ALL
+SELECT 'geo', 'r0', 'gone.' || CAST(n_nationkey AS STRING), n_name, 'model', 'geo', 'Nation', n_name, 'geo', 'databricks', 'select 1', NULL, NULL, n_name
+FROM {nation}""",
+    "v_edge_removed": """
+SELECT project, run_id, origin, parent_id, child_id FROM v_edge
+UNION ALL
+SELECT 'geo', 'r1', 'child_map', 'gone.' || CAST(c_nationkey AS STRING), 'customer.' || CAST(c_custkey AS STRING) FROM {customer}
+WHERE c_mktsegment = 'MACHINERY'""",
+    # orders as nodes of one run, for the check with a baseline
+    "v_check": """
+SELECT 'shop' || CAST(o_orderkey % 4 AS STRING) AS project, 'r1' AS run_id, 'order.' || CAST(o_orderkey AS STRING) AS node_id,
+  CASE o_orderpriority WHEN '1-URGENT' THEN 'partial' WHEN '2-HIGH' THEN 'unsupported' WHEN '3-MEDIUM' THEN 'failed'
+    WHEN '5-LOW' THEN 'skipped' ELSE 'parsed' END AS status,
+  o_custkey % 9 AS total_columns, o_custkey % 9 - o_custkey % 3 AS resolved_columns
+FROM {orders}""",
     # texts that cite rows, and the index of labelled rows
     "v_cite": """
 SELECT doc_id, text || ' E' || lpad(CAST(doc_id % 30 AS STRING), 2, '0') || ', E' || lpad(CAST(doc_id % 7 AS STRING), 2, '0')
@@ -220,14 +295,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def read_spread(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table whose rows mean much work each, such as parsing a text.
 
-    It is spread by the row's key, at every size alike: a file of one row group would be one task
-    however many cores wait.
+    It is spread by the row's key over the session's number of shuffle partitions, at every size alike:
+    a file of one row group would be one task however many cores wait, and adaptive execution, which
+    goes by bytes, would put these small rows together again.
     """
-    return read_table(spark, sf_dir, name).repartition(*ROW_ID[name])
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return read_table(spark, sf_dir, name).repartition(tasks, *ROW_ID[name])
 
 
 def spark_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    text = with_views(f"SELECT * FROM {name}").replace('"column"', "`column`")
+    text = with_views(f"SELECT * FROM {name}").replace('"column"', "`column`").replace('"table"', "`table`")
     used = set(re.findall(r"\{(\w+)\}", text))
     return spark.sql(text, **{t: (read_spread if t == "lineitem" else read_table)(spark, sf_dir, t) for t in used})
 

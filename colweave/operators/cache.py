@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from colweave import schemas as S
 from colweave.functions.sqltext import cache_key, dynamic_sql_marker, marker_excerpt, mask_literals
-from colweave.session import KEY, RUN
+from colweave.session import KEY, RUN, cut_lineage
 
 SALTS = 64
 
@@ -55,25 +56,57 @@ def cache_hit_stats(requests: DataFrame, cache: DataFrame) -> DataFrame:
 
 
 def one_per_key(responses: DataFrame) -> DataFrame:
-    """One answer per key, the latest if the answers have a time; ties go to the greatest, so the
-    order of arrival does not matter."""
-    rest = sorted((c for c in responses.columns if c != "cache_key"), key=lambda c: (c != "written", c))
-    return responses.groupBy("cache_key").agg(F.max(F.struct(*rest)).alias("x")).select("cache_key", "x.*")
+    """One answer per key, the latest if the answers have a time (``written``); ties go by a digest, so
+    the order of arrival does not matter.
+
+    Rows are put in order by their key, time and digest; payloads are carried and never compared. Spark
+    keeps the first row of a key in each task before the shuffle.
+    """
+    rest = sorted(c for c in responses.columns if c != "cache_key")
+    order = [F.desc("written")] if "written" in rest else []
+    first = F.row_number().over(W.partitionBy("cache_key").orderBy(*order, F.xxhash64(*rest)))
+    return responses.withColumn("_place", first).where("_place = 1").drop("_place")
 
 
-def write_response_cache(responses: DataFrame, path: str) -> None:
-    """Append responses, one per key, in directories by the first two characters of the key.
+def write_response_cache(responses: DataFrame, path: str, files: int = 1) -> None:
+    """Puts responses into the cache, one row per key on disk, in directories by the first two characters
+    of the key.
 
-    The keys are digests, so the directories are of equal size and a repartition by them is even.
-    Every write has a time, by which the latest answer to a key is read.
+    An answer takes the place of the one stored under its key. Only the directories that hold a key
+    whose answer is new or another are written again, whole, so the cache never grows by repeats and
+    needs no compaction; the merged rows are kept in the shared folder first, so a write that fails
+    halfway can be done again from there. One writer at a time. The keys are digests, so the
+    directories, and the ``files`` files that each task group writes into one, are of equal size.
     """
-    stamped = one_per_key(responses).withColumns({"bucket": F.left("cache_key", F.lit(2)), "written": F.unix_micros(F.current_timestamp())})
-    stamped.repartition("bucket").write.mode("append").partitionBy("bucket").parquet(path)
+    spark = responses.sparkSession
+    new = one_per_key(responses).withColumns({"bucket": F.left("cache_key", F.lit(2)), "digest": F.xxhash64(*sorted(c for c in responses.columns if c != "cache_key"))})
+    stored = _stored(spark, path)
+    if stored is not None:
+        kept = new.join(stored.select("bucket", "cache_key", "digest"), ["bucket", "cache_key", "digest"], "left_anti")
+        new = cut_lineage(kept)
+        touched = new.select("bucket").distinct()  # 256 at most
+        same = stored.join(F.broadcast(touched), "bucket", "left_semi").join(new.select("cache_key"), "cache_key", "left_anti")
+        new = new.unionByName(same, allowMissingColumns=True)
+    merged = cut_lineage(new)
+    spread = merged.repartition("bucket", F.pmod(F.xxhash64("cache_key"), F.lit(files)))
+    spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
+
+
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """The cache as it is on disk; None if there is none yet."""
+    try:
+        found = spark.read.option("mergeSchema", "true").parquet(path)
+    except AnalysisException:
+        return None
+    return found.withColumn("bucket", F.lpad(F.col("bucket").cast("string"), 2, "0"))
 
 
 def read_response_cache(spark: SparkSession, path: str) -> DataFrame:
-    """The stored answers, one per key."""
-    return one_per_key(spark.read.parquet(path)).drop("written")
+    """The stored answers, one per key, as they are on disk."""
+    found = _stored(spark, path)
+    if found is None:
+        raise FileNotFoundError(path)
+    return found.drop("digest")
 
 
 def quota_cut(

@@ -45,6 +45,7 @@ def _edge_items(columns: DataFrame, edges: DataFrame) -> DataFrame:
 
 REASON = ["reason", "target_column", "rel_type", "source_parent_id", "line", "col", "parser_message", "marker", "fragment_preview", "detail"]
 WRITE = "struct<target_fqn:string,target_col:string,up_table:string,up_column:string,sub_type:string>"
+REASON_TYPES = "struct<section:int,ord:bigint,src_ord:bigint,target_column:string,rel_type:string,source_parent_id:string,reason:string,line:bigint,col:bigint,parser_message:string,marker:string,fragment_preview:string,detail:string>"
 
 
 def render_lineage_doc(
@@ -61,18 +62,18 @@ def render_lineage_doc(
     """One JSON document per node: keys A to Z, arrays in a fixed order.
 
     Columns go by name, upstreams by (table, column), tables and children by name, reasons in
-    the order of ``unresolved_rows``. Evidence appears only for nodes that have some.
+    the order of ``unresolved_rows``. Evidence appears only for nodes that have some; ``writes`` are rows
+    of ``procedural_write_targets``.
     """
     kinds = {
         "c": "struct<name:string,transform:string,confidence:string>",
         "u": "struct<table:string,column:string>",
         "t": "string",
         "d": "string",
-        "r": "struct<section:int,ord:bigint,src_ord:bigint,target_column:string,rel_type:string,"
-             "source_parent_id:string,reason:string,line:bigint,col:bigint,parser_message:string,"
-             "marker:string,fragment_preview:string,detail:string>",
+        "r": REASON_TYPES,
         "g": "struct<err_ord:bigint,type:string,category:string,near_column:string,line:bigint,col:bigint,message:string>",
         "w": WRITE,
+        "p": "bigint",
     }
 
     def items(df: DataFrame, **given: Column) -> DataFrame:
@@ -90,7 +91,7 @@ def render_lineage_doc(
     if diagnostics is not None:
         parts.append(items(diagnostics, g=F.struct("err_ord", "type", "category", "near_column", "line", "col", "message")))
     if writes is not None:
-        parts.append(items(writes, w=F.struct("target_fqn", "target_col", "up_table", "up_column", "sub_type")))
+        parts.append(items(writes, w=F.struct("target_fqn", "target_col", "up_table", "up_column", "sub_type"), p=F.col("process_count")))
     # first bring the upstreams of a column together, then the items of a node
     inner = reduce(DataFrame.unionByName, parts).groupBy(*KEY, "c", F.col("w.target_fqn").alias("wt"), F.col("w.sub_type").alias("ws")).agg(
         F.collect_list("u").alias("us"),
@@ -99,6 +100,7 @@ def render_lineage_doc(
         F.collect_list("r").alias("rs"),
         F.collect_list("g").alias("gs"),
         F.collect_list("w").alias("ws_list"),
+        F.max("p").alias("p"),
     )
     column = F.when(
         F.col("c").isNotNull(),
@@ -115,6 +117,7 @@ def render_lineage_doc(
         _sorted(F.flatten(F.collect_list("rs"))).alias("rs"),
         _sorted(F.flatten(F.collect_list("gs"))).alias("gs"),
         _sorted(F.collect_list(target)).alias("wts"),
+        F.max("p").alias("p"),
     )
     joined = nodes.select(*KEY, "status", "confidence", "dialect").join(outer, KEY, "left")
     none = F.array()
@@ -152,6 +155,7 @@ def render_lineage_doc(
         F.size("wts") > 0,
         F.struct(
             F.aggregate("wts", F.lit(0).cast("bigint"), lambda n, w: n + F.size(w["edges"])).alias("column_edge_count"),
+            F.col("p").alias("process_count"),
             F.size("wts").alias("write_target_count"),
             F.transform("wts", write_target).alias("write_targets"),
         ),
@@ -203,13 +207,19 @@ def document_lines(docs: DataFrame, headers: DataFrame) -> DataFrame:
 
 def document_headers(
     stats: DataFrame, meta: DataFrame, generator: str, schema_version: str, backend: Mapping[str, str],
-    generated_at: Column | None = None,
+    generated_at: Column | None = None, cache_stats: DataFrame | None = None,
 ) -> DataFrame:
-    """Header and trailer of each run's document. ``generated_at`` only if it need not be repeatable."""
+    """Header and trailer of each run's document. ``generated_at`` only if it need not be repeatable;
+    ``cache_stats`` are rows of ``cache_hit_stats``."""
     joined = stats.join(meta, RUN)
+    hits = []
+    if cache_stats is not None:
+        shown = F.struct(F.col("hit_rate_pct").alias("hit_rate_pct"), F.col("hits").alias("hits"), F.col("misses").alias("misses"))
+        joined = joined.join(cache_stats.select(*RUN, shown.alias("cache_stats")), RUN, "left")
+        hits = [F.col("cache_stats")]
     manifest = F.struct(*sorted(c for c in meta.columns if c not in RUN))
     counts = F.struct(*sorted([*S.STATUSES, "total_columns", "resolved_columns", "coverage"]))
-    head = [F.struct(*[F.lit(backend[k]).alias(k) for k in sorted(backend)]).alias("backend")]
+    head = [F.struct(*hits, *[F.lit(backend[k]).alias(k) for k in sorted(backend)]).alias("backend")]
     if generated_at is not None:
         head.append(F.date_format(F.to_utc_timestamp(generated_at, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("generated_at"))
     head += [F.lit(generator).alias("generator"), manifest.alias("manifest_metadata")]
@@ -232,6 +242,21 @@ def write_documents(lines: DataFrame, path: str) -> None:
     deterministic_order(lines).select(*RUN, "line").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*RUN).text(path)
 
 
+def document_rows(docs: DataFrame, headers: DataFrame) -> DataFrame:
+    """One whole, valid document per node: the header of its run and the node alone. A run without nodes
+    has one document without any. ``headers`` has one row per run, see ``document_headers``."""
+    both = headers.select(*RUN, "head", "tail").join(docs, RUN, "left")
+    line = F.concat(F.lit("{"), "head", F.lit(',"nodes":['), F.coalesce("doc", F.lit("")), F.lit("],"), "tail", F.lit("}"))
+    return both.select(*RUN, F.coalesce("node_id", F.lit("")).alias("node_id"), line.alias("line"))
+
+
+def write_document_table(rows: DataFrame, path: str) -> None:
+    """Text files of one document a line, by run. Runs in ``rows`` replace those of the same key; others
+    in the folder stay. Nodes are dealt over tasks by ranges, so files in name order are in node order."""
+    spread = rows.repartitionByRange(*RUN, "node_id").sortWithinPartitions(*RUN, "node_id")
+    spread.select(*RUN, "line").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*RUN).text(path)
+
+
 # --- catalogs -------------------------------------------------------------------------------
 
 

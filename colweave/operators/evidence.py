@@ -7,40 +7,39 @@ from pyspark.sql import functions as F
 
 from colweave import schemas as S
 from colweave.functions.rules import is_synthetic_column
-from colweave.operators.mapper import join_relationship_sources, join_relationship_targets
+from colweave.operators.mapper import union_counts
 from colweave.session import KEY, cut_lineage
 
 EDGE = ["target_fqn", "target_col", "up_table", "up_column"]
 
 
-def _value_lines(lines: DataFrame) -> DataFrame:
-    return lines.where((F.lower("rel_type") == S.VALUE_TYPE) & F.col("src_ord").isNotNull())
+def _value_lines(resolved: DataFrame) -> DataFrame:
+    return resolved.where((F.lower("rel_type") == S.VALUE_TYPE) & F.col("src_ord").isNotNull())
 
 
-def resolve_one_hop(lines: DataFrame, tables: DataFrame) -> DataFrame:
+def resolve_one_hop(resolved: DataFrame) -> DataFrame:
     """Edges into real targets whose source is a result set, followed one hop to a real source.
 
-    Both sides are reduced to distinct pairs before the equi-join, so repeated relationships of
-    one result-set column do not multiply; each output row is an edge of the result.
+    ``resolved``: lines with target and source tables, see ``resolve_lines``. Both sides are reduced to
+    distinct pairs before the equi-join, so repeated relationships of one result-set column do not
+    multiply; each output row is an edge of the result.
     """
-    resolved = join_relationship_sources(
-        join_relationship_targets(_value_lines(lines), tables), tables
-    )
-    return hop_edges(write_lines(resolved), real_inputs(lines, tables))
+    return hop_edges(write_lines(resolved), real_inputs(resolved))
 
 
 def write_lines(resolved: DataFrame) -> DataFrame:
     """Value lines into a real, named, non-synthetic target column with a known source."""
     col = F.col("target_col")
-    return resolved.where(
+    return _value_lines(resolved).where(
         F.col("target_is_real") & (col != "") & (col != "*") & ~is_synthetic_column(col)
         & ~F.col("source_unknown") & (F.col("source_col") != "")
     )
 
 
-def real_inputs(lines: DataFrame, tables: DataFrame) -> DataFrame:
-    """Distinct real sources of each (parent, column), whatever kind of table the parent is."""
-    found = join_relationship_sources(_value_lines(lines), tables).where("up_table is not null")
+def real_inputs(resolved: DataFrame) -> DataFrame:
+    """Distinct real sources of each (parent, column). A parent that is no known table is the source of
+    no write, so lines with a known target are all that matter."""
+    found = _value_lines(resolved).where("up_table is not null")
     return found.select(
         *KEY,
         F.col("target_parent_id").alias("source_parent_id"),
@@ -61,14 +60,11 @@ def hop_edges(writes: DataFrame, inputs: DataFrame) -> DataFrame:
     )
 
 
-def write_edges(lines: DataFrame, tables: DataFrame) -> DataFrame:
+def write_edges(resolved: DataFrame) -> DataFrame:
     """Distinct edges of each write target, direct or over one result set, with the last ordinal."""
-    resolved = join_relationship_sources(
-        join_relationship_targets(_value_lines(lines), tables), tables
-    )
     writes = write_lines(resolved)
     direct = writes.where("source_is_real").select(*KEY, "target_parent_id", *EDGE, "rel_ord")
-    both = direct.unionByName(hop_edges(writes, real_inputs(lines, tables)))
+    both = direct.unionByName(hop_edges(writes, real_inputs(resolved)))
     return both.groupBy(*KEY, "target_parent_id", *EDGE).agg(F.max("rel_ord").alias("rel_ord"))
 
 
@@ -96,12 +92,29 @@ def evidence_counts(edges: DataFrame, processes: DataFrame) -> DataFrame:
     return counted.where("write_target_count >= 2 or process_count >= 2")
 
 
-def procedural_write_targets(lines: DataFrame, tables: DataFrame, processes: DataFrame) -> DataFrame:
+def procedural_write_targets(resolved: DataFrame, tables: DataFrame, processes: DataFrame) -> DataFrame:
     """One row per edge of each write target, for nodes that count as procedural.
 
     The edges, far fewer than the lines, are written once: counts, sub-types and result all
     start from them.
     """
-    edges = cut_lineage(write_edges(lines, tables))
+    edges = cut_lineage(write_edges(resolved))
     kept = edges.select(*KEY, *EDGE).distinct().join(evidence_counts(edges, processes), KEY)
     return kept.join(attach_write_subtype(edges, tables), [*KEY, "target_fqn"])
+
+
+def split_reads_writes(resolved: DataFrame, tables: DataFrame) -> DataFrame:
+    """Real tables of a node with their ``role``: a table that value lines go into is written, one that
+    some line comes from is read, and one that is listed without either is read too."""
+    one = F.lit(1)
+    counts = union_counts(
+        [
+            tables.where("is_real").select(*KEY, "fqn"),
+            write_lines(resolved).select(*KEY, F.col("target_fqn").alias("fqn"), one.alias("writes")),
+            resolved.where("source_is_real").select(*KEY, F.col("source_fqn").alias("fqn"), one.alias("reads")),
+        ],
+        ["reads", "writes"],
+        [*KEY, "fqn"],
+    )
+    role = F.when(F.col("writes") == 0, "read").when(F.col("reads") == 0, "write").otherwise("read_write")
+    return counts.select(*KEY, "fqn", role.alias("role"))

@@ -201,33 +201,34 @@ def compute_node_confidence(columns: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def orphan_index(diagnostics: DataFrame) -> DataFrame:
-    """First orphan diagnostic of each key. Each one is filed under its exact and upper name."""
+    """Ordinal of the first orphan diagnostic of each key. Each one is filed under its exact and upper
+    name."""
     keyed = diagnostics.where(F.col("category") == "orphan_column").select(
-        *KEY,
-        F.explode(F.array_distinct(F.array(F.col("near_column"), F.upper("near_column")))).alias("near"),
-        F.struct("err_ord", "line", "col", "message").alias("d"),
+        *KEY, F.explode(F.array_distinct(F.array(F.col("near_column"), F.upper("near_column")))).alias("near"), "err_ord"
     )
-    return keyed.groupBy(*KEY, "near").agg(F.min("d").alias("d"))
+    return keyed.groupBy(*KEY, "near").agg(F.min("err_ord").alias("err_ord"))
 
 
 def attach_orphan_reason(columns: DataFrame, diagnostics: DataFrame) -> DataFrame:
-    """Reason of each column without upstream: its exact name first, then its upper-cased one."""
-    index = orphan_index(diagnostics)
-    exact = index.select(*KEY, F.col("near").alias("name"), F.col("d").alias("exact"))
-    upper = index.select(*KEY, F.col("near").alias("upper_name"), F.col("d").alias("upper"))
-    open_columns = columns.where(~F.col("has_upstream")).select(*KEY, "name", F.upper("name").alias("upper_name"))
-    found = (
-        open_columns.join(exact, [*KEY, "name"], "left")
-        .join(upper, [*KEY, "upper_name"], "left")
-        .withColumn("d", F.coalesce("exact", "upper"))
+    """Reason of each column without upstream: its exact name first, then its upper-cased one.
+
+    Columns ask for both names in one join, ordinals are compared as longs, and the texts come last, by
+    ordinal.
+    """
+    open_columns = columns.where(~F.col("has_upstream")).select(*KEY, "name")
+    asked = open_columns.select(*KEY, "name", F.posexplode(F.array(F.col("name"), F.upper("name"))).alias("way", "near"))
+    met = asked.join(orphan_index(diagnostics), [*KEY, "near"], "left").groupBy(*KEY, "name").agg(
+        F.min(F.when(F.col("way") == 0, F.col("err_ord"))).alias("exact"), F.min("err_ord").alias("any")
     )
-    return found.select(
+    first = met.select(*KEY, "name", F.coalesce("exact", "any").alias("err_ord"))
+    texts = diagnostics.where(F.col("category") == "orphan_column").select(*KEY, "err_ord", "line", "col", "message")
+    return first.join(texts, [*KEY, "err_ord"], "left").select(
         *KEY,
         "name",
-        F.when(F.col("d").isNotNull(), "parser_orphan_column").otherwise("upstream_unresolved").alias("reason"),
-        F.col("d.line").alias("line"),
-        F.col("d.col").alias("col"),
-        F.col("d.message").alias("parser_message"),
+        F.when(F.col("err_ord").isNotNull(), "parser_orphan_column").otherwise("upstream_unresolved").alias("reason"),
+        "line",
+        "col",
+        F.col("message").alias("parser_message"),
     )
 
 

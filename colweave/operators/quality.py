@@ -10,7 +10,11 @@ from pyspark.sql import functions as F
 
 from colweave import schemas as S
 from colweave.operators.compare import edge_count_regressions
-from colweave.session import KEY, RUN, cut_lineage
+from colweave.session import KEY, RUN
+
+# Texts of the check.
+ALL_PASSED = "OK: all check gates passed."
+NO_BASELINE = "warning: baseline not found; skipping regression check"
 
 
 def run_stats(nodes: DataFrame) -> DataFrame:
@@ -108,10 +112,14 @@ def gate_failed(nodes: DataFrame) -> DataFrame:
 
 
 def gate_regression(current: DataFrame, baseline: DataFrame) -> DataFrame:
-    """``current`` and ``baseline`` are edge counts per node. No baseline for a project: it passes."""
+    """``current`` and ``baseline`` are edge counts per node. A run whose project has no baseline is not
+    failed, but has a row that says so: gate ``baseline``, a warning."""
     lost = failure_preview(edge_count_regressions(current, baseline), RUN)
     text = F.concat(F.col("n").cast("string"), F.lit(" regression(s) vs baseline: "), F.col("preview"))
-    return lost.select(*RUN, F.lit("regression").alias("gate"), text.alias("message"))
+    failed = lost.select(*RUN, F.lit("regression").alias("gate"), text.alias("message"))
+    known = baseline.select("project").distinct()
+    without = current.select(*RUN).distinct().join(known, "project", "left_anti")
+    return failed.unionByName(without.select(*RUN, F.lit("baseline").alias("gate"), F.lit(NO_BASELINE).alias("message")))
 
 
 def check_run(
@@ -123,7 +131,8 @@ def check_run(
     fail_on_failed: bool = False,
     counts: tuple[DataFrame, DataFrame] | None = None,
 ) -> DataFrame:
-    """One row per failed gate of a run; a run that passes all gates has one row with ``OK``."""
+    """One row per failed gate of a run, and one per warning; a run that fails no gate has one row with
+    ``OK``, beside its warnings."""
     gates = []
     if min_node_coverage is not None:
         gates.append(gate_node_coverage(stats, min_node_coverage))
@@ -136,36 +145,34 @@ def check_run(
     if counts is not None:
         gates.append(gate_regression(*counts))
     if not gates:
-        return stats.select(*RUN, F.lit(None).cast("string").alias("gate"), F.lit("OK: all check gates passed.").alias("message"))
-    failures = reduce(DataFrame.unionByName, gates)
-    passed = F.lit("OK: all check gates passed.")
-    return stats.select(*RUN).join(failures, RUN, "left").select(
-        *RUN, "gate", F.coalesce("message", passed).alias("message")
-    )
+        return stats.select(*RUN, F.lit(None).cast("string").alias("gate"), F.lit(ALL_PASSED).alias("message"))
+    found = reduce(DataFrame.unionByName, gates)
+    runs = stats.select(*RUN)
+    warnings = found.where("gate = 'baseline'").join(runs, RUN, "left_semi")
+    failures = runs.join(found.where("gate <> 'baseline'"), RUN, "left")
+    return failures.select(*RUN, "gate", F.coalesce("message", F.lit(ALL_PASSED)).alias("message")).unionByName(warnings)
 
 
 # --- validation -----------------------------------------------------------------------------
 
 
-def _get(root: str, field: str) -> Column:
+def _get(root: Column, field: str) -> Column:
     return F.try_variant_get(root, f"$.{field}", "variant")
 
 
 def _kind(value: Column) -> Column:
-    """JSON type of a variant: STRING, BIGINT, DOUBLE, ...; null when the field is absent."""
-    kind = F.schema_of_variant(value)
-    return F.when(kind.startswith("OBJECT"), "OBJECT").when(kind.startswith("ARRAY"), "ARRAY").when(
-        kind.startswith("DECIMAL"), "DECIMAL"
-    ).otherwise(kind)
+    """JSON type of a variant: STRING, BIGINT, DOUBLE, OBJECT, ...; null when the field is absent."""
+    return F.substring_index(F.substring_index(F.schema_of_variant(value), "<", 1), "(", 1)
 
 
 NUMBERS = ["BIGINT", "DOUBLE", "DECIMAL"]
+VIOLATIONS = "array<struct<path:string,rule:string>>"
 
 
 class _Rules:
-    """Violations of one row, as an array of (path, rule), nulls left out."""
+    """Violations of one object, as an array of (path, rule)."""
 
-    def __init__(self, root: str, path: Column):
+    def __init__(self, root: Column, path: Column):
         self.root, self.path, self.found = root, path, []
 
     def add(self, field: str, rule: str, broken: Column) -> None:
@@ -177,114 +184,116 @@ class _Rules:
             self.add(f, "required", _get(self.root, f).isNull())
 
     def typed(self, field: str, *kinds: str) -> None:
-        v = _get(self.root, field)
-        self.add(field, "type", v.isNotNull() & ~_kind(v).isin(*kinds))
+        self.add(field, "type", ~_kind(_get(self.root, field)).isin(*kinds))  # null if absent
 
     def one_of(self, field: str, domain: list[str]) -> None:
-        v = _get(self.root, field)
         text = F.try_variant_get(self.root, f"$.{field}", "string")
-        broken = v.isNotNull() & ~((_kind(v) == "STRING") & text.isin(*domain))
-        self.add(field, "enum", F.coalesce(broken, F.lit(True)))
+        self.add(field, "enum", (_kind(_get(self.root, field)) != "STRING") | ~text.isin(*domain))
 
     def in_range(self, field: str, least: float, most: float | None = None, whole: bool = False) -> None:
-        v = _get(self.root, field)
+        self.typed(field, *(["BIGINT"] if whole else NUMBERS))
         number = F.try_variant_get(self.root, f"$.{field}", "double")
-        self.add(field, "type", v.isNotNull() & ~_kind(v).isin(*(["BIGINT"] if whole else NUMBERS)))
         outside = (number < least) if most is None else (number < least) | (number > most)
-        self.add(field, "range", _kind(v).isin(*NUMBERS) & outside)
+        self.add(field, "range", outside & _kind(_get(self.root, field)).isin(*NUMBERS))
 
     def closed(self, allowed: list[str]) -> None:
         fields = F.try_variant_get(self.root, "$", "map<string,variant>")
         extra = F.array_except(F.map_keys(fields), F.array(*[F.lit(a) for a in allowed]))
         self.add("", "additional field", F.size(extra) > 0)
 
-    def rows(self, df: DataFrame, keys: list[str]) -> DataFrame:
-        return df.select(*keys, F.explode(F.array_compact(F.array(*self.found))).alias("v")).select(
-            *keys, "v.path", "v.rule"
-        )
-
+    def violations(self, *below: Column) -> Column:
+        """Those of the object and of the arrays that its members give."""
+        own = F.array_compact(F.array(*self.found))
+        return F.concat(own, *below) if below else own
+
+
+def _each(root: Column, field: str, path: Column, rules) -> Column:
+    """Violations of all entries of an array field; ``rules`` takes an entry and its path."""
+    entries = F.try_variant_get(root, f"$.{field}", "array<variant>")
+    found = F.flatten(F.transform(entries, lambda e, i: rules(e, F.concat(path, F.lit(f"{field}."), i.cast("string")))))
+    return F.coalesce(found, F.array().cast(VIOLATIONS))
+
+
+def _upstream_rules(up: Column, at: Column) -> Column:
+    r = _Rules(up, F.concat(at, F.lit(".")))
+    r.required("table", "column")
+    r.typed("table", "STRING")
+    r.typed("column", "STRING")
+    r.closed(["table", "column"])
+    return r.violations()
+
+
+def _column_rules(column: Column, at: Column) -> Column:
+    path = F.concat(at, F.lit("."))
+    r = _Rules(column, path)
+    r.required("name")
+    r.typed("name", "STRING")
+    r.typed("upstream", "ARRAY")
+    r.one_of("confidence", S.CONFIDENCES)
+    r.one_of("transform", S.TRANSFORMS)
+    r.closed(["name", "upstream", "confidence", "transform"])
+    return r.violations(_each(column, "upstream", path, _upstream_rules))
+
+
+def _item_rules(kind: str):
+    def rules(item: Column, at: Column) -> Column:
+        r = _Rules(item, at)
+        r.add("", "type", F.coalesce(_kind(item) != kind, F.lit(True)))
+        return r.violations()
+
+    return rules
+
+
+def _node_rules(node: Column, at: Column) -> Column:
+    path = F.concat(at, F.lit("."))
+    r = _Rules(node, path)
+    r.required("node_id", "status")
+    r.typed("node_id", "STRING")
+    r.one_of("status", S.STATUSES)
+    r.one_of("confidence", S.CONFIDENCES)
+    r.typed("dialect", "STRING", "VOID")
+    for f in ("upstream_tables", "downstream", "columns", "unresolved", "warnings"):
+        r.typed(f, "ARRAY")
+    texts = [_each(node, f, path, _item_rules("STRING")) for f in ("upstream_tables", "downstream", "warnings")]
+    return r.violations(_each(node, "columns", path, _column_rules), *texts, _each(node, "unresolved", path, _item_rules("OBJECT")))
 
-def validate_lineage(docs: DataFrame, doc: str = "doc", keys: list[str] | None = None) -> DataFrame:
-    """All violations (path, rule) of lineage documents, given as JSON text.
 
-    Objects are open, except a column and its upstream entries, where an unknown field would
-    mean lineage that readers silently miss.
-    """
-    keys = keys or RUN
-    # every level of the document is read on its own; the text is parsed only here
-    parsed = cut_lineage(docs.select(*keys, F.try_parse_json(doc).alias("_doc")))
-    broken = parsed.where(F.coalesce(_kind(F.col("_doc")) != "OBJECT", F.lit(True)))
-    top = _Rules("_doc", F.lit("$."))
-    top.required("schema_version", "generator", "manifest_metadata", "backend", "stats", "nodes")
+def _document_rules(doc: Column) -> Column:
+    path = F.lit("$.")
+    r = _Rules(doc, path)
+    r.required("schema_version", "generator", "manifest_metadata", "backend", "stats", "nodes")
     for f in ("schema_version", "generator", "generated_at"):
-        top.typed(f, "STRING")
+        r.typed(f, "STRING")
     for f in ("manifest_metadata", "backend", "stats"):
-        top.typed(f, "OBJECT")
-    top.typed("nodes", "ARRAY")
+        r.typed(f, "OBJECT")
+    r.typed("nodes", "ARRAY")
     for f in ("dbt_version", "project_name", "selected_count", "eligible_count"):
-        has_meta = _get("_doc", "manifest_metadata").isNotNull()
-        top.add(f"manifest_metadata.{f}", "required", has_meta & _get("_doc", f"manifest_metadata.{f}").isNull())
-    top.add("backend.mode", "required", _get("_doc", "backend").isNotNull() & _get("_doc", "backend.mode").isNull())
+        r.add(f"manifest_metadata.{f}", "required", _get(doc, "manifest_metadata").isNotNull() & _get(doc, f"manifest_metadata.{f}").isNull())
+    r.add("backend.mode", "required", _get(doc, "backend").isNotNull() & _get(doc, "backend.mode").isNull())
     for f in ("dbt_version", "dbt_schema_version", "project_name"):
-        top.typed(f"manifest_metadata.{f}", "STRING")
-    top.typed("manifest_metadata.adapter_type", "STRING", "VOID")
+        r.typed(f"manifest_metadata.{f}", "STRING")
+    r.typed("manifest_metadata.adapter_type", "STRING", "VOID")
     for f in ("mode", "parser_version", "cli_version"):
-        top.typed(f"backend.{f}", "STRING")
+        r.typed(f"backend.{f}", "STRING")
     for f in ("selected_count", "eligible_count"):
-        top.in_range(f"manifest_metadata.{f}", 0, whole=True)
+        r.in_range(f"manifest_metadata.{f}", 0, whole=True)
     for f in (*S.STATUSES, "total_columns", "resolved_columns"):
-        top.in_range(f"stats.{f}", 0, whole=True)
-    top.in_range("stats.coverage", 0, 1)
-
-    nodes = parsed.select(*keys, F.posexplode(F.try_variant_get("_doc", "$.nodes", "array<variant>")).alias("i", "_node"))
-    node_path = F.concat(F.lit("$.nodes."), F.col("i").cast("string"), F.lit("."))
-    node = _Rules("_node", node_path)
-    node.required("node_id", "status")
-    node.typed("node_id", "STRING")
-    node.one_of("status", S.STATUSES)
-    node.one_of("confidence", S.CONFIDENCES)
-    node.typed("dialect", "STRING", "VOID")
-    for f in ("upstream_tables", "downstream", "columns", "unresolved", "warnings"):
-        node.typed(f, "ARRAY")
+        r.in_range(f"stats.{f}", 0, whole=True)
+    r.in_range("stats.coverage", 0, 1)
+    return r.violations(_each(doc, "nodes", path, _node_rules))
 
-    columns = nodes.select(
-        *keys, "i", F.posexplode(F.try_variant_get("_node", "$.columns", "array<variant>")).alias("j", "_col")
-    )
-    col_path = F.concat(node_path, F.lit("columns."), F.col("j").cast("string"), F.lit("."))
-    column = _Rules("_col", col_path)
-    column.required("name")
-    column.typed("name", "STRING")
-    column.typed("upstream", "ARRAY")
-    column.one_of("confidence", S.CONFIDENCES)
-    column.one_of("transform", S.TRANSFORMS)
-    column.closed(["name", "upstream", "confidence", "transform"])
-
-    ups = columns.select(
-        *keys, "i", "j", F.posexplode(F.try_variant_get("_col", "$.upstream", "array<variant>")).alias("k", "_up")
-    )
-    up = _Rules("_up", F.concat(col_path, F.lit("upstream."), F.col("k").cast("string"), F.lit(".")))
-    up.required("table", "column")
-    up.typed("table", "STRING")
-    up.typed("column", "STRING")
-    up.closed(["table", "column"])
-
-    lists = [
-        F.struct(F.lit(f).alias("f"), F.try_variant_get("_node", f"$.{f}", "array<variant>").alias("es"))
-        for f in ("upstream_tables", "downstream", "warnings", "unresolved")
-    ]
-    items = nodes.select(*keys, "i", F.explode(F.array(*lists)).alias("l")).select(
-        *keys, "i", "l.f", F.posexplode("l.es").alias("k", "e")
-    )
-    wanted = F.when(F.col("f") == "unresolved", "OBJECT").otherwise("STRING")
-    item = _Rules("e", F.concat(node_path, F.col("f"), F.lit("."), F.col("k").cast("string")))
-    item.add("", "type", F.coalesce(_kind(F.col("e")) != wanted, F.lit(True)))
-
-    parts = [
-        broken.select(*keys, F.lit("$").alias("path"), F.lit("object").alias("rule")),
-        top.rows(parsed.where(_kind(F.col("_doc")) == "OBJECT"), keys),
-        node.rows(nodes, keys),
-        column.rows(columns, keys),
-        up.rows(ups, keys),
-        item.rows(items, keys),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+
+def validate_lineage(docs: DataFrame, doc: str = "doc", keys: list[str] | None = None) -> DataFrame:
+    """All violations (path, rule) of lineage documents, given as JSON text.
+
+    Objects are open, except a column and its upstream entries, where an unknown field would
+    mean lineage that readers silently miss. A text is parsed once and all levels of it are checked in
+    the row where it stands, by one expression and one explode.
+    """
+    keys = keys or RUN
+    parsed = docs.select(*keys, F.try_parse_json(doc).alias("_doc"))
+    no_object = F.array(F.struct(F.lit("$").alias("path"), F.lit("object").alias("rule")))
+    is_object = F.coalesce(_kind(F.col("_doc")) == "OBJECT", F.lit(False))
+    found = F.when(is_object, _document_rules(F.col("_doc"))).otherwise(no_object)
+    # an outer generator: for an inner one the planner adds a filter that works all rules a second time
+    return parsed.select(*keys, F.explode_outer(found).alias("v")).where("v is not null").select(*keys, "v.path", "v.rule")

@@ -8,6 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from colweave import schemas as S
 from colweave.operators import emit, evidence, mapper, quality
 from colweave.operators.cache import one_per_key, prepare_sql
 from colweave.operators.compare import diff_headline, diff_report, edge_count_regressions, edge_counts
@@ -89,12 +90,13 @@ def map_run(planned: DataFrame, answers: DataFrame) -> Lineage:
         .unionByName(mapper.reason_rows(bad, 5, reason=F.coalesce("reason", F.lit("parser_error")), detail=F.col("detail")))
         .unionByName(mapper.reason_rows(skipped, 5, reason=F.lit("skipped"), detail=F.col("skip_reason")))
     )
-    writes = evidence.procedural_write_targets(lines, tables, R.process_counts(flows))
+    writes = evidence.procedural_write_targets(resolved, tables, R.process_counts(flows))
     return Lineage(nodes, columns, edges, mapper.upstream_tables(tables), unresolved, diagnostics, writes)
 
 
-def render_run(lineage: Lineage, children: DataFrame, meta: DataFrame, generator: str, backend: Mapping[str, str]) -> DataFrame:
-    """Document lines of every run. ``children``: keys and child_id of ``attach_downstream``."""
+def _rendered(
+    lineage: Lineage, children: DataFrame, meta: DataFrame, generator: str, backend: Mapping[str, str], cache_stats: DataFrame | None
+) -> tuple[DataFrame, DataFrame]:
     docs = emit.render_lineage_doc(
         lineage.nodes, lineage.columns, lineage.edges, lineage.tables, children,
         lineage.unresolved, lineage.diagnostics, lineage.writes,
@@ -102,12 +104,31 @@ def render_run(lineage: Lineage, children: DataFrame, meta: DataFrame, generator
     stats = quality.run_stats(lineage.nodes)
     described = stats.select(*RUN, "eligible_count", F.expr("parsed+partial+unsupported+failed+skipped").alias("selected_count"))
     full_meta = meta.join(described, RUN)
-    headers = emit.document_headers(stats.drop("eligible_count"), full_meta, generator, "0.2.x", backend)
-    return emit.document_lines(docs, headers)
+    return docs, emit.document_headers(stats.drop("eligible_count"), full_meta, generator, "0.2.x", backend, cache_stats=cache_stats)
+
+
+def render_run(
+    lineage: Lineage, children: DataFrame, meta: DataFrame, generator: str, backend: Mapping[str, str], cache_stats: DataFrame | None = None
+) -> DataFrame:
+    """Lines of one document per run. ``children``: keys and child_id of ``attach_downstream``."""
+    docs, headers = _rendered(lineage, children, meta, generator, backend, cache_stats)
+    return emit.document_lines(cut_lineage(docs), headers)  # read twice there
+
+
+def render_table(
+    lineage: Lineage, children: DataFrame, meta: DataFrame, generator: str, backend: Mapping[str, str], cache_stats: DataFrame | None = None
+) -> DataFrame:
+    """Rows of a document table, one document per node."""
+    return emit.document_rows(*_rendered(lineage, children, meta, generator, backend, cache_stats))
 
 
 def document_stats(doc: LineageTables) -> DataFrame:
-    """Run statistics of documents that were read back."""
+    """Run statistics of documents that were read back: those that they state, or counted from their
+    nodes where there are no headers."""
+    if doc.headers is not None:
+        zero = lambda c, name: F.coalesce(F.col(c), F.lit(0)).alias(name)
+        counts = [zero(f"stats.{s}", s) for s in (*S.STATUSES, "total_columns", "resolved_columns")]
+        return doc.headers.select(*RUN, *counts, zero("manifest_metadata.eligible_count", "eligible_count"), F.col("stats.coverage").alias("coverage"))
     per_node = mapper.union_counts(
         [
             doc.nodes.select(*KEY),

@@ -111,20 +111,21 @@ NODE_DOCUMENT = (
     "upstream:array<struct<table:string,column:string>>>>,"
     "unresolved array<struct<reason:string,target_column:string,rel_type:string,"
     "source_parent_id:string,line:bigint,col:bigint,parser_message:string,marker:string,"
-    "fragment_preview:string,detail:string>>"
+    "fragment_preview:string,detail:string>>,"
+    "evidence struct<"
+    "parser_diagnostics:array<struct<type:string,category:string,near_column:string,line:bigint,col:bigint,message:string>>,"
+    "procedural:struct<column_edge_count:bigint,process_count:bigint,write_target_count:bigint,"
+    "write_targets:array<struct<table:string,subType:string,`from`:array<string>,columns:array<string>,"
+    "edges:array<struct<`from`:struct<table:string,column:string>,target_column:string>>>>>>"
 )
-DOCUMENT = (
-    "schema_version string, generator string,"
+#: What a document says of its run.
+HEADER = (
+    "schema_version string, generator string, generated_at string,"
     "manifest_metadata struct<dbt_version:string,dbt_schema_version:string,project_name:string,"
     "adapter_type:string,selected_count:bigint,eligible_count:bigint>,"
+    "backend struct<mode:string,parser_version:string,cli_version:string,"
+    "cache_stats:struct<hits:bigint,misses:bigint,hit_rate_pct:bigint>>,"
     "stats struct<parsed:bigint,partial:bigint,unsupported:bigint,failed:bigint,skipped:bigint,"
-    "total_columns:bigint,resolved_columns:bigint,coverage:double>,"
-    "nodes array<struct<"
-    "node_id:string,status:string,confidence:string,dialect:string,"
-    "upstream_tables:array<string>,downstream:array<string>,warnings:array<string>,"
-    "columns:array<struct<name:string,transform:string,confidence:string,"
-    "upstream:array<struct<table:string,column:string>>>>,"
-    "unresolved:array<struct<reason:string,target_column:string,rel_type:string,"
-    "source_parent_id:string,line:bigint,col:bigint,parser_message:string,marker:string,"
-    "fragment_preview:string,detail:string>>>>"
+    "total_columns:bigint,resolved_columns:bigint,coverage:double>"
 )
+DOCUMENT = f"{HEADER}, nodes array<struct<{NODE_DOCUMENT}>>"

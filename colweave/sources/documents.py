@@ -1,4 +1,9 @@
-"""Lineage documents, read back as tables."""
+"""Lineage documents, read back as tables.
+
+A document comes as a file of its own (``read_lineage_docs``), or as a row of a document table
+(``read_document_table``): text files of one whole, valid document a line, with the header of its run
+and one node. Both give the same tables.
+"""
 
 from __future__ import annotations
 
@@ -8,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from colweave import schemas as S
-from colweave.session import KEY, RUN
+from colweave.functions.rules import blank_to_null
+from colweave.session import KEY, RUN, cut_lineage
 
 
 class LineageTables(NamedTuple):
@@ -18,6 +24,12 @@ class LineageTables(NamedTuple):
     tables: DataFrame
     downstream: DataFrame
     unresolved: DataFrame
+    diagnostics: DataFrame
+    writes: DataFrame
+    #: What the documents state of their runs; None where only nodes were given.
+    headers: DataFrame | None = None
+    #: Texts that are no documents, with the reason.
+    rejects: DataFrame | None = None
 
 
 def tables_of(nodes: DataFrame) -> LineageTables:
@@ -27,6 +39,11 @@ def tables_of(nodes: DataFrame) -> LineageTables:
     edges = columns.select(
         *KEY, "node_ord", F.col("c.name").alias("column"), F.explode("c.upstream").alias("u")
     )
+    proc = "n.evidence.procedural"
+    targets = n.select(
+        *KEY, "node_ord", *[F.col(f"{proc}.{f}").alias(f) for f in ("write_target_count", "column_edge_count", "process_count")],
+        F.explode(f"{proc}.write_targets").alias("w"),
+    )
     return LineageTables(
         nodes=n.select(*KEY, "node_ord", "n.status", "n.confidence", "n.dialect").distinct(),
         columns=columns.select(*KEY, "node_ord", "c.name", "c.transform", "c.confidence").distinct(),
@@ -38,6 +55,14 @@ def tables_of(nodes: DataFrame) -> LineageTables:
         unresolved=n.select(*KEY, "node_ord", F.posexplode("n.unresolved").alias("seq", "u")).select(
             *KEY, "node_ord", "seq", "u.*"
         ),
+        diagnostics=n.select(*KEY, "node_ord", F.posexplode("n.evidence.parser_diagnostics").alias("seq", "d")).select(
+            *KEY, "node_ord", "seq", "d.*"
+        ),
+        writes=targets.select("*", F.explode("w.edges").alias("e")).select(
+            *KEY, "node_ord", F.col("w.table").alias("target_fqn"), F.col("e.target_column").alias("target_col"),
+            F.col("e.from.table").alias("up_table"), F.col("e.from.column").alias("up_column"), F.col("w.subType").alias("sub_type"),
+            "write_target_count", "column_edge_count", "process_count",
+        ),
     )
 
 
@@ -49,19 +74,33 @@ def parse_node_lines(lines: DataFrame) -> LineageTables:
 
 
 def parse_documents(texts: DataFrame) -> LineageTables:
-    """``texts``: project, run_id, doc - one whole document with its array of nodes per row."""
-    docs = texts.select(*RUN, F.from_json("doc", S.DOCUMENT).alias("d"))
-    return tables_of(docs.select(*RUN, F.posexplode("d.nodes").alias("node_ord", "n")))
+    """``texts``: project, run_id, doc - whole documents, each with its header and array of nodes.
+
+    A null ``project`` is the one that the document names, else ``unknown``. A run may have any number
+    of documents. Texts are parsed once and written, since ten tables are read from them. A text that
+    is not JSON, or has no list of nodes, goes to ``rejects`` as it is. A run has one row of
+    ``headers`` if its documents agree on it.
+    """
+    shape = f"{S.DOCUMENT}, _broken string"
+    parsed = texts.withColumn("d", F.from_json("doc", shape, {"columnNameOfCorruptRecord": "_broken"}))
+    named = F.coalesce("project", blank_to_null(F.col("d.manifest_metadata.project_name")), F.lit("unknown"))
+    error = F.when(F.col("d.nodes").isNotNull(), None).when(F.col("d._broken").isNotNull() | F.col("doc").isNull(), "document is not valid JSON").otherwise("document has no list of nodes")
+    docs = cut_lineage(parsed.select(named.alias("project"), "run_id", "d", error.alias("error"), F.when(error.isNotNull(), F.col("doc")).alias("text")))
+    good = docs.where("error is null")
+    header = [F.col(f"d.{f}") for f in ("schema_version", "generator", "generated_at", "manifest_metadata", "backend", "stats")]
+    return tables_of(good.select(*RUN, F.posexplode("d.nodes").alias("node_ord", "n")))._replace(
+        headers=good.select(*RUN, *header).distinct(), rejects=docs.where("error is not null").select(*RUN, "error", "text")
+    )
 
 
 def read_lineage_docs(spark: SparkSession, paths: list[str], run_id: str) -> LineageTables:
-    """Document files; the project is the one each document names."""
+    """Files of one whole document each; the project is the one each document names."""
     texts = spark.read.text(paths, wholetext=True)
-    named = F.from_json("value", S.DOCUMENT)["manifest_metadata"]["project_name"]
-    return parse_documents(
-        texts.select(
-            F.coalesce(named, F.lit("unknown")).alias("project"),
-            F.lit(run_id).alias("run_id"),
-            F.col("value").alias("doc"),
-        )
-    )
+    return parse_documents(texts.select(F.lit(None).cast("string").alias("project"), F.lit(run_id).alias("run_id"), F.col("value").alias("doc")))
+
+
+def read_document_table(spark: SparkSession, path: str) -> LineageTables:
+    """A document table as ``emit.write_document_table`` makes it: any number of files a run, which
+    Spark splits by lines, so a run of any size is read by many tasks."""
+    rows = spark.read.schema("value string, project string, run_id string").text(path)
+    return parse_documents(rows.where("value <> ''").select(*RUN, F.col("value").alias("doc")))

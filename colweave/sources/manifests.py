@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from colweave import schemas as S
 from colweave.functions.rules import blank_to_null
-from colweave.session import RUN
+from colweave.session import RUN, cut_lineage
 
 
 class Manifests(NamedTuple):
@@ -45,20 +45,27 @@ def parse_manifests(texts: DataFrame) -> Manifests:
     """``texts``: project, run_id, path, value -> nodes, edges, metadata and rejects.
 
     A null text (missing file), broken JSON or a root that is no object goes to ``rejects``.
-    Maps that are null or absent are empty.
+    Maps that are null or absent are empty. Texts are parsed once and the variants are written, so that
+    the four outputs do not parse them again.
     """
-    parsed = texts.withColumn("doc", F.try_parse_json("value")).withColumn(
-        "is_object", F.coalesce(F.schema_of_variant("doc").startswith("OBJECT"), F.lit(False))
-    )
-    rejects = parsed.where(~F.col("is_object")).select(
-        *RUN,
-        "path",
+    return describe_manifests(cut_lineage(_parsed(texts)))
+
+
+def _parsed(texts: DataFrame) -> DataFrame:
+    """``texts`` with ``doc``, the parsed value, in its place, and why it was rejected, if it was."""
+    docs = texts.withColumn("doc", F.try_parse_json("value"))
+    error = (
         F.when(F.col("value").isNull(), "manifest not found")
         .when(F.col("doc").isNull(), "manifest is not valid JSON")
-        .otherwise("manifest is not a JSON object")
-        .alias("error"),
+        .when(~F.schema_of_variant("doc").startswith("OBJECT"), "manifest is not a JSON object")
     )
-    good = parsed.where("is_object")
+    return docs.withColumn("error", error).drop("value")
+
+
+def describe_manifests(parsed: DataFrame) -> Manifests:
+    """The tables of parsed manifests: project, run_id, path, doc and error."""
+    rejects = parsed.where("error is not null").select(*RUN, "path", "error")
+    good = parsed.where("error is null")
 
     def entries(name: str, value_type: str) -> DataFrame:
         return good.select(
@@ -104,14 +111,13 @@ def parse_manifests(texts: DataFrame) -> Manifests:
 def read_manifests(
     spark: SparkSession, paths: list[str], run_id: str, expected: DataFrame | None = None
 ) -> Manifests:
-    """Manifest files of many projects; the project is the one each manifest names."""
-    texts = read_texts(spark, paths, expected)
-    named = F.try_variant_get(F.try_parse_json("value"), "$.metadata.project_name", "string")
-    return parse_manifests(
-        texts.select(
-            F.coalesce(named, F.lit("unknown")).alias("project"), F.lit(run_id).alias("run_id"), "path", "value"
-        )
-    )
+    """Manifest files of many projects; the project is the one each manifest names.
+
+    Manifests without a name are told apart by their files: their project is ``unknown:`` and the path.
+    """
+    parsed = _parsed(read_texts(spark, paths, expected))
+    named = F.coalesce(blank_to_null(_text("doc", "metadata.project_name")), F.concat(F.lit("unknown:"), "path"))
+    return describe_manifests(cut_lineage(parsed.select(named.alias("project"), F.lit(run_id).alias("run_id"), "path", "doc", "error")))
 
 
 def schema_version(url: Column) -> Column:
@@ -146,12 +152,9 @@ def resolve_compiled_sql(nodes: DataFrame, files: DataFrame, target_dir: str) ->
     full = F.when(relative.startswith("/"), relative).otherwise(
         F.concat(F.lit(target_dir.rstrip("/") + "/"), relative)
     )
-    keyed = nodes.withColumn("_inline", inline).withColumn(
-        "_path", F.when(F.col("_inline").isNull(), full)
-    )
+    # a node with its text, or without a path, has nothing to look for, and null is no key to shuffle by
+    known = nodes.withColumns({"sql": inline, "_path": full})
+    wanted = F.col("sql").isNull() & F.col("_path").isNotNull()
     texts = files.select(F.col("path").alias("_path"), F.col("text").alias("_text"))
-    return (
-        keyed.join(texts, "_path", "left")
-        .withColumn("sql", F.coalesce("_inline", "_text"))
-        .drop("_inline", "_path", "_text")
-    )
+    found = known.where(wanted).join(texts, "_path", "left").withColumn("sql", F.col("_text"))
+    return known.where(~wanted).drop("_path").unionByName(found.drop("_path", "_text"))

@@ -48,45 +48,37 @@ def classify_responses(raw: DataFrame, mode: Column | None = None) -> DataFrame:
 def explode_dbobjs(flows: DataFrame) -> DataFrame:
     """One row per table id of a node. Of two tables with one id, the last in the tree stays.
 
-    The aggregate leaves the rows partitioned by node and table id, which is how the target
-    join of the mapper wants them.
+    A response holds the whole tree of its node, so this is settled inside the row: the tree becomes one
+    array, sorted by id and place, of which those entries stay whose id does not come again. Nothing is
+    shuffled. A node comes once in ``flows``.
     """
-    tree = flows.select(
-        *KEY, F.posexplode(F.try_variant_get("flow", "$.dbobjs.servers", S.OBJECT_TREE)).alias("p1", "s")
-    )
-    tree = tree.select(
-        *KEY, "p1", F.col("s.name").alias("server"), F.posexplode("s.databases").alias("p2", "d")
-    )
-    tree = tree.select(
-        *KEY, "p1", "p2", "server", F.col("d.name").alias("db"), F.posexplode("d.schemas").alias("p3", "c")
-    )
-    groups = F.array(
-        *[F.struct(F.lit(n).alias("collection"), F.col(f"c.{n}").alias("items")) for n in S.COLLECTIONS]
-    )
-    tree = tree.select(
-        *KEY, "p1", "p2", "p3", "server", "db",
-        F.col("c.name").alias("schema_name"), F.posexplode(groups).alias("p4", "g"),
-    )
-    tree = tree.select(
-        *KEY, "p1", "p2", "p3", "p4", "server", "db", "schema_name",
-        F.col("g.collection").alias("collection"), F.posexplode("g.items").alias("p5", "t"),
-    )
-    flat = tree.select(
-        *KEY,
-        F.coalesce(F.col("t.id"), F.lit("None")).alias("table_id"),
-        F.struct(
-            "p1", "p2", "p3", "p4", "p5", "collection", "server", "db", "schema_name",
-            F.coalesce(blank_to_null(F.col("t.name")), F.col("t.displayName"), F.lit("")).alias("name"),
-            F.col("t.subType").alias("sub_type"),
-        ).alias("t"),
-    )
-    last = flat.groupBy(*KEY, "table_id").agg(F.max("t").alias("t"))
-    return describe_tables(
-        last.select(
-            *KEY, "table_id",
-            *[f"t.{c}" for c in ("collection", "server", "db", "schema_name", "name", "sub_type")],
-        )
-    )
+
+    def entries(server: Column, db: Column, schema: Column) -> Column:
+        def listed(collection: str) -> Column:
+            return F.transform(
+                F.coalesce(schema[collection], F.array()),
+                lambda t: F.struct(
+                    F.coalesce(t["id"], F.lit("None")).alias("table_id"), F.lit(collection).alias("collection"),
+                    server["name"].alias("server"), db["name"].alias("db"), schema["name"].alias("schema_name"),
+                    F.coalesce(blank_to_null(t["name"]), t["displayName"], F.lit("")).alias("name"), t["subType"].alias("sub_type"),
+                ),
+            )
+
+        return F.concat(*[listed(c) for c in S.COLLECTIONS])
+
+    def within(items: Column, name: str, shape) -> Column:
+        return F.flatten(F.transform(F.coalesce(items[name], F.array()), shape))
+
+    servers = F.try_variant_get("flow", "$.dbobjs.servers", S.OBJECT_TREE)
+    tree = F.flatten(F.transform(servers, lambda s: within(s, "databases", lambda d: within(d, "schemas", lambda c: entries(s, d, c)))))
+    # by id and place; the last place of an id is the one whose successor has another id
+    placed = F.sort_array(F.transform(tree, lambda t, i: F.struct(t["table_id"].alias("id"), i.alias("i"), t.alias("t"))))
+    # an outer generator: for an inner one the planner adds a filter that builds the array a second time
+    listed = flows.select(*KEY, placed.alias("ts"))
+    pairs = F.arrays_zip(F.col("ts").alias("x"), F.slice("ts", F.lit(2), F.greatest(F.size("ts") - 1, F.lit(0))).alias("after"))
+    rows = listed.select(*KEY, F.inline_outer(pairs))
+    last = rows.where(F.col("x").isNotNull() & ~F.col("x.id").eqNullSafe(F.col("after.id")))
+    return describe_tables(last.select(*KEY, "x.t.*"))
 
 
 def describe_tables(tables: DataFrame) -> DataFrame:

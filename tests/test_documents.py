@@ -155,6 +155,49 @@ def test_document_is_valid_and_reads_back(spark, written, mapped):
     assert lines.count() == 0 and headline.first().line.startswith("No regressions")
 
 
+def test_document_table_replaces_single_runs(spark, manifest, mapped, tmp_path):
+    children = attach_downstream(manifest.nodes, manifest.edges)
+    hits = spark.createDataFrame([("shop", "r1", 3, 1, 75)], "project string, run_id string, hits long, misses long, hit_rate_pct long")
+    meta = manifest.meta.drop("path", "generated_at")
+    rows = P.render_table(mapped, children, meta, "colweave 1", {"mode": "anonymous", "parser_version": "4"}, hits)
+    path = str(tmp_path / "table")
+    emit.write_document_table(rows, path)
+    emit.write_document_table(rows.withColumn("run_id", F.lit("20240101")), path)
+    texts = spark.read.text(path)
+    assert texts.count() == 8
+    lines = texts.select("project", F.col("run_id").cast("string").alias("run_id"), F.col("value").alias("doc"))
+    assert quality.validate_lineage(lines).count() == 0  # each line is a document
+    # again with another line in it: the run is replaced, the other one stays
+    emit.write_document_table(rows.where(F.col("node_id") == MODEL).union(rows.limit(1).withColumn("line", F.lit("{oops"))), path)
+    back = documents.read_document_table(spark, path)
+    assert {(r.run_id, r.node_id) for r in back.nodes.where("run_id = 'r1'").collect()} == {("r1", MODEL)}
+    assert back.nodes.where("run_id = '20240101'").count() == 4
+    assert [(r.run_id, r.error, r.text) for r in back.rejects.collect()] == [("r1", "document is not valid JSON", "{oops")]
+    heads = {r.run_id: r for r in back.headers.collect()}
+    assert set(heads) == {"r1", "20240101"} and heads["r1"].backend.parser_version == "4"
+    assert heads["20240101"].stats.parsed == 1 and heads["r1"].backend.cache_stats.hits == 3
+    (stated,) = P.check_documents(back, min_node_coverage=0.9).where("run_id = '20240101'").collect()
+    assert stated.message == "node coverage 66.67% below required 90.00%"
+
+
+def test_documents_that_are_none(spark):
+    texts = ["{", "[]", '{"nodes": 3}', '{"nodes": []}', None, '{"nodes": [{"node_id": "a"}], "manifest_metadata": {"project_name": "named"}}']
+    df = spark.createDataFrame([(None, f"r{i}", t) for i, t in enumerate(texts)], "project string, run_id string, doc string")
+    back = documents.parse_documents(df)
+    assert {r.run_id for r in back.rejects.collect()} == {"r0", "r1", "r2", "r4"}
+    assert [(r.project, r.run_id, r.node_id) for r in back.nodes.collect()] == [("named", "r5", "a")]
+    assert {(r.project, r.run_id) for r in back.headers.collect()} == {("unknown", "r3"), ("named", "r5")}
+
+
+def test_missing_baseline_is_a_warning(spark):
+    now = counts(spark, [("n", 0, 2)])
+    (row,) = quality.gate_regression(now, now.limit(0)).collect()
+    assert (row.gate, row.message) == ("baseline", "warning: baseline not found; skipping regression check")
+    nodes = spark.createDataFrame([("p", "r", "n", "parsed", 1, 1)], "project string, run_id string, node_id string, status string, total_columns long, resolved_columns long")
+    got = {(r.gate, r.message) for r in quality.check_run(quality.run_stats(nodes), nodes, 0.5, counts=(now, now.limit(0))).collect()}
+    assert got == {(None, quality.ALL_PASSED), ("baseline", quality.NO_BASELINE)}
+
+
 def test_catalog_payloads(mapped):
     proposals = [json.loads(r.payload) for r in emit.emit_datahub(mapped.nodes, mapped.columns, mapped.edges, mapped.tables).collect()]
     by_urn = {p["entityUrn"]: p for p in proposals}
@@ -201,8 +244,8 @@ def test_evidence_in_document(spark):
     one = spark.createDataFrame([("p", "r", "n", "parsed", "high", None)], f"{key}, status string, confidence string, dialect string")
     empty = lambda extra: spark.createDataFrame([], f"{key}, {extra}")
     writes = spark.createDataFrame(
-        [("p", "r", "n", "t1", "a", "s", "x", "temp_table"), ("p", "r", "n", "t1", "a", "s", "y", "temp_table"), ("p", "r", "n", "t0", "b", "s", "x", None)],
-        f"{key}, target_fqn string, target_col string, up_table string, up_column string, sub_type string",
+        [("p", "r", "n", "t1", "a", "s", "x", "temp_table", 4), ("p", "r", "n", "t1", "a", "s", "y", "temp_table", 4), ("p", "r", "n", "t0", "b", "s", "x", None, 4)],
+        f"{key}, target_fqn string, target_col string, up_table string, up_column string, sub_type string, process_count long",
     )
     diags = spark.createDataFrame([("p", "r", "n", 0, "Hint", None, None, 3, None, "m")], f"{key}, err_ord long, type string, category string, near_column string, line long, col long, message string")
     reason = "section int, ord long, src_ord long, reason string, target_column string, rel_type string, source_parent_id string, line long, col long, parser_message string, marker string, fragment_preview string, detail string"
@@ -212,7 +255,7 @@ def test_evidence_in_document(spark):
     ).collect()
     assert json.loads(row.doc)["evidence"] == {
         "parser_diagnostics": [{"line": 3, "message": "m", "type": "Hint"}],
-        "procedural": {"column_edge_count": 3, "write_target_count": 2, "write_targets": [
+        "procedural": {"column_edge_count": 3, "process_count": 4, "write_target_count": 2, "write_targets": [
             {"columns": ["b"], "edges": [{"from": {"column": "x", "table": "s"}, "target_column": "b"}], "from": ["s"], "table": "t0"},
             {"columns": ["a"], "edges": [{"from": {"column": c, "table": "s"}, "target_column": "a"} for c in "xy"], "from": ["s"], "subType": "temp_table", "table": "t1"},
         ]},

@@ -26,17 +26,19 @@ def rel(kind, target, *sources):
 
 SRC, RS = table("1", "src"), table("2", "RS-1")
 ONE = tree(tables=[SRC], others=[RS])
-TWO_TARGETS = tree(
-    tables=[table("b", "sold", subType="temp_table"), table("h", "herd"), table("a", "fed", subType="temp_table"), table("f", "feed")],
-    others=[table("x", "RS-8"), table("y", "RS-3")],
+# a script that fills three tables; two of them from one result set, which itself reads another
+MILL = tree(
+    tables=[table("w1", "flour", subType="temp_table"), table("w2", "bran"), table("w3", "waste", subType=""), table("g", "grain"), table("d", "dust")],
+    others=[table("ra", "RS-11"), table("rb", "RS-12")],
 )
 ORPHAN = "find orphan column(10500) near: "
 
 CASES = {
     "empty": {},
-    "single": {
-        "dbobjs": tree(tables=[table("t7", "herd")], others=[table("r9", "RS-4")], server="north", db="farm", schema="main"),
-        "relationships": [rel("fdd", ("r9", "weight"), ("t7", "kg"))],
+    # two sources of one column, by two kinds of relationship
+    "pair": {
+        "dbobjs": tree(tables=[table("u", "tide"), table("v", "moon")], others=[table("o", "RS-7")], server="coast", db="log", schema="sea"),
+        "relationships": [rel("fdc", ("o", "level"), ("v", "phase"), ("u", "height")), rel("fdd", ("o", "level"), ("u", "height"))],
     },
     "defaults": {
         "dbobjs": tree(views=[table("k", "barns")], server="DEFAULT_SERVER", db="DEFAULT", schema="land"),
@@ -53,28 +55,40 @@ CASES = {
         ],
     },
     "procedural": {
-        "dbobjs": TWO_TARGETS,
+        "dbobjs": MILL,
         "relationships": [
-            rel("fdd", ("a", "grams"), ("y", "g")),
-            rel("fdd", ("y", "g"), ("f", "amount")),
-            rel("fdd", ("x", "who"), ("h", "tag")),
-            rel("fdd", ("b", "animal"), ("x", "who")),
+            # both from the result set ra, whose column reads grain itself and the result set rb
+            rel("FDD", ("w2", "kg"), ("ra", "sum_kg")),
+            rel("fdd", ("w1", "kg"), ("ra", "sum_kg")),
+            rel("fdd", ("ra", "sum_kg"), ("g", "kg"), ("rb", "part")),
+            # behind two result sets: one hop more than evidence follows
+            rel("fdd", ("rb", "part"), ("d", "kg")),
+            rel("fdd", ("w3", "note"), ("d", "note")),
+            # neither a star, nor a condition, nor an unknown source is a write
+            rel("fdd", ("w3", "*"), ("d", "*")), rel("fdr", ("w3", "why"), ("d", "note")), rel("fdd", ("w2", "lost"), ("nowhere", "x")),
+            # later, and from a real table: the same edge comes twice
+            rel("fdd", ("w1", "kg"), ("g", "kg")),
         ],
-        "processes": [{"id": "q"}, {"id": "r"}, {"id": "s"}],
+        "processes": [],
     },
-    "single_target": {
-        "dbobjs": tree(tables=[table("out", "yield"), table("in", "plots")], others=[table("mid", "RS-5")]),
-        "relationships": [rel("fdd", ("out", "tons"), ("mid", "t")), rel("fdd", ("mid", "t"), ("in", "area"))],
+    # one target, but two processes; and one of each
+    "two_processes": {
+        "dbobjs": tree(tables=[table("p", "press"), table("l", "olives")]),
+        "relationships": [rel("fdd", ("p", "oil"), ("l", "oil"))],
+        "processes": [1, 2],
     },
+    "one_of_each": {
+        "dbobjs": tree(tables=[table("p", "press"), table("l", "olives")]),
+        "relationships": [rel("fdd", ("p", "oil"), ("l", "oil")), rel("fdd", ("p", "pulp"), ("l", "oil"))],
+        "processes": [1],
+    },
+    # the name in another case than the column; the first of two messages counts
     "orphan": {
-        "dbobjs": tree(tables=[table("h", "herd")], views=[table("w", "v_herd")], others=[table("m", "RS-6")]),
-        "relationships": [
-            rel("fdd", ("w", "tag"), ("m", "tag")),
-            rel("fdd", ("m", "Breed_Code"), ("gone", "code")),
-            rel("fdd", ("m", "tag"), ("h", "tag")),
-        ],
+        "dbobjs": tree(tables=[table("b", "boats")], others=[table("q", "RS-2")]),
+        "relationships": [rel("fda", ("q", "HARBOUR"), ("lost", "h")), rel("fdd", ("q", "Mast"), ("lost", "m")), rel("fdd", ("q", "keel"), ("b", "keel"))],
         "errors": [
-            {"errorType": "SyntaxHint", "errorMessage": ORPHAN + "[breed_code](5,21)", "originCoordinates": [{"x": 4, "y": 2}]}
+            {"errorMessage": "odd"}, {"errorMessage": ORPHAN.upper() + "harbour ( 9, 1 )"}, {"errorMessage": ORPHAN + "harbour(7 , 30)", "errorType": ""},
+            {"errorMessage": ORPHAN + "[HARBOUR](8,2)", "errorType": "Hint"},
         ],
     },
     "untraced": {
@@ -139,7 +153,7 @@ def run(spark, shuffled=False):
         "tables": mapper.upstream_tables(tables),
         "unresolved": mapper.unresolved_rows(resolved, columns, diags),
         "diagnostics": diags,
-        "writes": evidence.procedural_write_targets(lines, tables, R.process_counts(flows)),
+        "writes": evidence.procedural_write_targets(resolved, tables, R.process_counts(flows)),
     }
     return {name: sorted(map(tuple, df.drop("project", "run_id").collect()), key=repr) for name, df in out.items()}
 
@@ -157,10 +171,11 @@ def test_empty_response(result):
     assert of(result, "status", "empty") == [("unsupported", "low", 0, 0)]
 
 
-def test_single_edge(result):
-    assert of(result, "status", "single") == [("parsed", "high", 1, 1)]
-    assert of(result, "edges", "single") == [("weight", "north.farm.main.herd", "kg")]
-    assert of(result, "tables", "single") == [("north.farm.main.herd",)]
+def test_two_sources_of_a_column(result):
+    assert of(result, "status", "pair") == [("parsed", "high", 1, 1)]
+    assert of(result, "columns", "pair") == [("level", "expression", "high", True)]
+    assert of(result, "edges", "pair") == [("level", "coast.log.sea.moon", "phase"), ("level", "coast.log.sea.tide", "height")]
+    assert of(result, "tables", "pair") == [("coast.log.sea.moon",), ("coast.log.sea.tide",)]
 
 
 def test_default_names_are_blank(result):
@@ -180,17 +195,19 @@ def test_synthetic_columns_drop_out(result):
 
 def test_procedural_evidence(result):
     rows = of(result, "writes", "procedural")
-    assert [(r[0], r[1], r[2], r[3]) for r in rows] == [("fed", "grams", "feed", "amount"), ("sold", "animal", "herd", "tag")]
-    assert {r[4:] for r in rows} == {(2, 2, 3, "temp_table")}
-    assert of(result, "writes", "single_target") == []
+    assert [r[:4] for r in rows] == [("bran", "kg", "grain", "kg"), ("flour", "kg", "grain", "kg"), ("waste", "note", "dust", "note")]
+    assert [r[4:] for r in rows] == [(3, 3, 0, None), (3, 3, 0, "temp_table"), (3, 3, 0, "")]
+    assert of(result, "writes", "two_processes") == [("press", "oil", "olives", "oil", 1, 1, 2, None)]
+    assert of(result, "writes", "one_of_each") == []
 
 
 def test_orphan_column(result):
-    assert of(result, "diagnostics", "orphan") == [
-        (0, "SyntaxHint", "orphan_column", "breed_code", 5, 21, ORPHAN + "[breed_code](5,21)")
-    ]
+    found = [(r[0], r[1], r[3], r[4], r[5]) for r in of(result, "diagnostics", "orphan")]
+    # blanks are allowed before the comma but not after the bracket
+    assert found == [(0, "Hint", None, None, None), (1, "Hint", None, None, None), (2, "SyntaxHint", "harbour", 7, 30), (3, "Hint", "HARBOUR", 8, 2)]
     rows = [r for r in of(result, "unresolved", "orphan") if r[3] == "parser_orphan_column"]
-    assert [(r[4], r[7], r[8]) for r in rows] == [("Breed_Code", 5, 21)]
+    assert [(r[4], r[7], r[8]) for r in rows] == [("HARBOUR", 7, 30)]
+    assert ("Mast", "upstream_unresolved") in {(r[4], r[3]) for r in of(result, "unresolved", "orphan")}
 
 
 def test_untraced_column(result):
