@@ -10,17 +10,19 @@ to the seed's. The share of an item's tokens under tiles does not depend on thei
 reordered passages count in full.
 
 Edge cases: null and empty texts match nothing; items without a token match nothing; repeated items
-and rows are each judged; null ids are kept; an empty benchmark or table gives no pair; extra
+and rows are each judged, with an id or without; an empty benchmark or table gives no pair; extra
 columns are ignored; a pair of a document and an item is reported once per row of the document.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,7 +43,7 @@ def tokens(column) -> tuple[np.ndarray, np.ndarray]:
     """Token hashes of all rows, and where each row's tokens begin (one more than rows)."""
     data, offsets = T.texts(pc.utf8_lower(column))
     at, to = T.runs(_IS_TOKEN[data], offsets)
-    return T.span_hashes(T.prefix_hashes(T.BYTE_CODES[data]), at, to), T.per_row(at, offsets)
+    return T.keys(data, at, to), T.per_row(at, offsets)
 
 
 def run_hashes(sums: np.ndarray, length: int) -> np.ndarray:
@@ -94,6 +96,8 @@ def _matches(text, item, text_sums, item_sums, text_used, item_used, length: int
             if (a - 1, b - 1) in done:  # inside a longer run that began before
                 done.add((a, b))
                 continue
+            if not np.array_equal(text[a : a + length], item[b : b + length]):
+                continue  # equal hashes of different runs
             n = length
             while a + n < len(text) and b + n < len(item) and text[a + n] == item[b + n] and not text_used[a + n] and not item_used[b + n]:
                 n += 1
@@ -141,27 +145,36 @@ def item_blocks(items: DataFrame, most: int = BLOCK_TOKENS) -> list[DataFrame]:
     return [items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == k) for k in range(parts)]
 
 
+def _sent(items: DataFrame) -> Iterator[Broadcast]:
+    """The blocks of the benchmark, each sent to the tasks."""
+    items = items.select(F.col("item_id").cast("long"), F.col("text").cast("string"))
+    for part in item_blocks(items):
+        found = part.orderBy("item_id", "text").collect()  # one block: bounded by BLOCK_TOKENS
+        yield items.sparkSession.sparkContext.broadcast(Benchmark([r.item_id for r in found], *tokens(pa.array([r.text for r in found], pa.string()))))
+
+
+def _found(bench: Benchmark, column, coverage: float) -> list[tuple[int, int | None, int, int, int, float]]:
+    """Rows of a group with the items that they hold: row, item, its tokens, those covered, tiles, share."""
+    hashes, bounds = tokens(column)
+    rows = []
+    for r, k in bench.candidates(hashes, bounds):
+        item_id, item = bench.items[k]
+        tiles = tile(hashes[bounds[r] : bounds[r + 1]], item, min(SEED, len(item)))
+        covered = sum(t[2] for t in tiles)
+        if covered >= coverage * len(item):
+            rows.append((r, item_id, len(item), covered, len(tiles), covered / len(item)))
+    return rows
+
+
 def pairs(docs: DataFrame, items: DataFrame, coverage: float = COVERAGE) -> DataFrame:
     """Documents and benchmark items of whose tokens they hold a share of `coverage` or more."""
-    spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    items = items.select(F.col("item_id").cast("long"), F.col("text").cast("string"))
     out = None
-    for part in item_blocks(items):
-        found = part.orderBy("item_id", "text").collect()  # one block: bounded by BLOCK_TOKENS
-        block = spark.sparkContext.broadcast(Benchmark([r.item_id for r in found], *tokens(pa.array([r.text for r in found], pa.string()))))
+    for block in _sent(items):
 
         def work(group: pa.RecordBatch, block=block) -> pa.RecordBatch:
-            bench = block.value
-            hashes, bounds = tokens(group.column("text"))
             ids = group.column("doc_id").to_pylist()
-            rows = []
-            for r, k in bench.candidates(hashes, bounds):
-                item_id, item = bench.items[k]
-                tiles = tile(hashes[bounds[r] : bounds[r + 1]], item, min(SEED, len(item)))
-                covered = sum(t[2] for t in tiles)
-                if covered >= coverage * len(item):
-                    rows.append((ids[r], item_id, len(item), covered, len(tiles), covered / len(item)))
+            rows = [(ids[r], *rest) for r, *rest in _found(block.value, group.column("text"), coverage)]
             columns = list(zip(*rows, strict=True)) or [[]] * 6
             kinds = [pa.int64()] * 5 + [pa.float64()]
             return pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["doc_id", "item_id", "n_tokens", "covered", "n_tiles", "coverage"])
@@ -172,9 +185,20 @@ def pairs(docs: DataFrame, items: DataFrame, coverage: float = COVERAGE) -> Data
 
 
 def clean(docs: DataFrame, items: DataFrame, coverage: float = COVERAGE) -> DataFrame:
-    """Documents, with all their columns, that hold no benchmark item. A null id is kept."""
-    leaked = pairs(docs, items, coverage).select(F.col("doc_id").alias("leaked_id")).distinct()
-    return docs.join(leaked, F.col("doc_id") == F.col("leaked_id"), "left_anti")
+    """Documents, with all their columns, that hold no benchmark item, whatever their id: each row is
+    judged by its own text, where it is read."""
+    places = {c: c if c == "text" else f"c{i}" for i, c in enumerate(docs.columns)}
+    rows = docs.toDF(*places.values())
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+    for block in _sent(items):
+
+        def work(group: pa.RecordBatch, block=block) -> pa.RecordBatch:
+            kept = np.ones(group.num_rows, bool)
+            kept[[r for r, *_ in _found(block.value, group.column("text").cast(pa.string()), coverage)]] = False
+            return group.filter(pa.array(kept))
+
+        rows = B.over_groups(rows, work, schema)
+    return rows.select([F.col(p).alias(c) for c, p in places.items()])
 
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,14 +25,13 @@ LINE_FEATURES = ["bias", "log_words", "short", "symbols", "symbols_any", "bangs"
 
 
 def scan(data: np.ndarray, offsets: np.ndarray) -> SimpleNamespace:
-    """Words and lines of all rows with their hashes, repeats and owners."""
+    """Words and lines of all rows with their numbers, repeats and owners."""
     x = SimpleNamespace(data=data, offsets=offsets, n=len(offsets) - 1)
     x.word_at, x.word_to = T.words(data, offsets)
     x.words = T.per_row(x.word_at, offsets)
     x.word_row = T.rows_of(x.words)
-    sums = T.prefix_hashes(T.BYTE_CODES[data])
-    x.word_hash = T.span_hashes(sums, x.word_at, x.word_to)
-    x.repeated = repeated_words(x.word_hash, x.word_row)
+    x.word_number = T.numbered(data, x.word_at, x.word_to)
+    x.repeated = repeated_words(x.word_number, x.word_row)
     # lines: from a row's start or after a line feed to the next line feed or the row's end
     feeds = np.flatnonzero(data == 10)
     x.line_at = np.sort(np.concatenate([offsets[:-1], feeds + 1]), kind="stable")
@@ -43,20 +42,22 @@ def scan(data: np.ndarray, offsets: np.ndarray) -> SimpleNamespace:
     x.lines = T.per_row(x.line_at, offsets)
     x.line_row = T.rows_of(x.lines)
     x.line_words = T.per_row(x.word_at, np.append(x.line_at, len(data)))
-    key = T.mix(T.span_hashes(sums, x.line_at, x.line_to) + T.mix(x.line_row.astype(np.uint64)))
+    key = T.numbered(data, x.line_at, x.line_to) * x.n + x.line_row
     _, first, group, size = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
     x.copied_line = size[group] > 1
     x.later_line = np.arange(len(key)) != first[group]
     return x
 
 
-def repeated_words(word_hash: np.ndarray, word_row: np.ndarray) -> np.ndarray:
+def repeated_words(number: np.ndarray, word_row: np.ndarray) -> np.ndarray:
     """Words in a window of three words that its row holds twice or more, the first included."""
-    out = np.zeros(len(word_hash), bool)
-    if len(word_hash) > 2:
-        window = word_hash[:-2] * np.uint64(3) + T.mix(word_hash[1:-1]) * np.uint64(5) + T.mix(T.mix(word_hash[2:])) * np.uint64(7)
-        at = np.flatnonzero(word_row[2:] == word_row[:-2])
-        key = T.mix(window[at] + T.mix(word_row[at].astype(np.uint64) + np.uint64(1)))
+    out = np.zeros(len(number), bool)
+    at = np.flatnonzero(word_row[2:] == word_row[:-2]) if len(number) > 2 else np.zeros(0, np.int64)
+    if len(at):
+        kinds = int(number.max()) + 1
+        key = number[at] * kinds + number[at + 1]
+        for more, many in ((number[at + 2], kinds), (word_row[at], int(word_row[-1]) + 1)):
+            key = np.unique(key, return_inverse=True)[1] * many + more
         _, group, size = np.unique(key, return_inverse=True, return_counts=True)
         at = at[size[group] > 1]
         for k in range(3):
@@ -92,8 +93,8 @@ def line_features(x: SimpleNamespace) -> np.ndarray:
         return total[x.line_to] - total[x.line_at]
 
     words = np.diff(x.line_words)
-    echo = np.zeros(len(x.word_hash), bool)
-    echo[1:] = x.word_hash[1:] == x.word_hash[:-1]
+    echo = np.zeros(len(x.word_number), bool)
+    echo[1:] = x.word_number[1:] == x.word_number[:-1]
     upper, lower = count(IS_UPPER[x.data]), count(IS_LOWER[x.data])
     symbols = count(IS_SYMBOL[x.data])
     columns = [

@@ -16,7 +16,7 @@ on their sets. Classes are the connected components of the links together with e
 contraction.
 
 Edge cases: null, empty and blank texts have no shingle and form one class; documents without id are
-left out of the result; an id that comes several times is one document, its texts' classes joined;
+left out of the result (`first_of_class` judges them by their text); an id that comes several times is one document, its texts' classes joined;
 an empty table gives an empty result; extra columns are ignored.
 """
 
@@ -51,7 +51,7 @@ def shingles(column) -> tuple[np.ndarray, np.ndarray]:
     data, offsets = T.texts(pc.utf8_lower(column))
     at, to = T.words(data, offsets)
     bounds = T.per_row(at, offsets)
-    words = T.span_hashes(T.prefix_hashes(T.BYTE_CODES[data]), at, to)
+    words = T.keys(data, at, to)
     counts = np.diff(bounds)
     many = np.where(counts >= SHINGLE, counts - SHINGLE + 1, np.minimum(counts, 1))
     row = np.repeat(np.arange(len(counts)), many)
@@ -245,10 +245,17 @@ def classes(docs: DataFrame) -> DataFrame:
 
 
 def first_of_class(docs: DataFrame) -> DataFrame:
-    """Documents, with all their columns, without the later ones of each class. Of rows with one id
-    all stay or go; rows without id stay."""
-    later = classes(docs).where("doc_id != class_id").select(F.col("doc_id").alias("later_id"))
-    return docs.join(later, F.col("doc_id") == F.col("later_id"), "left_anti")
+    """Documents, with all their columns, without the later ones of each class. Of rows with one id all
+    stay or go. Rows without id take part under a key of their text, beyond the ids: of equal texts one
+    row stays, unless a document with an id is in their class."""
+    places = {c: c if c in ("doc_id", "text") else f"c{i}" for i, c in enumerate(docs.columns)}
+    # from 2**62 on, so that ids are the lesser members of a class
+    key = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62)))
+    rows = docs.toDF(*places.values()).withColumn("row_key", key)
+    later = classes(rows.select(F.col("row_key").alias("doc_id"), "text")).where("doc_id != class_id").select(F.col("doc_id").alias("row_key"))
+    kept = rows.join(later, "row_key", "left_anti")
+    nameless = kept.where("doc_id is null").dropDuplicates(["row_key"])
+    return kept.where("doc_id is not null").unionByName(nameless).select([F.col(p).alias(c) for c, p in places.items()])
 
 
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

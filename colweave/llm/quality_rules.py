@@ -125,7 +125,7 @@ class Crf:
 def fit(docs: DataFrame, labels: DataFrame, most: int = FIT_DOCUMENTS) -> Crf:
     """A CRF from at most `most` labelled documents of at most `FIT_LINES` lines."""
     chosen = B.sample(labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.max("quality").cast("int").alias("quality")), most)
-    known = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    known = B.chosen_texts(docs, chosen)
 
     def lines(group: pa.RecordBatch) -> pa.RecordBatch:
         x = L.scan(*T.texts(group.column("text")))

@@ -1,7 +1,7 @@
 """Subword ids of whole text columns from a public byte-level BPE file.
 
 Every distinct piece of text between two pre-token boundaries is encoded once by the tokenizers
-library and remembered by its hash; boundaries are found for a whole column at once. Ids equal
+library and remembered by its bytes; boundaries are found for a whole column at once. Ids equal
 those of `Tokenizer.encode(text, add_special_tokens=False)`. Texts with characters whose class is
 not plain here (other than ASCII, Latin letters with accents and a few signs), or with the text of
 a special token, go through the library whole.
@@ -27,8 +27,8 @@ _CLASS_C2[[0xA1, 0xA7, 0xA9, 0xAB, 0xB0, 0xB7, 0xBB, 0xBF]] = OTHER
 #: The sign by which the vocabulary writes each byte: printable Latin-1 as it is, others from U+0100 on.
 _SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 BYTE_SIGNS = {b: 0x100 + i for i, b in enumerate(sorted({*range(256)} - {*_SHOWN}))}
-#: Distinct pieces that a worker remembers before it starts afresh.
-MOST_PIECES = 1_500_000
+#: Distinct pieces, and their bytes, that a worker remembers before it starts afresh: about 30 MB.
+MOST_PIECES, MOST_PIECE_BYTES = 100_000, 8 << 20
 
 
 class Encoder:
@@ -43,8 +43,8 @@ class Encoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.index = T.HashIndex()
-        self.starts, self.lengths, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.known: dict[bytes, list[int]] = {}
+        self.held = 0
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows and where each row's ids begin (one more than rows)."""
@@ -70,25 +70,24 @@ class Encoder:
         return ids, np.concatenate([[0], np.cumsum(counts)])
 
     def _pieces(self, raw: bytes, data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
-        if self.index.size > MOST_PIECES:
+        found = T.cut_out(data, starts, ends).dictionary_encode()
+        pieces, number = found.dictionary.to_pylist(), found.indices.to_numpy(zero_copy_only=False)
+        if len(self.known) > MOST_PIECES or self.held > MOST_PIECE_BYTES:
             self._clear()
-        keys = T.span_hashes(T.prefix_hashes(T.BYTE_CODES[data]), starts, ends)
-        number = self.index.find(keys)
-        new = np.flatnonzero(number < 0)
-        if len(new):
-            distinct, first = np.unique(keys[new], return_index=True)
-            first = new[first]
-            pieces = zip(starts[first].tolist(), ends[first].tolist(), strict=True)
-            got = [[t.id for t in self.model.tokenize(raw[s:e].decode("latin-1").translate(BYTE_SIGNS))] for s, e in pieces]
-            lengths = np.fromiter(map(len, got), np.int64, len(got))
-            self.starts = np.append(self.starts, len(self.ids) + np.cumsum(lengths) - lengths)
-            self.lengths = np.append(self.lengths, lengths)
-            self.ids = np.append(self.ids, np.fromiter((i for x in got for i in x), np.int32, lengths.sum()))
-            self.index.add(distinct)
-            number[new] = self.index.find(keys[new])
-        lengths = self.lengths[number]
+        got = []
+        for piece in pieces:
+            ids = self.known.get(piece)
+            if ids is None:
+                ids = [t.id for t in self.model.tokenize(piece.decode("latin-1").translate(BYTE_SIGNS))]
+                self.known[piece] = ids
+                self.held += len(piece)
+            got.append(ids)
+        size = np.fromiter(map(len, got), np.int64, len(got))
+        flat = np.fromiter((i for x in got for i in x), np.int32, size.sum())
+        begin = np.cumsum(size) - size
+        lengths = size[number]
         before = np.cumsum(lengths) - lengths
-        return self.ids[np.repeat(self.starts[number] - before, lengths) + np.arange(lengths.sum())], lengths
+        return flat[np.repeat(begin[number] - before, lengths) + np.arange(lengths.sum())], lengths
 
     def _whole(self, raw: bytes, offsets: np.ndarray, odd: np.ndarray, ids: np.ndarray, counts: np.ndarray):
         rows = np.flatnonzero(odd)

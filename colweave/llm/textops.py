@@ -1,9 +1,11 @@
 """Words, spans and hashes of whole Arrow text columns with numpy, no loop per row.
 
-A column is taken as one byte array plus row offsets; null counts as empty text. Hashes are
-Karp-Rabin prefix sums over a seeded byte table, modulo 2**64 and mixed, so equal byte strings
-have equal hashes wherever they stand. Callers work on row groups of a few MB (`groups`), so
-memory follows the group, or the longest single text, and not the partition.
+A column is taken as one byte array plus row offsets; null counts as empty text. Words, lines and other
+spans that are to be told apart get numbers by their bytes (`numbered`) or keys by xxh3 (`keys`).
+Karp-Rabin prefix sums (`span_hashes`, modulo 2**64) serve for spans of bounded length and as a first
+look before bytes are compared: for long spans of two alternating contents this modulus has equal hashes
+for different spans. Callers work on row groups of a few MB (`groups`), so memory follows the group, or
+the longest single text, and not the partition.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 #: Bytes of text that one numpy step handles at a time.
 GROUP_BYTES = 1 << 20
@@ -55,7 +58,7 @@ def powers(n: int, base: int = BASE) -> np.ndarray:
         have = np.full(max(n, GROUP_BYTES + 1), base, np.uint64)
         have[0] = 1
         have = np.multiply.accumulate(have)
-        if n <= 4 * GROUP_BYTES:
+        if n <= GROUP_BYTES + 1:  # a worker keeps no more than that between groups
             _powers[base] = have
     return have[:n]
 
@@ -111,6 +114,15 @@ def numbered(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarr
     return cut_out(data, starts, ends).dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
 
 
+def keys(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit key for each span [start, end), from its bytes alone, the same in every group."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    found = cut_out(data, starts, ends).dictionary_encode()
+    distinct = np.array([xxhash.xxh3_64_intdigest(v) for v in found.dictionary.to_pylist()], np.uint64)
+    return distinct[found.indices.to_numpy(zero_copy_only=False)]
+
+
 def per_row(starts: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Where each row's spans begin among all spans; one more than rows."""
     return np.searchsorted(starts, offsets, "left")

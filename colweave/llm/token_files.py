@@ -1,6 +1,7 @@
 """Token-id output in directly addressable codes, with access to any token without block decoding.
 
-Files are Parquet; each row is one block of whole documents in ascending doc_id order: shard, place
+Files are Parquet; each row is one block of whole documents in ascending doc_id order, or another that
+is given (a mixed corpus keeps its mixed order): shard, place
 in the shard (`before`: tokens ahead of it there), ids and token counts of its documents, and the
 codes. Codes hold the ids of the block in levels of 8-bit chunks, the lowest first. Level k has the
 k-th chunk of every id that is long enough, a bitmap that says which of them go on in level k+1, and
@@ -9,7 +10,7 @@ following i through the levels: chunk, bit, rank.
 
     codes = "DAC1" u32 levels { u64 n | n chunk bytes | bitmap, 64-byte padded | u32 rank per 512 bits }*
 
-Documents are spread by ranges of doc_id, so no task or driver holds more than a share; the driver
+Documents are spread by ranges of that order, so no task or driver holds more than a share; the driver
 sees one token total per shard. Edge cases: null text is empty and gets the end id only; null ids
 come first; repeated ids stand side by side, ordered by text; an empty table writes no block; extra
 columns are ignored.
@@ -23,7 +24,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from colweave.llm import tables as B
@@ -34,6 +36,8 @@ from colweave.session import fresh_path
 MAGIC = b"DAC1"
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
+#: Tokens that one key of `tokens_at` stands for.
+PIECE = 1 << 16
 _RANK = 512
 BLOCK = "shard int, before long, doc_ids array<long>, counts array<long>, codes binary"
 RESULT = "doc_id long, start long, n_tokens long, ids_crc32 long"
@@ -110,11 +114,14 @@ class Codes:
         return ids
 
 
-def write(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, end_id: int = END_ID) -> None:
-    """Encodes doc_id and text of all documents into block files under `path`."""
-    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    docs = docs.withColumn("tie", F.xxhash64("text"))
-    spread = docs.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text")
+def write(docs: DataFrame, path: str, order: list[Column] | None = None, tokenizer: str = TOKENIZER, end_id: int = END_ID) -> None:
+    """Encodes doc_id and text of all documents into block files under `path`, in ascending order of the
+    columns `order`: by doc_id, and text for equal ids, if there are none."""
+    text = F.col("text").cast("string")
+    order = order or [F.col("doc_id").cast("long"), F.xxhash64(text), text]
+    by = [f"order_{i}" for i in range(len(order))]
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), *[o.alias(n) for o, n in zip(order, by, strict=True)])
+    spread = docs.repartitionByRange(*by).sortWithinPartitions(*by).select("doc_id", "text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, before = TaskContext.get().partitionId(), 0
@@ -162,9 +169,44 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     return blocks(spark, path).select("doc_ids", "counts", "codes", "start").mapInArrow(work, RESULT)
 
 
-def encode_and_read(docs: DataFrame) -> DataFrame:
+def tokens_at(spark: SparkSession, path: str, positions: DataFrame) -> DataFrame:
+    """The ids at `positions` (position: a number among all tokens of the files; others give no row).
+
+    Each position goes to the block that holds it, and is read there through the levels' chunks, bits
+    and ranks alone. Blocks are cut into pieces of PIECE tokens as keys of the join, so a block that many
+    ask for is asked piece by piece."""
+    held = blocks(spark, path).withColumn("n", F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x)).where("n > 0")
+    pieces = held.select("start", "n", "codes", F.explode(F.sequence(F.floor(F.col("start") / PIECE), F.floor((F.col("start") + F.col("n") - 1) / PIECE))).alias("piece"))
+    asked = positions.select(F.col("position").cast("long")).distinct().withColumn("piece", F.floor(F.col("position") / PIECE))
+    lists = asked.groupBy("piece").agg(F.collect_list("position").alias("positions"))  # PIECE at most
+    met = pieces.join(lists, "piece").select("start", "n", "codes", "positions")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                start, n = batch.column("start")[row].as_py(), batch.column("n")[row].as_py()
+                at = batch.column("positions")[row].values.to_numpy()
+                at = at[(at >= start) & (at < start + n)]
+                codes = Codes(batch.column("codes")[row].as_buffer().to_pybytes())
+                yield pa.record_batch({"position": pa.array(at, pa.int64()), "token_id": pa.array([codes[int(i)] for i in at - start], pa.int64())})
+
+    return met.mapInArrow(work, "position long, token_id long")
+
+
+def file_order(docs: DataFrame) -> list[Column]:
+    """The place of each row in the files that docs was read from, or in its partitions otherwise: the
+    order that a mixing stage has written."""
+    place = [F.col("_metadata.file_path"), F.col("_metadata.row_index")]
+    try:
+        docs.select(*place).schema  # noqa: B018  resolves the columns
+    except AnalysisException:
+        return [F.monotonically_increasing_id()]
+    return place
+
+
+def encode_and_read(docs: DataFrame, order: list[Column] | None = None) -> DataFrame:
     path = fresh_path(docs.sparkSession, "tokens")
-    write(docs, path)
+    write(docs, path, order)
     return read(docs.sparkSession, path)
 
 

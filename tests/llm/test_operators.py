@@ -138,7 +138,10 @@ def test_tiling_finds_moved_passages(spark, docs, texts, none):
     items = spark.createDataFrame([(7, texts[20]), (8, "..."), (9, None), (10, "two words")], "item_id long, text string")
     got = {(r.doc_id, r.item_id): (r.covered, r.n_tokens) for r in decontaminate.pairs(more, items).collect()}
     assert set(got) == {(20, 7), (900, 7), (None, 7)} and got[900, 7] == (len(item), len(item))
-    assert {r.doc_id for r in decontaminate.clean(more, items).select("doc_id").collect()} == {*range(len(texts)), 901, None} - {20}
+    clashing = more.withColumns({"leaked_id": F.lit(1), "c0": F.lit("x")})
+    kept = decontaminate.clean(clashing, items)
+    assert kept.columns == clashing.columns
+    assert {r.doc_id for r in kept.select("doc_id").collect()} == {*range(len(texts)), 901} - {20}
     assert decontaminate.pairs(none, items).count() == 0 and decontaminate.pairs(more, items.limit(0)).count() == 0
 
 
@@ -349,6 +352,46 @@ def test_encoder_equals_the_library(texts):
     assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == [encode.tokenizer.encode(t, add_special_tokens=False).ids for t in made]
 
 
+def thue_morse(n):
+    """A word of n letters and the same with the letters exchanged: a weak modulus takes them for equal."""
+    word = "a"
+    while len(word) < n:
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+@pytest.mark.parametrize("n", [1024, 2048, 4096])
+def test_spans_are_told_apart_by_their_bytes(spark, n):
+    one, two = thue_morse(n)
+    encode = Encoder(P.path("byte_bpe_50k.json"))
+    group = pa.array([f"{one} {two}", two, one])
+    ids, bounds = encode.encode(*textops.texts(group))
+    assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == [encode.tokenizer.encode(t, add_special_tokens=False).ids for t in group.to_pylist()]
+    rows = spark.createDataFrame([(1, f"{one}\n{two}\n{one}"), (2, f"{one} x y {two} x y")], "doc_id long, text string")
+    got = {r.doc_id: (r.n_dup_lines, r.n_repeat_words) for r in quality_rules.judge(rows, quality_rules.Crf.all_content()).collect()}
+    assert got == {1: (1, 0), 2: (0, 0)}
+    (key_1, key_2), _ = near_dups.shingles(pa.array([one, two]))
+    assert key_1 != key_2
+    assert decontaminate.tokens(pa.array([one]))[0] != decontaminate.tokens(pa.array([two]))[0]
+    letters = {"a": 5, "b": 9}
+    runs = [np.array([letters[c] for c in w], np.uint64) for w in (one, two)]
+    assert all(t[2] < n for t in decontaminate.tile(runs[0], runs[1], n // 2))
+
+
+def test_any_token_is_read_from_the_files(spark, docs, texts, monkeypatch):
+    monkeypatch.setattr(token_files, "PIECE", 64)
+    path = token_files.fresh_path(spark, "test-tokens")
+    token_files.write(docs, path)
+    encode = Encoder(P.path("byte_bpe_50k.json")).tokenizer.encode
+    ids = [i for t in texts for i in [*encode(t or "", add_special_tokens=False).ids, 2]]
+    asked = [0, 1, 1, 63, 64, 65, len(ids) // 2, len(ids) - 1, len(ids), -1, *range(200, 400)]
+    positions = spark.createDataFrame([(p, "x") for p in asked], "position long, token_id string")
+    got = {r.position: r.token_id for r in token_files.tokens_at(spark, path, positions).collect()}
+    assert got == {p: ids[p] for p in asked if 0 <= p < len(ids)}
+    every = spark.range(len(ids)).withColumnRenamed("id", "position")
+    assert [r.token_id for r in token_files.tokens_at(spark, path, every).orderBy("position").collect()] == ids
+
+
 def test_codes_give_every_id_without_decoding():
     rng = np.random.default_rng(1)
     ids = rng.integers(0, 1 << 31, 3000) >> rng.integers(0, 31, 3000)
