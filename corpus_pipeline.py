@@ -1,7 +1,7 @@
 """The corpus pipeline: documents in, a mixed, clean and encoded token file out.
 
 Each stage takes the documents that the one before it kept, and all but the last return the columns
-of documents. Rows without a doc_id pass the filters; an empty table passes through as it is.
+of documents. Rows without a doc_id are judged by their texts; an empty table passes through as it is.
 """
 
 from __future__ import annotations
@@ -13,8 +13,9 @@ from colweave.session import cut_lineage
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts without a letter and texts whose language stays unclear."""
-    return language_id.accept(docs, language_id.fit(docs))
+    """Drops texts without a letter and texts whose language stays unclear to a network that learned from
+    other documents."""
+    return language_id.accept_across(docs)
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,8 +34,8 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def token_file(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Writes the subword ids and returns per document what the files hold."""
-    return token_files.encode_and_read(docs)
+    """Writes the subword ids in the mixed order and returns per document what the files hold."""
+    return token_files.encode_and_read(docs, token_files.file_order(docs))
 
 
 STAGES = [
@@ -44,7 +45,7 @@ STAGES = [
     ("mixing", mixed_sources),
     ("token output", token_file),
 ]
-#: No stage but the mixing can be said in SQL; the tests hold run() against a plain version.
+#: No stage but the mixing can be said in SQL; tests/llm/test_pipeline.py holds run() against a plain version.
 ORACLE_SQL = None
 
 
