@@ -27,8 +27,9 @@ _CLASS_C2[[0xA1, 0xA7, 0xA9, 0xAB, 0xB0, 0xB7, 0xBB, 0xBF]] = OTHER
 #: The sign by which the vocabulary writes each byte: printable Latin-1 as it is, others from U+0100 on.
 _SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 BYTE_SIGNS = {b: 0x100 + i for i, b in enumerate(sorted({*range(256)} - {*_SHOWN}))}
-#: Distinct pieces, and their bytes, that a worker remembers before it starts afresh: about 30 MB.
-MOST_PIECES, MOST_PIECE_BYTES = 100_000, 8 << 20
+#: Distinct pieces, and their bytes, that a worker remembers before the ones not met since are dropped.
+#: Twice as many are held at most, which is about 70 MB.
+MOST_PIECES, MOST_PIECE_BYTES = 150_000, 16 << 20
 
 
 class Encoder:
@@ -40,12 +41,25 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.specials = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self._clear()
+        self.forget()
 
-    def _clear(self) -> None:
-        self.known: dict[bytes, list[int]] = {}
+    def forget(self) -> None:
+        """Drops the remembered pieces."""
+        self.known: dict[bytes, bytes] = {}  # ids as 32-bit numbers
+        self.before: dict[bytes, bytes] = {}
         self.held = 0
 
+    def _ids(self, piece: bytes) -> bytes:
+        """The ids of a piece that `known` does not have."""
+        ids = self.before.get(piece)
+        if ids is None:
+            ids = np.array([t.id for t in self.model.tokenize(piece.decode("latin-1").translate(BYTE_SIGNS))], np.int32).tobytes()
+        if len(self.known) >= MOST_PIECES or self.held > MOST_PIECE_BYTES:
+            self.known, self.before, self.held = {}, self.known, 0
+        self.known[piece] = ids
+        self.held += len(piece) + len(ids)
+        return ids
+
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows and where each row's ids begin (one more than rows)."""
         data = np.ascontiguousarray(data)
@@ -72,18 +86,12 @@ class Encoder:
     def _pieces(self, raw: bytes, data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
         found = T.cut_out(data, starts, ends).dictionary_encode()
         pieces, number = found.dictionary.to_pylist(), found.indices.to_numpy(zero_copy_only=False)
-        if len(self.known) > MOST_PIECES or self.held > MOST_PIECE_BYTES:
-            self._clear()
         got = []
         for piece in pieces:
             ids = self.known.get(piece)
-            if ids is None:
-                ids = [t.id for t in self.model.tokenize(piece.decode("latin-1").translate(BYTE_SIGNS))]
-                self.known[piece] = ids
-                self.held += len(piece)
-            got.append(ids)
-        size = np.fromiter(map(len, got), np.int64, len(got))
-        flat = np.fromiter((i for x in got for i in x), np.int32, size.sum())
+            got.append(self._ids(piece) if ids is None else ids)
+        size = np.fromiter(map(len, got), np.int64, len(got)) // 4
+        flat = np.frombuffer(b"".join(got), np.int32)
         begin = np.cumsum(size) - size
         lengths = size[number]
         before = np.cumsum(lengths) - lengths

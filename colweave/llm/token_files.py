@@ -125,18 +125,21 @@ def write(docs: DataFrame, path: str, order: list[Column] | None = None, tokeniz
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, before = TaskContext.get().partitionId(), 0
-        encode = encoder(tokenizer).encode
-        for batch in batches:
-            for group in T.groups(batch):
-                ids, bounds = encode(*T.texts(group.column("text")))
-                ids = np.insert(ids, bounds[1:], end_id)
-                counts = np.diff(bounds) + 1
-                yield pa.record_batch({
-                    "shard": pa.array([shard], pa.int32()), "before": pa.array([before], pa.int64()),
-                    "doc_ids": pa.array([group.column("doc_id")], pa.list_(pa.int64())), "counts": pa.array([counts], pa.list_(pa.int64())),
-                    "codes": pa.array([pack(ids)], pa.binary()),
-                })
-                before += int(counts.sum())
+        encode = encoder(tokenizer)
+        try:
+            for batch in batches:
+                for group in T.groups(batch):
+                    ids, bounds = encode.encode(*T.texts(group.column("text")))
+                    ids = np.insert(ids, bounds[1:], end_id)
+                    counts = np.diff(bounds) + 1
+                    yield pa.record_batch({
+                        "shard": pa.array([shard], pa.int32()), "before": pa.array([before], pa.int64()),
+                        "doc_ids": pa.array([group.column("doc_id")], pa.list_(pa.int64())), "counts": pa.array([counts], pa.list_(pa.int64())),
+                        "codes": pa.array([pack(ids)], pa.binary()),
+                    })
+                    before += int(counts.sum())
+        finally:
+            encode.forget()  # the worker goes on to other stages
 
     spread.mapInArrow(work, BLOCK).write.parquet(path)
 
