@@ -116,12 +116,13 @@ class Codes:
 
 def write(docs: DataFrame, path: str, order: list[Column] | None = None, tokenizer: str = TOKENIZER, end_id: int = END_ID) -> None:
     """Encodes doc_id and text of all documents into block files under `path`, in ascending order of the
-    columns `order`: by doc_id, and text for equal ids, if there are none."""
+    columns `order`: by doc_id, and a hash of the text for equal ids, if there are none. Equal rows of that
+    order go by their text, within a task; the driver sees a sample of the order alone."""
     text = F.col("text").cast("string")
-    order = order or [F.col("doc_id").cast("long"), F.xxhash64(text), text]
+    order = order or [F.col("doc_id").cast("long"), F.xxhash64(text)]
     by = [f"order_{i}" for i in range(len(order))]
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), *[o.alias(n) for o, n in zip(order, by, strict=True)])
-    spread = docs.repartitionByRange(*by).sortWithinPartitions(*by).select("doc_id", "text")
+    spread = docs.repartitionByRange(*by).sortWithinPartitions(*by, "text").select("doc_id", "text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, before = TaskContext.get().partitionId(), 0
