@@ -9,8 +9,6 @@ a special token, go through the library whole.
 
 from __future__ import annotations
 
-from array import array
-
 import numpy as np
 
 from colweave.llm import textops as T
@@ -30,8 +28,8 @@ _CLASS_C2[[0xA1, 0xA7, 0xA9, 0xAB, 0xB0, 0xB7, 0xBB, 0xBF]] = OTHER
 _SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 BYTE_SIGNS = {b: 0x100 + i for i, b in enumerate(sorted({*range(256)} - {*_SHOWN}))}
 #: Distinct pieces, and their bytes, that a worker remembers before the ones not met since are dropped.
-#: Twice as many are held at most, which is about 90 MB.
-MOST_PIECES, MOST_PIECE_BYTES = 200_000, 16 << 20
+#: Twice as many are held at most, which is about 110 MB.
+MOST_PIECES, MOST_PIECE_BYTES = 250_000, 16 << 20
 
 
 class Encoder:
@@ -51,11 +49,11 @@ class Encoder:
         self.before: dict[bytes, bytes] = {}
         self.held = 0
 
-    def _ids(self, piece: bytes, shown: str) -> bytes:
-        """The ids of a piece that `known` does not have; `shown` is how the vocabulary writes it."""
+    def _ids(self, piece: bytes) -> bytes:
+        """The ids of a piece that `known` does not have."""
         ids = self.before.get(piece)
         if ids is None:
-            ids = array("i", [t.id for t in self.model.tokenize(shown)]).tobytes()
+            ids = np.array([t.id for t in self.model.tokenize(piece.decode("latin-1").translate(BYTE_SIGNS))], np.int32).tobytes()
         if len(self.known) >= MOST_PIECES or self.held > MOST_PIECE_BYTES:
             self.known, self.before, self.held = {}, self.known, 0
         self.known[piece] = ids
@@ -88,13 +86,10 @@ class Encoder:
     def _pieces(self, raw: bytes, data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
         found = T.cut_out(data, starts, ends).dictionary_encode()
         pieces, number = found.dictionary.to_pylist(), found.indices.to_numpy(zero_copy_only=False)
-        got = list(map(self.known.get, pieces))
-        missing = [k for k, ids in enumerate(got) if ids is None]
-        if missing:
-            shown = raw.decode("latin-1").translate(BYTE_SIGNS)  # one sign a byte
-            first = np.flatnonzero(np.diff(np.maximum.accumulate(number), prepend=-1))  # numbers go by first place
-            for k, a, b in zip(missing, starts[first[missing]].tolist(), ends[first[missing]].tolist(), strict=True):
-                got[k] = self._ids(pieces[k], shown[a:b])
+        got = []
+        for piece in pieces:
+            ids = self.known.get(piece)
+            got.append(self._ids(piece) if ids is None else ids)
         size = np.fromiter(map(len, got), np.int64, len(got)) // 4
         flat = np.frombuffer(b"".join(got), np.int32)
         begin = np.cumsum(size) - size
