@@ -761,6 +761,9 @@ oracle("validate_lineage", " UNION ALL ".join([
 # --- streams --------------------------------------------------------------------------------
 
 oracle("stream_new_sql", "SELECT DISTINCT sha256('SELECT ' || event_type || ' FROM ' || CAST(user_id AS STRING) || '|d|m|p|v') AS cache_key FROM {events}")
+oracle("stream_unseen_sql", """
+SELECT DISTINCT sha256('SELECT ' || event_type || ' FROM ' || CAST(user_id AS STRING) || '|d|m|p|v') AS cache_key, event_type, user_id
+FROM {events} WHERE user_id % 3 <> 0""")
 oracle("stream_run_coverage", """
 SELECT day, parsed, partial, unsupported, failed, skipped, parsed + partial + unsupported + failed AS eligible_count,
   round(coalesce((parsed + partial) / nullif(parsed + partial + unsupported + failed, 0), 1.0), 9) AS node_coverage

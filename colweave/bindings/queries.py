@@ -940,6 +940,21 @@ def stream_new_sql(i):
     return _run_stream(i, runs.stream_new_sql(keyed, "366 days")).select("cache_key")
 
 
+@query
+def stream_unseen_sql(i):
+    """The events as four files, a batch each, against a cache that knows a third of the users."""
+    sql = F.concat_ws(" ", F.lit("SELECT"), F.col("event_type"), F.lit("FROM"), F.col("user_id").cast("string"))
+    lit = F.lit
+    spread = i.table("events").repartition(4, "ts")  # a key comes in several batches
+    keyed = spread.select("event_type", "user_id", sqltext.cache_key(sql, lit("d"), lit("m"), lit("p"), lit("v")).alias("cache_key"))
+    path = fresh_path(i.spark, "unseen")
+    keyed.write.parquet(f"{path}/events")
+    cache.write_response_cache(keyed.where("user_id % 3 = 0").select("cache_key", lit("{}").alias("payload")), f"{path}/cache")
+    stream = i.spark.readStream.schema(keyed.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/events")
+    runs.stream_unseen_sql(stream, f"{path}/data", f"{path}/state", f"{path}/cache").awaitTermination()
+    return runs.read_unseen(i.spark, f"{path}/data").select("cache_key", "event_type", "user_id")
+
+
 @query
 def stream_run_coverage(i):
     kind = F.col("event_type")

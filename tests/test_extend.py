@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from colweave.operators import cache, compare, evidence, mapper, paths, state
 from colweave.sources import responses as R
+from colweave.streaming import runs
 
 LINES = (
     "project string, run_id string, node_id string, rel_ord long, rel_type string, target_parent_id string, target_col string,"
@@ -192,3 +193,62 @@ def test_cache_holds_one_row_per_key(spark, tmp_path):
 def test_latest_answer_counts(spark):
     rows = spark.createDataFrame([("k", "old", 1), ("k", "new", 5), ("k", "mid", 3), ("j", None, 2)], "cache_key string, payload string, written long")
     assert sorted((r.cache_key, r.payload) for r in cache.one_per_key(rows).collect()) == [("j", None), ("k", "new")]
+
+
+REQUEST = "cache_key string, sql string"
+
+
+def unseen(spark, path):
+    return sorted((r.cache_key, r.sql) for r in runs.read_unseen(spark, path).collect())
+
+
+def test_a_key_passes_a_stream_once_for_good(spark, tmp_path, monkeypatch):
+    source, path, answers = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cache")
+    frame = lambda rows: spark.createDataFrame(rows, REQUEST)
+    more = lambda *rows: frame(list(rows)).coalesce(1).write.mode("append").parquet(source)
+
+    def work(state="state"):
+        stream = spark.readStream.schema(REQUEST).option("maxFilesPerTrigger", 1).parquet(source)
+        runs.stream_unseen_sql(stream, path, str(tmp_path / state), answers).awaitTermination()
+
+    cache.write_response_cache(spark.createDataFrame([("k1", "{}"), ("k2", "{broken")], "cache_key string, payload string"), answers)
+    more(("k1", "a"), ("k2", "b"), ("k2", "b"), ("k3", "c"), (None, "n"))
+    work()
+    assert unseen(spark, path) == [("k2", "b"), ("k3", "c")]
+
+    # the writer is lost after it has written and before the batch counts as done
+    plain = runs.put_unseen
+
+    def lost(*args):
+        plain(*args)
+        raise RuntimeError("lost")
+
+    more(("k3", "c"), ("k4", "d"))
+    monkeypatch.setattr(runs, "put_unseen", lost)
+    with pytest.raises(Exception, match="lost"):
+        work()
+    monkeypatch.setattr(runs, "put_unseen", plain)
+    half = unseen(spark, path)
+    work()
+    assert unseen(spark, path) == half == [("k2", "b"), ("k3", "c"), ("k4", "d")]
+
+    more(("k4", "d"), ("k1", "a"))
+    work()
+    assert unseen(spark, path) == half  # nothing new
+    more(("k5", "e"))
+    work("other")  # begins again from the first file under another name
+    assert unseen(spark, path) == half + [("k5", "e")]
+
+
+def test_a_batch_worked_again_replaces_its_own_rows(spark, tmp_path):
+    path = str(tmp_path / "out")
+    assert runs.read_unseen(spark, path) is None
+    frame = lambda rows: spark.createDataFrame(rows, REQUEST + ", batch string")
+    runs.put_unseen(frame([("a", "x", "?"), ("a", "y", "?")]), 0, path, "s")
+    first = unseen(spark, path)
+    runs.put_unseen(frame([("a", "y", "?"), ("a", "x", "?")]), 0, path, "s")
+    assert unseen(spark, path) == first and len(first) == 1
+    runs.put_unseen(frame([("a", "x", "?"), ("b", "z", "?")]), 1, path, "s")
+    runs.put_unseen(frame([]), 2, path, "s")
+    assert unseen(spark, path) == first + [("b", "z")]
+    assert {(r.stream, r.batch) for r in runs.read_unseen(spark, path).collect()} == {("s", 0), ("s", 1)}

@@ -44,7 +44,7 @@ def verdicts(spark, con):
 
 def test_every_query_has_its_sql():
     assert set(QUERIES) == set(ORACLES) and set(ORACLES) <= set(oracle_sql())
-    assert len(QUERIES) == 94 and set(QUERIES) <= set(queries())
+    assert len(QUERIES) == 95 and set(QUERIES) <= set(queries())
 
 
 def test_entry(spark):
