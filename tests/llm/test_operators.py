@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import math
 import re
 import zlib
@@ -108,6 +109,44 @@ def test_url_parts_rules_and_mined_rules(spark):
     assert url_filter.judge(pages.limit(0), url_filter.mine(pages.limit(0), labels)).count() == 0
 
 
+def blocked_by_any_subset(pages, bad):
+    """Pages some subset of whose tokens is on enough labelled pages, enough of them bad."""
+    out = set()
+    for page, mine in pages.items():
+        for k in range(1, len(mine) + 1):
+            for some in itertools.combinations(sorted(mine), k):
+                on = [p for p in bad if set(some) <= pages[p]]
+                n = sum(bad[p] for p in on)
+                if n >= url_filter.MIN_PAGES and n / len(on) >= url_filter.MIN_CONFIDENCE:
+                    out.add(page)
+    return out
+
+
+def test_mined_rules_block_what_the_rules_of_all_subsets_do(spark):
+    rng = np.random.default_rng(5)
+    words = np.array(["aa", "bb", "cc", "dd", "ee"])
+    urls = {i: "http://h.io/" + "/".join(w for w, on in zip(words, rng.random(5) < 0.5, strict=True) if on for w in ([w, w + "x"] if w in "aa bb" else [w])) for i in range(160)}
+    urls |= {200: "http://h.io/aax/bb", 201: "http://other.io/aax/bbx/q", 202: "http://h.io/cc", 203: "http://z.net/a"}
+    bad = {i: int(("/aa" in urls[i]) and ("/bb" in urls[i]) and rng.random() < 0.9 or rng.random() < 0.2) for i in range(120)}
+    pages = spark.createDataFrame(list(urls.items()), "page_id long, url string")
+    labels = spark.createDataFrame([(i, 1 - b, 0) for i, b in bad.items()], "doc_id long, quality int, toxic int")
+    sets = {r.page_id: set(r.t) for r in pages.select("page_id", url_filter.tokens(F.col("url")).alias("t")).collect()}
+    mined = url_filter.mine(pages, labels)
+    found = {r.page_id for r in url_filter.judge(pages, mined).collect() if r.verdict == "block"}
+    assert found == blocked_by_any_subset(sets, bad) and {200, 201} <= found and not {202, 203} & found
+    names = {r.token: r.name for r in mined.names.collect()}
+    assert names["path:aax"] == names["path:aa"] and names["path:cc"] != names["path:dd"]
+
+
+def test_a_long_url_in_several_copies_is_one_item(spark):
+    far = "http://spam.io/" + "/".join("w" + chr(97 + i % 26) + chr(97 + i // 26) for i in range(60))
+    pages = spark.createDataFrame([(i, far) for i in range(12)] + [(20 + i, f"http://n{i}.io/ok") for i in range(12)], "page_id long, url string")
+    labels = spark.createDataFrame([(i, 0, 0) for i in range(10)] + [(20 + i, 1, 0) for i in range(10)], "doc_id long, quality int, toxic int")
+    mined = url_filter.mine(pages, labels)
+    assert 0 < mined.rules.count() < 10
+    assert {r.page_id for r in url_filter.judge(pages, mined).collect() if r.verdict == "block"} == set(range(12))
+
+
 def test_mixing_follows_poisson_and_weights(spark, docs, none):
     big = spark.range(6000).select(F.col("id").alias("doc_id"), F.lit("ten chars!").alias("text"), F.when(F.col("id") < 4500, "a").when(F.col("id") < 5900, "b").alias("source"))
     n = collections.Counter(r.source for r in mixing.mix(big, {"a": 1, "b": 2, None: 1}).select("source").collect())
