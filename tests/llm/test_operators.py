@@ -7,6 +7,7 @@ import math
 import re
 import zlib
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -157,6 +158,25 @@ def test_mixing_follows_poisson_and_weights(spark, docs, none):
     assert set(docs.columns) < set(mixing.mix(docs).columns) and mixing.mix(none).count() == 0
 
 
+def test_a_tiny_source_is_drawn_in_parts_as_the_sql_says(spark):
+    rows = [(i, "z" * 4000, "big") for i in range(100)] + [(500, "z" * 10, "tiny"), (501, "z" * 30, "tiny"), (501, "z" * 30, "tiny"), (None, "z", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    rate = {r.mix_source: r.mix_rate for r in mixing.rates(docs).collect()}
+    table = {r.mix_source: r for r in mixing.distributions(mixing.rates(docs)).collect()}
+    assert rate["tiny"] > 1900 and rate[None] > 130000 and table["big"].mix_parts == 1
+    assert all(len(r.mix_cdf) < mixing.MEAN + 10 * math.sqrt(mixing.MEAN) + 23 and r.mix_cdf[-1] > 1 - 1e-9 for r in table.values())
+    mixed = mixing.mix(docs)
+    n = collections.Counter(r.source for r in mixed.select("source").collect())
+    assert abs(n["tiny"] - 3 * rate["tiny"]) < 9 * math.sqrt(3 * rate["tiny"])  # the repeated row draws the same twice
+    assert abs(n[None] - rate[None]) < 5 * math.sqrt(rate[None]) and abs(n["big"] - 100 * rate["big"]) < 5 * math.sqrt(100 * rate["big"])
+    con = duckdb.connect()
+    con.register("documents", pa.Table.from_pylist([dict(zip(("doc_id", "text", "source"), r, strict=True)) for r in rows], pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("source", pa.string())])))
+    key = lambda r: (r[2], r[3])
+    theirs = con.sql(f"SELECT doc_id, source, mix_copy, mix_order FROM ({mixing.MIX_SQL})").fetchall()
+    ours = [tuple(r) for r in mixed.select("doc_id", "source", "mix_copy", "mix_order").collect()]
+    assert sorted(ours, key=key) == sorted(theirs, key=key)
+
+
 def test_mixing_keeps_columns_named_like_its_own(docs):
     own = ("mix_source", "mix_cdf", "mix_copies", "mix_copy", "mix_order")
     named = docs.select("*", *[F.concat(F.lit(c), F.col("doc_id").cast("string")).alias(c) for c in own])
