@@ -28,6 +28,8 @@ from colweave.session import cut_lineage
 #: Rows and bytes of keys that a block holds, about.
 BLOCK, BLOCK_BYTES = 512, 4 << 20
 BINS, PARTS = 1 << 18, 256
+#: Blocks of one key that are looked at together, about; a key with more is split.
+LIST = 256
 #: Keys that one matrix product counts.
 CHUNK = 4096
 
@@ -88,22 +90,52 @@ def blocks(rows: DataFrame) -> DataFrame:
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct pairs of blocks (a <= b) that have a key in common and classes that differ."""
+    """Pairs of blocks (a <= b) of each list whose classes differ, the one from `left` and the other from `right`."""
     held = np.zeros((0, 2), np.int64)
     new: list[np.ndarray] = []
     count = 0
+
+    def record(pairs: np.ndarray) -> pa.RecordBatch:
+        return pa.record_batch({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+
     for batch in batches:
-        for block, lo, hi in zip(*(batch.column(c).to_pylist() for c in ("blocks", "lo", "hi")), strict=True):
-            block, lo, hi = (np.array(x, np.int64) for x in (block, lo, hi))
-            a, b = np.triu_indices(len(block))
+        lists = batch.column("members")
+        ends = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        own, block, lo, hi = (lists.flatten().field(c).to_numpy() for c in ("own", "block", "lo", "hi"))
+        sides = zip(batch.column("left").to_pylist(), batch.column("right").to_pylist(), strict=True)
+        for at, end, (left, right) in zip(ends[:-1], ends[1:], sides, strict=True):
+            if left == right:
+                a, b = np.triu_indices(end - at)
+            else:
+                x, y = np.flatnonzero(own[at:end] == left), np.flatnonzero(own[at:end] == right)
+                a, b = np.repeat(x, len(y)), np.tile(y, len(x))
+            a, b = a + at, b + at
             apart = np.where(a == b, lo[a] != hi[a], (lo[a] != hi[a]) | (lo[b] != hi[b]) | (lo[a] != lo[b]))
             a, b = block[a[apart]], block[b[apart]]
             new.append(np.stack([np.minimum(a, b), np.maximum(a, b)], 1))
             count += len(a)
             if count > 1 << 20:
                 held, new, count = np.unique(np.concatenate([held, *new]), axis=0), [], 0
-    held = np.unique(np.concatenate([held, *new]), axis=0)
-    yield pa.record_batch({"a": pa.array(held[:, 0]), "b": pa.array(held[:, 1])})
+                if len(held) > 1 << 20:
+                    yield record(held)
+                    held = held[:0]
+    yield record(np.unique(np.concatenate([held, *new]), axis=0))
+
+
+def meetings(entries: DataFrame) -> DataFrame:
+    """Distinct pairs of blocks (a <= b) that have a key in common and classes that differ, of entries
+    (key, block, lo, hi) with the least and greatest class that has the key in the block.
+
+    The blocks of a key are split by hash into parts of about `LIST`, and every two parts meet in a
+    list of their own, so no list grows with the number of blocks that share a key.
+    """
+    sizes = entries.groupBy("key").agg(F.count("*").alias("n"), F.min("lo").alias("first"), F.max("hi").alias("last")).where("first != last")
+    parted = entries.join(sizes.select("key", F.ceil(F.col("n") / LIST).cast("int").alias("parts")), "key")
+    own = F.pmod(F.xxhash64("block"), F.col("parts")).cast("int")
+    sent = parted.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    sent = sent.select("key", F.least("own", "other").alias("left"), F.greatest("own", "other").alias("right"), F.struct("own", "block", "lo", "hi").alias("member"))
+    lists = sent.repartition("key", "left", "right").groupBy("key", "left", "right").agg(F.collect_list("member").alias("members"))
+    return lists.select("left", "right", "members").mapInArrow(_meet, "a long, b long").distinct()
 
 
 def common_keys(keys: np.ndarray, bounds: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -169,7 +201,5 @@ def between_classes(rows: DataFrame, least: float) -> DataFrame:
 
     posted = rows.select("block", "class_id", "keys").mapInArrow(post, "key long, block long, class_id long")
     entries = posted.groupBy("key", "block").agg(F.min("class_id").alias("lo"), F.max("class_id").alias("hi"))
-    lists = entries.groupBy("key").agg(F.collect_list("block").alias("blocks"), F.collect_list("lo").alias("lo"), F.collect_list("hi").alias("hi"), F.min("lo").alias("first"), F.max("hi").alias("last"))
-    pairs = lists.where("first != last").select("blocks", "lo", "hi").mapInArrow(_meet, "a long, b long").distinct()
-    jobs = cut_lineage(pairs).select(F.xxhash64("a", "b").alias("job"), F.explode(F.array_distinct(F.array("a", "b"))).alias("block"))
+    jobs = cut_lineage(meetings(entries)).select(F.xxhash64("a", "b").alias("job"), F.explode(F.array_distinct(F.array("a", "b"))).alias("block"))
     return rows.join(jobs, "block").groupBy("job").applyInArrow(join, "a long, b long").distinct()

@@ -365,6 +365,25 @@ def test_common_keys_and_prefixes_equal_brute_force():
     assert all(heads[i] & heads[j] for i in range(40) for j in range(i) if near_dups.similarity(sets[i], sets[j]) >= 0.8)
 
 
+def test_blocks_meet_by_every_key_whatever_its_share(spark):
+    rng = np.random.default_rng(8)
+    rows = {}  # key 0 is in nearly every block, key 1 in few, key 2 in one class alone; block 900 has one class only
+    for block in range(900):
+        for key in range(6):
+            if rng.random() < (0.95, 0.3, 0.1, 0.02, 0.5, 0.01)[key]:
+                lo, more = (5, 0) if key == 2 else (int(rng.integers(3)), int(rng.integers(2)))
+                rows[key, block] = (lo, lo + more)
+    rows |= {(7, 900): (1, 1), (8, 900): (1, 2)}
+    want = set()
+    for key in range(9):
+        on = sorted((b, *c) for (k, b), c in rows.items() if k == key)
+        want |= {(a[0], b[0]) for i, a in enumerate(on) for b in on[i:] if len({*a[1:], *b[1:]}) > 1}
+    entries = spark.createDataFrame([(k, b, *c) for (k, b), c in rows.items()], "key long, block long, lo long, hi long")
+    found = [tuple(r) for r in set_join.meetings(entries).collect()]
+    assert len(found) == len(set(found)) and set(found) == want
+    assert set_join.meetings(entries.limit(0)).count() == 0
+
+
 def test_repeated_passages_do_not_part_near_duplicates(spark):
     rng = np.random.default_rng(11)
     rows = []
