@@ -10,8 +10,9 @@ segment. Only what can repeat is sorted:
    size. Suffixes are ordered by their first COVER and last COVER bytes; ties, equal in both, are
    resolved by ranks of the middle, computed beforehand for the positions in a difference cover
    modulo COVER only: of any two suffixes some offset below COVER has both in the cover, so they are
-   equal if and only if they agree in rank at such an offset. The first in (doc_id, place) of equal
-   suffixes stays, the others are repeats.
+   equal if and only if they agree in rank at such an offset. All of these are orders of the bytes
+   themselves, read as big-endian words. The first in (doc_id, place) of equal suffixes stays, the
+   others are repeats.
 3. A bucket of more than HOT contents (a passage in very many documents, cut by different
    surroundings) is not sorted in one task: its suffixes are spread by the hash of their LENGTH bytes,
    where equal ones meet again.
@@ -20,9 +21,9 @@ Equal contents within a task's group of texts are settled before any shuffle, so
 the table sends a row per few MB of text. Bytes under a repeat are removed from each document.
 
 Edge cases: a null text is empty; texts shorter than LENGTH keep every byte; matches never cross
-documents; rows that share an id, or have none, have no defined order: they are returned unchanged
-and are no earlier occurrence for others; an empty table gives an empty result; extra columns are
-ignored.
+documents; rows that share an id are separate documents, ordered by the SHA-256 of their texts, so of
+repeated rows one stays whole; rows without id come after all others, ordered in the same way; an
+empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -182,14 +183,36 @@ def _settled(kind: str, bucket, doc, place, size) -> pa.RecordBatch:
     return pa.record_batch({"kind": pa.array([kind] * len(doc), pa.string()), "bucket": pa.array(bucket), "doc_id": pa.array(doc), "place": pa.array(place), "size": pa.array(size)})
 
 
+def byte_words(text: np.ndarray, begin: np.ndarray, n: int) -> list[np.ndarray]:
+    """The n bytes from each place as numbers that order like the bytes, eight bytes each."""
+    windows = np.lib.stride_tricks.sliding_window_view(np.append(text, np.zeros(8, np.uint8)), 8)
+    out = []
+    for at in range(0, n, 8):
+        word = windows[begin + at].view(">u8")[:, 0].astype(np.uint64)
+        out.append(word >> np.uint64(8 * max(at + 8 - n, 0)))
+    return out
+
+
+def ranks(*keys: np.ndarray) -> np.ndarray:
+    """Places in the order by the keys, from 0; equal ones share a place."""
+    order = np.lexsort(keys[::-1])
+    new = np.zeros(len(order), bool)
+    for key in keys:
+        key = key[order]
+        new[1:] |= key[1:] != key[:-1]
+    out = np.empty(len(order), np.int64)
+    out[order] = np.cumsum(new)
+    return out
+
+
 def repeated(text: np.ndarray, begin: np.ndarray, bucket: np.ndarray, place: np.ndarray, rank: np.ndarray) -> np.ndarray:
     """Which suffixes of a block repeat an earlier one of their bucket in LENGTH bytes.
 
     begin: where a suffix begins in `text`; place: its place in its document, which gives its residue
     modulo COVER; rank: its order by (doc_id, place)."""
-    sums = T.prefix_hashes(T.BYTE_CODES[text])
-    ends = T.span_hashes(sums, begin, begin + COVER) + T.mix(T.span_hashes(sums, begin + LENGTH - COVER, begin + LENGTH) + T.mix(bucket.view(np.uint64)))
-    _, group, count = np.unique(ends, return_inverse=True, return_counts=True)
+    middle = LENGTH - COVER
+    group = ranks(bucket, *byte_words(text, begin, COVER), *byte_words(text, begin + middle, COVER))
+    count = np.bincount(group)
     out = np.zeros(len(begin), bool)
     tie = np.flatnonzero(count[group] > 1)
     if not len(tie):
@@ -198,10 +221,9 @@ def repeated(text: np.ndarray, begin: np.ndarray, bucket: np.ndarray, place: np.
     # ranks of the middles at the positions of the cover that a tied suffix reaches
     offset = (COVER_SET - residue[:, None]) % COVER
     spot = begin[:, None] + offset
-    middle = LENGTH - COVER
     distinct, where = np.unique(spot, return_inverse=True)
-    _, ranks = np.unique(T.span_hashes(sums, distinct, distinct + middle), return_inverse=True)
-    key = (group[:, None].astype(np.uint64) * np.uint64(len(distinct)) + ranks[where.reshape(spot.shape)].astype(np.uint64)) * np.uint64(COVER) + offset.astype(np.uint64)
+    middles = ranks(*byte_words(text, distinct, middle))
+    key = (group[:, None] * len(distinct) + middles[where.reshape(spot.shape)]) * COVER + offset
     _, same = np.unique(key, return_inverse=True)
     same = same.reshape(spot.shape)
     first = np.full(same.max() + 1, np.iinfo(np.int64).max)
@@ -314,7 +336,7 @@ def _removed(group: pa.RecordBatch) -> pa.RecordBatch:
         kept.update(text[at:])
         out.append((len(text), gone, spans, kept.hexdigest()))
     columns = list(zip(*out, strict=True)) or [[]] * 4
-    return pa.record_batch({"doc_id": group.column("doc_id"), **{n: pa.array(c, t) for n, c, t in zip(("n_bytes", "n_removed", "n_spans", "kept_sha256"), columns, [pa.int64()] * 3 + [pa.string()], strict=True)}})
+    return pa.record_batch({"doc_id": group.column("own_id"), **{n: pa.array(c, t) for n, c, t in zip(("n_bytes", "n_removed", "n_spans", "kept_sha256"), columns, [pa.int64()] * 3 + [pa.string()], strict=True)}})
 
 
 def repeats(docs: DataFrame) -> DataFrame:
@@ -333,12 +355,22 @@ def repeats(docs: DataFrame) -> DataFrame:
     return settled.where("kind = 'run'").select("doc_id", "place", "size").unionByName(found)
 
 
+def in_order(docs: DataFrame) -> DataFrame:
+    """`docs` (doc_id, text) with the id as `own_id` and in `doc_id` a number of each row that orders them:
+    the id itself if every row has its own, else numbers given along one sort of the table."""
+    shared = docs.groupBy("doc_id").count().where("count > 1 or doc_id is null")
+    if shared.isEmpty():
+        return docs.select("doc_id", F.col("doc_id").alias("own_id"), "text")
+    # the last key tells only rows apart that are alike, so that a large group of them is spread
+    keyed = docs.withColumn("digest", F.sha2(F.coalesce("text", F.lit("")), 256)).withColumn("tie", F.monotonically_increasing_id())
+    ordered = keyed.orderBy(F.col("doc_id").asc_nulls_last(), "digest", "tie")
+    return cut_lineage(ordered.select(F.monotonically_increasing_id().alias("doc_id"), F.col("doc_id").alias("own_id"), "text"))
+
+
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """Every document's size, removed bytes and runs, and the SHA-256 of what stays."""
-    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    unclear = cut_lineage(docs.groupBy("doc_id").count().where("count > 1 or doc_id is null").select(F.col("doc_id").alias("unclear_id")))
-    judged = docs.join(unclear, F.col("doc_id").eqNullSafe(F.col("unclear_id")), "left_anti")
-    runs = repeats(judged).groupBy("doc_id").agg(F.collect_list(F.struct("place", "size")).alias("runs"))
+    docs = in_order(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")))
+    runs = repeats(docs).groupBy("doc_id").agg(F.collect_list(F.struct("place", "size")).alias("runs"))
     return B.over_groups(docs.join(runs, "doc_id", "left"), _removed, RESULT)
 
 

@@ -75,11 +75,25 @@ def test_suffix_dedup_equals_brute_force(docs, texts, hot, monkeypatch):
     assert got == removed(enumerate(texts))
 
 
-def test_suffix_dedup_leaves_unclear_ids_alone(spark):
+def test_suffix_dedup_of_rows_that_share_an_id(spark, texts):
     t = "abcdefghij" * 30
-    df = spark.createDataFrame([(1, t), (1, t), (None, t), (2, t)], "doc_id long, text string")
-    got = sorted(((r.doc_id or 0, r.n_removed) for r in suffix_dedup.remove_repeats(df).collect()))
-    assert got == [(0, 0), (1, 0), (1, 0), (2, 200 + 90)]
+    rows = [(1, t), (1, t), (None, t), (2, t), (None, None), (1, texts[0] + t), (3, texts[5]), (None, texts[5] * 3), (3, texts[5])]
+    rows += [(7, x) for x in texts] + [(None, x) for x in texts[:20]]
+    got = [tuple(r)[:5] for r in suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    rows.sort(key=lambda r: (r[0] is None, r[0] or 0, hashlib.sha256((r[1] or "").encode()).hexdigest()))
+    want = [(rows[k][0], *v) for k, v in removed((k, x) for k, (_, x) in enumerate(rows)).items()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_byte_words_order_like_bytes():
+    rng = np.random.default_rng(2)
+    text = rng.integers(0, 3, 400).astype(np.uint8) * 127
+    begin = np.concatenate([np.arange(360), [5, 5, 17]])
+    for n in (7, 8, 31, 40):
+        got = suffix_dedup.ranks(*suffix_dedup.byte_words(text, begin, n))
+        cut = [text[b : b + n].tobytes() for b in begin]
+        order = {x: k for k, x in enumerate(sorted(set(cut)))}
+        assert got.tolist() == [order[x] for x in cut]
 
 
 def test_segments_of_a_very_long_text_do_not_depend_on_pieces(monkeypatch):
