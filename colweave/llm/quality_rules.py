@@ -2,9 +2,12 @@
 in content lines decides whether a document stays.
 
 The CRF (two labels, `LINE_FEATURES` as emissions, label-pair transitions) is trained in numpy by
-forward-backward on a bounded sample of labelled documents: the lines of documents of quality 0
-count as boilerplate, those of quality 1 as content. Viterbi decoding then runs over all lines of
-all documents of a group at once, one line position at a time.
+forward-backward on a bounded sample of labelled documents. Labels are of documents, those of their
+lines are hidden: a first model without transitions takes every line by its document's label; then, in
+turns, the best label sequence that agrees with the document (at least `CONTENT_SHARE` of the words in
+content lines for quality 1, less for quality 0) is filled in, and the CRF is fitted on the sequences,
+so that boilerplate between content, and its transitions, are learned. Viterbi decoding then runs over
+all lines of all documents of a group at once, one line position at a time.
 
 Edge cases: null or empty text has no words, fails the base rule and is not kept; null ids stay
 null; repeated rows are judged alike, each on its own; extra columns are ignored; without labelled
@@ -28,6 +31,8 @@ FIT_DOCUMENTS = 4000
 FIT_LINES = 64
 MIN_WORDS = 50
 CONTENT_SHARE = 0.3
+#: Turns of filling in the labels of lines and fitting on them.
+TURNS = 3
 RESULT = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, n_lines long, n_content_words long"
 
 
@@ -44,27 +49,25 @@ class Crf:
         return cls(emit, np.zeros((2, 2)))
 
     @classmethod
-    def fit(cls, features: list[np.ndarray], labels: list[int], rounds: int = 120, rate: float = 0.15, decay: float = 1e-3) -> Crf:
-        """Adam on the mean log-likelihood of the label sequences. Each sequence is one document,
-        with one label for all its lines."""
+    def fit(cls, features: list[np.ndarray], labels: list, rounds: int = 120, rate: float = 0.15, decay: float = 1e-3, chain: bool = True) -> Crf:
+        """Adam on the mean log-likelihood of the label sequences: of each document one label for all
+        its lines, or one a line. Without `chain` lines stand alone."""
         model = cls(np.zeros((len(L.LINE_FEATURES), 2)), np.zeros((2, 2)))
         order = np.argsort([-len(f) for f in features], kind="stable")
         sizes = np.array([len(features[i]) for i in order])
-        truth = np.array([labels[i] for i in order])
+        truth = np.full((sizes.max(), len(sizes)), -1)
         x = np.zeros((sizes.max(), len(sizes), len(L.LINE_FEATURES)))
         for k, i in enumerate(order):
             x[: sizes[k], k] = features[i]
+            truth[: sizes[k], k] = labels[i]
         live = [int((sizes > t).sum()) for t in range(len(x))]
-        gold_emit = np.zeros_like(model.emit)
-        gold_move = np.zeros((2, 2))
-        for y in (0, 1):
-            gold_emit[:, y] = x[:, truth == y].sum((0, 1))
-            gold_move[y, y] = (sizes[truth == y] - 1).sum()
+        gold_emit = np.stack([x[truth == y].sum(0) for y in (0, 1)], axis=1)
+        gold_move = np.array([[((truth[:-1] == a) & (truth[1:] == b)).sum() for b in (0, 1)] for a in (0, 1)], float)
         total = sizes.sum()
         moments = [np.zeros(model.emit.size + 4), np.zeros(model.emit.size + 4)]
         for step in range(1, rounds + 1):
             emit, move = model._expected(x, live)
-            grad = np.concatenate([(gold_emit - emit).ravel(), (gold_move - move).ravel()]) / total
+            grad = np.concatenate([(gold_emit - emit).ravel(), chain * (gold_move - move).ravel()]) / total
             now = np.concatenate([model.emit.ravel(), model.move.ravel()])
             grad -= decay * now
             moments[0] = 0.9 * moments[0] + 0.1 * grad
@@ -73,6 +76,34 @@ class Crf:
             model = cls(now[:-4].reshape(model.emit.shape), now[-4:].reshape(2, 2))
         return model
 
+    @classmethod
+    def fit_documents(cls, features: list[np.ndarray], words: list[np.ndarray], labels: list[int], share: float = CONTENT_SHARE, turns: int = TURNS) -> Crf:
+        """A CRF from labels of whole documents, with the features and the words of their lines."""
+        model = cls.fit(features, labels, chain=False)
+        for _ in range(turns):
+            model = cls.fit(features, model.fill(features, words, labels, share))
+        return model
+
+    def fill(self, features: list[np.ndarray], words: list[np.ndarray], labels: list[int], share: float) -> list[np.ndarray]:
+        """The best labels of each document's lines whose share of words in content agrees with the
+        document's label. Where the free sequence does not agree, content is made dearer or cheaper by
+        the word, twice as much each time, until it does."""
+        bounds = np.cumsum([0, *map(len, words)])
+        size, whole = np.concatenate(words), np.array(labels)
+        line_row = T.rows_of(bounds)
+        total = T.sums_by_row(size, bounds)
+        relative = (size / np.maximum(total / np.maximum(np.diff(bounds), 1), 1)[line_row]) * np.where(whole > 0, 1, -1)[line_row]
+        rows, pull = np.concatenate(features), 0.25
+        out = self.decode(rows, bounds)
+        while len(wrong := np.flatnonzero((T.sums_by_row(size * out, bounds) >= share * total) != (whole > 0))):
+            again = self.decode(rows, bounds, relative * pull) if pull < 2**20 else whole[line_row].astype(np.int8)
+            change = np.isin(line_row, wrong)
+            out[change] = again[change]
+            if pull >= 2**20:
+                break
+            pull *= 2
+        return [out[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+
     def _expected(self, x: np.ndarray, live: list[int]) -> tuple[np.ndarray, np.ndarray]:
         """Expected feature and transition counts under the model, by forward-backward."""
         score = x @ self.emit
@@ -94,9 +125,12 @@ class Crf:
                 move += np.exp(pair - whole[:n, None, None]).sum(0)
         return emit, move
 
-    def decode(self, features: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        """Viterbi: the best label sequence of every row's lines; ties go to content."""
+    def decode(self, features: np.ndarray, bounds: np.ndarray, tilt: np.ndarray | None = None) -> np.ndarray:
+        """Viterbi: the best label sequence of every row's lines; ties go to content. `tilt` is added to
+        the score of content."""
         score = features @ self.emit
+        if tilt is not None:
+            score[:, CONTENT] += tilt
         sizes = np.diff(bounds)
         order = np.argsort(-sizes, kind="stable")
         start, sizes = bounds[:-1][order], sizes[order]
@@ -131,15 +165,18 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = FIT_DOCUMENTS) -> Crf:
         x = L.scan(*T.texts(group.column("text")))
         f = L.line_features(x).astype(np.float32)
         fits = (np.diff(x.lines) > 0) & (np.diff(x.lines) <= FIT_LINES)
-        rows = [f[a:b].tobytes() if ok else None for a, b, ok in zip(x.lines[:-1], x.lines[1:], fits, strict=True)]
-        return pa.record_batch({"quality": group.column("quality").cast(pa.int32()), "features": pa.array(rows, pa.binary())})
+        words = np.diff(x.line_words).astype(np.int32)
+        rows, sizes = ([v[a:b].tobytes() if ok else None for a, b, ok in zip(x.lines[:-1], x.lines[1:], fits, strict=True)] for v in (f, words))
+        return pa.record_batch({"quality": group.column("quality").cast(pa.int32()), "features": pa.array(rows, pa.binary()), "words": pa.array(sizes, pa.binary())})
 
-    rows = B.over_groups(known, lines, "quality int, features binary").where("features is not null").collect()
+    rows = B.over_groups(known, lines, "quality int, features binary, words binary").where("features is not null").collect()
     if not rows:
         return Crf.all_content()
     rows.sort(key=lambda r: (r.quality, bytes(r.features)))
     width = len(L.LINE_FEATURES)
-    return Crf.fit([np.frombuffer(r.features, np.float32).reshape(-1, width).astype(float) for r in rows], [int(r.quality > 0) for r in rows])
+    features = [np.frombuffer(r.features, np.float32).reshape(-1, width).astype(float) for r in rows]
+    words = [np.frombuffer(r.words, np.int32).astype(np.int64) for r in rows]
+    return Crf.fit_documents(features, words, [int(r.quality > 0) for r in rows])
 
 
 def judge(docs: DataFrame, model: Crf, share: float = CONTENT_SHARE) -> DataFrame:

@@ -536,3 +536,25 @@ def test_crf_decoding_equals_brute_force_and_training_helps():
     learned = quality_rules.Crf.fit(good + bad, [1] * 40 + [0] * 40)
     assert learned.decode(np.concatenate(good), np.arange(41) * 6).mean() > 0.95
     assert learned.decode(np.concatenate(bad), np.arange(41) * 6).mean() < 0.05
+
+
+def test_crf_finds_boilerplate_inside_documents_from_labels_of_documents():
+    rng = np.random.default_rng(9)
+    width = len(quality_rules.L.LINE_FEATURES)
+    centre = {1: np.full(width, 0.5), 0: np.full(width, -0.5)}
+
+    def document(good):
+        # good: content with a block of boilerplate at either end; bad: boilerplate with a line of content
+        truth = np.array([0, 0] + [1] * 8 + [0, 0] if good else [0, 0, 0, 1, 0, 0, 0])
+        words = np.where(truth, 10, 4) if good else np.full(7, 10)
+        return truth, words, np.array([rng.normal(centre[t], 0.5) for t in truth])
+
+    labels = [k % 2 for k in range(160)]
+    truth, words, features = zip(*map(document, labels), strict=True)
+    bounds = np.cumsum([0, *map(len, truth)])
+    model = quality_rules.Crf.fit_documents(features, words, labels)
+    whole = np.concatenate(truth)
+    assert (model.decode(np.concatenate(features), bounds) == whole).mean() > 0.97
+    assert model.move[0, 0] + model.move[1, 1] > model.move[0, 1] + model.move[1, 0]
+    for y, w, line in zip(labels, words, model.fill(features, words, [1 - y for y in labels], 0.3), strict=True):
+        assert (w @ line >= 0.3 * w.sum()) == (y == 0)
