@@ -26,10 +26,11 @@ _CLASS_C2 = np.full(256, PLAIN_ONLY, np.uint8)
 _CLASS_C2[[0xA1, 0xA7, 0xA9, 0xAB, 0xB0, 0xB7, 0xBB, 0xBF]] = OTHER
 #: The sign by which the vocabulary writes each byte: printable Latin-1 as it is, others from U+0100 on.
 _SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-BYTE_SIGNS = {b: 0x100 + i for i, b in enumerate(sorted({*range(256)} - {*_SHOWN}))}
+BYTE_SIGNS = np.arange(256, dtype="<u2")
+BYTE_SIGNS[sorted({*range(256)} - {*_SHOWN})] = np.arange(0x100, 0x200 - len(_SHOWN))
 #: Distinct pieces, and their bytes, that a worker remembers before the ones not met since are dropped.
-#: Twice as many are held at most, which is about 110 MB.
-MOST_PIECES, MOST_PIECE_BYTES = 250_000, 16 << 20
+#: Twice as many are held at most, which is about 70 MB.
+MOST_PIECES, MOST_PIECE_BYTES = 160_000, 16 << 20
 
 
 class Encoder:
@@ -49,16 +50,27 @@ class Encoder:
         self.before: dict[bytes, bytes] = {}
         self.held = 0
 
-    def _ids(self, piece: bytes) -> bytes:
-        """The ids of a piece that `known` does not have."""
-        ids = self.before.get(piece)
-        if ids is None:
-            ids = np.array([t.id for t in self.model.tokenize(piece.decode("latin-1").translate(BYTE_SIGNS))], np.int32).tobytes()
+    def _learn(self, pieces: list[bytes], got: list[bytes | None]) -> None:
+        """Fills in the ids of the pieces that have None, all signs written at once."""
+        new = [i for i, ids in enumerate(got) if ids is None]
+        signs = BYTE_SIGNS[np.frombuffer(b"".join([pieces[i] for i in new]), np.uint8)].tobytes().decode("utf-16-le")
+        tokenize, at, flat, ends = self.model.tokenize, 0, [], []
+        for i in new:
+            to = at + len(pieces[i])
+            flat += [t.id for t in tokenize(signs[at:to])]
+            ends.append(4 * len(flat))
+            at = to
+        raw, at = np.array(flat, np.int32).tobytes(), 0
+        for i, to in zip(new, ends, strict=True):
+            got[i] = raw[at:to]
+            self._remember(pieces[i], got[i])
+            at = to
+
+    def _remember(self, piece: bytes, ids: bytes) -> None:
         if len(self.known) >= MOST_PIECES or self.held > MOST_PIECE_BYTES:
             self.known, self.before, self.held = {}, self.known, 0
         self.known[piece] = ids
         self.held += len(piece) + len(ids)
-        return ids
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows and where each row's ids begin (one more than rows)."""
@@ -86,10 +98,14 @@ class Encoder:
     def _pieces(self, raw: bytes, data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
         found = T.cut_out(data, starts, ends).dictionary_encode()
         pieces, number = found.dictionary.to_pylist(), found.indices.to_numpy(zero_copy_only=False)
-        got = []
-        for piece in pieces:
-            ids = self.known.get(piece)
-            got.append(self._ids(piece) if ids is None else ids)
+        got = list(map(self.known.get, pieces))
+        if None in got:
+            if self.before:
+                for i, ids in enumerate(got):
+                    if ids is None and (ids := self.before.get(pieces[i])) is not None:
+                        got[i] = ids
+                        self._remember(pieces[i], ids)
+            self._learn(pieces, got)
         size = np.fromiter(map(len, got), np.int64, len(got)) // 4
         flat = np.frombuffer(b"".join(got), np.int32)
         begin = np.cumsum(size) - size

@@ -141,6 +141,7 @@ def write(docs: DataFrame, path: str, order: list[Column] | None = None, tokeniz
                     before += int(counts.sum())
         finally:
             encode.forget()  # the worker goes on to other stages
+            T.release()
 
     spread.mapInArrow(work, BLOCK).write.parquet(path)
 

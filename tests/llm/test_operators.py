@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from colweave.llm import decontaminate, language_id, lm_score, mixing, near_dups, quality_classifier, quality_rules
-from colweave.llm import set_join, suffix_dedup, textops, token_files, url_filter
+from colweave.llm import set_join, subwords, suffix_dedup, textops, token_files, url_filter
 from colweave.llm.subwords import Encoder
 
 P = pytest.importorskip("public_tokenizers")
@@ -444,6 +444,22 @@ def test_encoder_equals_the_library(texts):
     assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == [encode.tokenizer.encode(t, add_special_tokens=False).ids for t in made]
 
 
+def test_encoder_learns_the_pieces_of_a_column_at_once(monkeypatch):
+    encode = Encoder(P.path("byte_bpe_50k.json"))
+    groups = [["one two\n\nthree four", "é ñ two", "", "\tfive  six"], ["two seven", "one one"], ["eight é", "two"]]
+    for most in (1, 3, 1000):
+        monkeypatch.setattr("colweave.llm.subwords.MOST_PIECES", most)
+        encode.forget()
+        for group in groups:
+            pieces = textops.texts(pa.array(group))
+            ids, bounds = encode.encode(*pieces)
+            assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == [encode.tokenizer.encode(t, add_special_tokens=False).ids for t in group]
+            assert len(encode.known) <= most
+    got = [None]
+    encode._learn([bytes(range(256))], got)
+    assert got[0] == np.array([t.id for t in encode.model.tokenize("".join(map(chr, map(int, subwords.BYTE_SIGNS))))], np.int32).tobytes()
+
+
 def thue_morse(n):
     """A word of n letters and the same with the letters exchanged: a weak modulus takes them for equal."""
     word = "a"
