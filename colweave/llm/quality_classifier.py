@@ -2,35 +2,46 @@
 
 Features are shares and counts of words, lines and signs of the whole text, each also as steps, so
 that a linear score can bend. Every pair sets a document of quality 1 above one of quality 0; the
-loss is logistic on the difference of their features, so no absolute level is learned. The level
-comes from a quantile: with a share q of quality 0 among the labelled sample, its q-quantile of
-scores maps to CUT, and a logistic curve maps scores to 0..1.
+loss is logistic on the difference of their features, so no absolute level is learned. All labelled
+documents take part: they are dealt into blocks, pairs meet inside a block, and the weights are the means
+of those of the blocks by their documents. A kind that would be rare in a block stands in several. The level
+comes from a quantile: with a share q of quality 0 among all labelled documents, the exact q-quantile of
+their scores maps to CUT, and a logistic curve maps scores to 0..1.
 
 Edge cases: null and empty texts are scored by their zero counts; documents without a label are
-scored too; several labels of a document: the highest counts; null labels are ignored; without
+scored too; several labels of a document: the highest counts; several texts of an id: the least by its
+first LEAD characters, then by SHA-256, is learned from; null labels are ignored; without
 both kinds of label every score is 0.5; repeated rows score alike; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from colweave.llm import linefeatures as L
 from colweave.llm import tables as B
 from colweave.llm import textops as T
+from colweave.session import cut_lineage
 
-#: Labelled documents that the scores are fitted on, at most, and preference pairs drawn of them.
-FIT_DOCUMENTS = 10_000
+#: Labelled documents of a block, about, and preference pairs drawn of them.
+BLOCK_DOCUMENTS = 10_000
 FIT_PAIRS = 60_000
+#: Documents of either kind that a block has at least, if there are as many.
+LEAST_OF_KIND = 256
+#: Distinct scores that the driver ranks, and ranges that others are counted by.
+MOST_RANKED, RANGES = 50_000, 2048
+LEAD = 64
 CUT = 0.3
 STEPS = [0.02, 0.1, 0.25, 0.5, 0.75]
 
 
-def features(group: pa.RecordBatch) -> np.ndarray:
-    """A row of features for each text: means of line features by words, shares of the whole."""
+def levels(group: pa.RecordBatch) -> np.ndarray:
+    """A row for each text: means of line features by words, shares of the whole, and last the number of words."""
     x = L.scan(*T.texts(group.column("text")))
     lines = L.line_features(x)[:, 1:]
     weight = np.diff(x.line_words)[:, None]
@@ -42,10 +53,20 @@ def features(group: pa.RecordBatch) -> np.ndarray:
     distinct = np.bincount(x.word_row[first], minlength=x.n)
     n = np.diff(x.words)
     shares = [distinct / words[:, 0], T.sums_by_row(x.later_line, x.lines) / np.maximum(np.diff(x.lines), 1), np.minimum(np.log1p(n) / 10, 1), np.minimum(np.log1p(np.diff(x.lines)) / 8, 1)]
-    level = np.concatenate([mean, np.stack(shares, axis=1)], axis=1)
+    return np.concatenate([mean, np.stack([*shares, n], axis=1)], axis=1)
+
+
+def in_steps(level: np.ndarray) -> np.ndarray:
+    """The features of rows of `levels`: the levels themselves and each also as steps."""
+    level, n = level[:, :-1], level[:, -1]
     return np.concatenate([level, *[level > s for s in STEPS], np.stack([n < k for k in (10, 25, 50, 100)], axis=1)], axis=1).astype(np.float32)
 
 
+def features(group: pa.RecordBatch) -> np.ndarray:
+    """A row of features for each text."""
+    return in_steps(levels(group))
+
+
 class BradleyTerry:
     """score(x) = weights . x; `place` and `scale` set the curve to 0..1."""
 
@@ -75,32 +96,112 @@ class BradleyTerry:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def fit(docs: DataFrame, labels: DataFrame, most: int = FIT_DOCUMENTS) -> BradleyTerry:
-    """Scores learned from at most `most` of the given labelled documents."""
-    chosen = B.sample(labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.max("quality").cast("int").alias("quality")), most)
-    known = B.chosen_texts(docs, chosen)
+def described(docs: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Every document (key, held_out, text) with the levels of its text, and what texts of an id are ordered by."""
 
     def work(group: pa.RecordBatch) -> pa.RecordBatch:
-        return pa.record_batch({"quality": group.column("quality").cast(pa.int32()), "features": pa.array([f.tobytes() for f in features(group)], pa.binary())})
+        return pa.record_batch({**{c: group.column(c) for c in (key, "held_out", "lead", "digest")}, "levels": pa.array([a.tobytes() for a in levels(group)], pa.binary())})
+
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select(key, "held_out", "text", F.substring(text, 1, LEAD).alias("lead"), F.sha2(text, 256).alias("digest"))
+    return B.over_groups(rows, work, f"{key} long, held_out boolean, lead string, digest string, levels binary")
+
+
+def _features(column) -> np.ndarray:
+    """The features of stored levels."""
+    rows = column.to_pylist()
+    return in_steps(np.frombuffer(b"".join(rows), np.float64).reshape(len(rows), -1)) if rows else np.zeros((0, 1), np.float32)
+
+
+def fit(docs: DataFrame, labels: DataFrame, block: int = BLOCK_DOCUMENTS) -> BradleyTerry:
+    """Scores learned from all given labelled documents, in blocks of about `block`."""
+    return fit_described(described(docs.withColumn("held_out", F.lit(False))), labels, block)
+
 
-    rows = B.over_groups(known, work, "quality int, features binary").collect()
-    if not rows:
+def fit_described(rows: DataFrame, labels: DataFrame, block: int = BLOCK_DOCUMENTS) -> BradleyTerry:
+    """As `fit`, from rows of `described`."""
+    marks = labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.max("quality").cast("int").alias("quality"))
+    one = rows.where("doc_id is not null").groupBy("doc_id").agg(F.min(F.struct("lead", "digest", "levels")).alias("least"))
+    known = cut_lineage(one.join(marks, "doc_id").select("doc_id", "quality", F.col("least.levels").alias("levels")))
+    n, good, bad = (int(v or 0) for v in known.agg(F.count("*"), F.sum((F.col("quality") > 0).cast("long")), F.sum((F.col("quality") == 0).cast("long"))).first())
+    if not n:
         return BradleyTerry(np.zeros(1), 0.0, 0.0)
-    rows.sort(key=lambda r: (r.quality, bytes(r.features)))
-    return BradleyTerry.fit(np.stack([np.frombuffer(r.features, np.float32) for r in rows]).astype(float), np.array([r.quality for r in rows]))
+    blocks = -(-n // block)
+    copies = F.when(F.col("quality") > 0, _copies(good, blocks)).otherwise(_copies(bad, blocks))
+    dealt = known.withColumn("copy", F.explode(F.sequence(F.lit(0), copies - 1)))
+    dealt = dealt.select(F.pmod(F.xxhash64("doc_id", F.lit(17)) + F.col("copy"), F.lit(blocks)).alias("block"), "quality", "levels")
+
+    def learn(table: pa.Table) -> pa.Table:
+        x, y = _features(table.column("levels")), np.array(table.column("quality").to_pylist())
+        order = sorted(range(len(y)), key=lambda i: (y[i], x[i].tobytes()))
+        model = BradleyTerry.fit(x[order].astype(float), y[order])
+        return pa.table({"block": table.column("block").slice(0, 1), "n": pa.array([len(y) if model.scale else 0]), "place": pa.array([model.place]), "weights": pa.array([model.weights.tolist()], pa.list_(pa.float64()))})
+
+    # one row of weights a block
+    learned = dealt.groupBy("block").applyInArrow(learn, "block long, n long, place double, weights array<double>").collect()
+    parts = sorted((r for r in learned if r.n), key=lambda r: r.block)
+    if not parts:
+        return BradleyTerry(np.zeros(1), 0.0, 0.0)
+    weights = np.average([r.weights for r in parts], axis=0, weights=[r.n for r in parts])
+    if blocks == 1:
+        return BradleyTerry(weights, parts[0].place, 1.0)
+
+    def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.record_batch({"value": pa.array(_features(batch.column("levels")).astype(float) @ weights)})
+
+    scores = known.select("levels").mapInArrow(rate, "value double")
+    return BradleyTerry(weights, quantile(cut_lineage(scores.groupBy("value").agg(F.count("*").alias("n"))), bad / n), 1.0)
+
+
+def _copies(n: int, blocks: int) -> Column:
+    """In how many blocks a document of a kind with n documents stands."""
+    return F.lit(min(blocks, -(-blocks * LEAST_OF_KIND // n)) if n else 1)
+
+
+def quantile(counted: DataFrame, q: float) -> float:
+    """The exact q-quantile of values that are there n times (value, n), as numpy has it, without one task that
+    sorts them all: the range that holds the ranks is cut until the driver can rank what it has."""
+    total, low, high = counted.agg(F.sum("n"), F.min("value"), F.max("value")).first()
+    place = (total - 1) * q
+    first = int(place)
+    found = [_ranked(counted, rank, low, high) for rank in (first, min(first + 1, total - 1))]
+    return found[0] + (found[1] - found[0]) * (place - first)
+
+
+def _ranked(counted: DataFrame, rank: int, low: float, high: float) -> float:
+    """The value of a rank (from 0) among values from low to high."""
+    while True:
+        inside = counted.where(F.col("value").between(low, high))
+        if low == high or inside.count() <= MOST_RANKED:
+            break
+        number = F.least(F.floor((F.col("value") - low) / ((high - low) / RANGES)), F.lit(RANGES - 1)).alias("number")
+        for r in inside.groupBy(number).agg(F.sum("n").alias("n"), F.min("value").alias("low"), F.max("value").alias("high")).orderBy("number").collect():  # at most RANGES rows
+            if rank < r.n:
+                low, high = r.low, r.high
+                break
+            rank -= r.n
+    rows = sorted((r.value, r.n) for r in inside.collect())
+    return rows[int(np.searchsorted(np.cumsum([n for _, n in rows]), rank, "right"))][0]
 
 
 def score(docs: DataFrame, model: BradleyTerry, key: str = "doc_id") -> DataFrame:
     """Every document with its score and the verdict at CUT."""
+    return score_described(described(docs, key), model, key)
 
-    def work(group: pa.RecordBatch) -> pa.RecordBatch:
-        s = model.score(features(group).astype(float))
-        return pa.record_batch({key: group.column(key), "held_out": group.column("held_out"), "score": pa.array(s), "predicted": pa.array((s >= CUT).astype(np.int32))})
 
-    return B.over_groups(docs, work, f"{key} long, held_out boolean, score double, predicted int")
+def score_described(rows: DataFrame, model: BradleyTerry, key: str = "doc_id") -> DataFrame:
+    """As `score`, from rows of `described`."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            s = model.score(_features(batch.column("levels")).astype(float))
+            yield pa.record_batch({key: batch.column(key), "held_out": batch.column("held_out"), "score": pa.array(s), "predicted": pa.array((s >= CUT).astype(np.int32))})
+
+    return rows.select(key, "held_out", "levels").mapInArrow(work, f"{key} long, held_out boolean, score double, predicted int")
 
 
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = B.read(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    model = fit(docs, B.read(spark, sf_dir, "labels").where(B.remainder(5) != 0))
-    return score(docs.withColumn("held_out", B.remainder(5) == 0), model)
+    rows = cut_lineage(described(docs.withColumn("held_out", B.remainder(5) == 0)))  # read once, learned from and scored
+    return score_described(rows, fit_described(rows, B.read(spark, sf_dir, "labels").where(B.remainder(5) != 0)))
