@@ -9,9 +9,11 @@ all training documents. So the scores are logarithms of a proper probability ove
 
 Windows of WINDOW ids overlap: each scores its last STRIDE ids, so every id is scored once, with at
 least WINDOW - STRIDE ids of context where the text has them; what is before a text's start is
-masked. The layers begin with small steps of Adam on windows of at most FIT_DOCUMENTS training
-documents; then all windows of all training documents are read once, in ROUNDS parts, each of which
-gives one step from the sum of its gradients over all tasks. Counts cover all documents too.
+masked. All windows of all training documents are read once, in ROUNDS parts. In the first BEGUN of
+them the documents are dealt over learners: each takes small steps of Adam from the common layers on all
+windows of its documents, and their layers are averaged, weighted by the places they have seen. The
+other parts give one step each from the sum of their gradients over all tasks. Few documents are gone
+over several times by their learners. Counts cover all documents too.
 
 Word counts reach the texts by blocks of documents: each block's distinct words are joined with the
 counts and come back to the block. A frequent word is one row a block, and no task holds more than
@@ -41,11 +43,14 @@ VOCABULARY = 50_257
 CLASSES, SINGLE = 192, 160
 WINDOW, STRIDE = 48, 32
 WIDTH, HIDDEN = 16, 32
-FIT_DOCUMENTS, FIT_WINDOWS = 3000, 6
 FIT_STEPS, FIT_BATCH = 900, 96
-#: Steps over all training windows, in how many tasks each at least, and bytes of ids for one more.
-ROUNDS, ROUND_RATE = 24, 0.003
-ROUND_TASKS, ROUND_BYTES = 8, 4 << 20
+#: Parts of the training documents, and how many of them begin the layers by small steps of learners.
+ROUNDS, BEGUN = 24, 20
+FIT_RATE, ROUND_RATE = 0.01, 0.003
+#: Learners of a round: up to ROUND_TASKS if each gets LEARNER_BYTES of text, and one more for ROUND_BYTES.
+ROUND_TASKS, LEARNER_BYTES, ROUND_BYTES = 8, 64 << 10, 4 << 20
+#: Documents whose ids have fewer bytes than this together are gone over again, at most MOST_PASSES times.
+PASS_BYTES, MOST_PASSES = 16 << 20, 8
 #: Parts of the gradient that are summed apart.
 PARTS = 16
 SMOOTH = 0.1
@@ -82,8 +87,8 @@ class Words:
         return out, np.append(0, ends)[self.bounds]
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of words (kind 0) and of subword ids (kind 1) in a task's texts."""
+def _count(batches: Iterator[pa.RecordBatch], encode: bool = True) -> Iterator[pa.RecordBatch]:
+    """Counts of words (kind 0) and, if asked to `encode`, of subword ids (kind 1) in a task's texts."""
     index, counts = T.HashIndex(18), np.zeros(0, np.int64)
     keys: list[np.ndarray] = []
     ids = np.zeros(VOCABULARY, np.int64)
@@ -96,7 +101,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in T.groups(batch):
             words = Words(group.column("text"))
             ends += group.num_rows
-            ids += np.bincount(encoder(TOKENIZER).encode(*words.normal())[0], minlength=VOCABULARY)
+            if encode:
+                ids += np.bincount(encoder(TOKENIZER).encode(*words.normal())[0], minlength=VOCABULARY)
             number = index.find(words.hashes.view(np.uint64))
             new = np.unique(words.hashes[number < 0])
             if len(new):
@@ -117,9 +123,9 @@ def _counted(kind: int, keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
     return pa.record_batch({"kind": pa.array(np.full(len(keys), kind, np.int32)), "key": pa.array(keys), "n": pa.array(counts)})
 
 
-def counts(docs: DataFrame) -> DataFrame:
-    """(kind, key, n): counts of words and of subword ids over all given documents."""
-    found = docs.select("text").mapInArrow(_count, "kind int, key long, n long")
+def counts(docs: DataFrame, encode: bool = True) -> DataFrame:
+    """(kind, key, n): counts of words and, if asked to `encode`, of subword ids over all given documents."""
+    found = docs.select("text").mapInArrow(lambda batches: _count(batches, encode), "kind int, key long, n long")
     return found.groupBy("kind", "key").agg(F.sum("n").alias("n")).where("n > 0")
 
 
@@ -230,9 +236,13 @@ class Attention:
             here = int((y[k : k + most] >= -1).sum())
             grads = self._gradient(x[k : k + most], y[k : k + most])
             n += here
-            out += here * np.concatenate([grads[name].ravel() for name in self.p])
+            out += here * self.flat(grads)
         return n, out
 
+    def flat(self, layers: dict[str, np.ndarray]) -> np.ndarray:
+        """All layers in one array."""
+        return np.concatenate([layers[name].ravel() for name in self.p])
+
     def split(self, flat: np.ndarray) -> dict[str, np.ndarray]:
         """The layers of such an array."""
         cuts = np.cumsum([a.size for a in self.p.values()])[:-1]
@@ -289,83 +299,162 @@ class Attention:
         return out / np.log(10)
 
 
-def train(docs: DataFrame, counted: DataFrame, most: int = FIT_DOCUMENTS) -> Attention:
-    """Classes and shares from the counts of all training documents; layers first from at most `most`
-    of them, then from all."""
-    seen = np.zeros(VOCABULARY)
-    for r in counted.where("kind = 1").collect():  # at most the tokenizer's vocabulary
-        seen[r.key] = r.n
-    return fit_all(begin_layers(docs, Attention.begin(seen), most), docs)
+def train(docs: DataFrame, counted: DataFrame, begun: int = BEGUN) -> Attention:
+    """Classes and shares from the counts of all training documents, layers from all their windows: the
+    first `begun` rounds by learners, the others by summed gradients. The ids are counted as they are
+    stored, so `counted` may have words alone."""
+    stored = in_rounds(docs)
+    model = Attention.begin(id_counts(stored))
+    return fit_all(begin_layers(docs, model, begun, stored), docs, begun, stored)
 
 
-def begin_layers(docs: DataFrame, model: Attention, most: int = FIT_DOCUMENTS) -> Attention:
-    """The layers after small steps on some windows of at most `most` documents."""
-    chosen = B.sample(docs.where("text is not null and doc_id is not null").select("doc_id"), most).distinct()
-    known = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+def id_counts(stored: DataFrame) -> np.ndarray:
+    """How often each subword id is in the stored documents."""
 
-    def cut(group: pa.RecordBatch) -> pa.RecordBatch:
-        x, y, row = model.windows(*encoder(TOKENIZER).encode(*Words(group.column("text")).normal()))
-        many = np.bincount(row, minlength=group.num_rows)
-        first = np.cumsum(many) - many
-        picks = np.unique(np.concatenate([first + many * k // FIT_WINDOWS for k in range(FIT_WINDOWS)]))
-        return pa.record_batch({"x": pa.array([a.astype(np.int32).tobytes() for a in x[picks]], pa.binary()), "y": pa.array([a.astype(np.int32).tobytes() for a in y[picks]], pa.binary())})
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids = np.zeros(VOCABULARY, np.int64)
+        for batch in batches:
+            ids += np.bincount(np.frombuffer(T.texts(batch.column("ids"))[0].tobytes(), np.uint16), minlength=VOCABULARY)
+        yield _counted(1, np.flatnonzero(ids), ids[ids > 0])
 
-    rows = sorted((bytes(r.x), bytes(r.y)) for r in B.over_groups(known, cut, "x binary, y binary").collect())
-    if rows:
-        x, y = (np.stack([np.frombuffer(r[i], np.int32) for r in rows]).astype(np.int64) for i in (0, 1))
-        model.fit(x, y)
+    seen = np.zeros(VOCABULARY)
+    for r in stored.select("ids").mapInArrow(work, "kind int, key long, n long").groupBy("key").agg(F.sum("n").alias("n")).collect():  # at most the vocabulary
+        seen[r.key] = r.n
+    return seen
+
+
+class Learner:
+    """Layers and moments that go on by small steps on some documents."""
+
+    def __init__(self, model: Attention, moments: tuple[dict[str, np.ndarray], dict[str, np.ndarray]], step: int):
+        self.model = Attention(dict(model.p), model.kind, model.share, model.end_share)
+        self.moments, self.step, self.places = tuple(dict(m) for m in moments), step, 0
+        self.draw = np.random.default_rng(step)
+
+    def take(self, ids: np.ndarray, bounds: np.ndarray, rate: float, passes: int) -> None:
+        """Steps on all windows of the rows, `passes` times over."""
+        x, y, _ = self.model.windows(ids, bounds)
+        self.places += int((y >= -1).sum())
+        for _ in range(passes):
+            order = self.draw.permutation(len(x))
+            for k in range(0, len(order), FIT_BATCH):
+                self.step += 1
+                pick = order[k : k + FIT_BATCH]
+                self.model.step(self.model._gradient(x[pick], y[pick]), self.moments, self.step, rate)
+
+    def flat(self) -> np.ndarray:
+        """Layers, moments and the number of steps in one array."""
+        return np.concatenate([*(self.model.flat(a) for a in (self.model.p, *self.moments)), [self.step]]).astype(np.float64)
+
+
+def begin_layers(docs: DataFrame, model: Attention, rounds: int = BEGUN, stored: DataFrame | None = None) -> Attention:
+    """The layers after the learners' steps on all windows of the first rounds of documents (as `in_rounds` has
+    `stored` them)."""
+    stored = in_rounds(docs) if stored is None else stored
+    size = stored.agg(F.sum(F.octet_length("ids"))).first()[0] or 0
+    passes = min(MOST_PASSES, 1 + PASS_BYTES // size) if size else 1
+    moments, step = model.moments(), 0
+    for k in range(rounds):
+        n, total = learn(stored.where(F.col("round") == k), model, moments, step, FIT_RATE * (1 - k / ROUNDS), passes)
+        if n:
+            *layers, steps = np.split(total / n, [sum(a.size for a in model.p.values()) * i for i in (1, 2, 3)])
+            model.p, *moments = ({name: a.astype(np.float32) for name, a in model.split(part).items()} for part in layers)
+            step = round(float(steps[0]))
     return model
 
 
+def learn(rows: DataFrame, model: Attention, moments: tuple[dict[str, np.ndarray], dict[str, np.ndarray]], step: int, rate: float, passes: int) -> tuple[int, np.ndarray]:
+    """Places in all rows (ids, part), and the sum of what the learners of the parts end with, weighted by
+    their places. A part is one file."""
+    sent = rows.sparkSession.sparkContext.broadcast((model, moments))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, learner = None, None
+        for batch in batches:
+            parts = batch.column("part").to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(parts)) + 1), len(parts)]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                if a < b and part != parts[a]:
+                    if learner and learner.places:
+                        yield _parts_of(learner.places, learner.places * learner.flat())
+                    part, learner = parts[a], Learner(*sent.value, step)
+                for group in T.groups(batch.slice(a, b - a), "ids"):
+                    learner.take(*_ids(group), rate, passes)
+        if learner and learner.places:
+            yield _parts_of(learner.places, learner.places * learner.flat())
+
+    try:
+        return _summed(rows.select("ids", "part").mapInArrow(work, SUMS))
+    finally:
+        sent.unpersist()
+
+
 def _encode(group: pa.RecordBatch) -> pa.RecordBatch:
     ids, bounds = encoder(TOKENIZER).encode(*Words(group.column("text")).normal())
     ids = ids.astype(np.uint16)  # the vocabulary is smaller than 2**16
-    return pa.record_batch({"ids": pa.array([ids[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())})
+    return pa.record_batch({"doc_id": group.column("doc_id"), "ids": pa.array([ids[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())})
+
+
+def _ids(group: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and row bounds of stored rows."""
+    data, offsets = T.texts(group.column("ids"))
+    return np.frombuffer(data.tobytes(), np.uint16).astype(np.int64), offsets // 2
 
 
 def in_rounds(docs: DataFrame) -> DataFrame:
-    """The ids of all documents, each in one round, written so that a round reads its own files."""
+    """The ids of all documents, each in one round and one part of it, in one file a part and in an order that
+    depends on ids and texts alone."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    tasks = ROUND_TASKS + size // (ROUNDS * ROUND_BYTES)
-    rows = B.over_groups(docs.select("text"), _encode, "ids binary").withColumn("h", F.xxhash64("ids"))
-    rows = rows.select("ids", F.pmod("h", F.lit(ROUNDS)).cast("int").alias("round"), F.pmod(F.xxhash64("h", F.monotonically_increasing_id()), F.lit(tasks)).alias("part"))
+    tasks = min(ROUND_TASKS, 1 + size // (ROUNDS * LEARNER_BYTES)) + size // (ROUNDS * ROUND_BYTES)
+    keyed = docs.select(F.coalesce("doc_id", F.monotonically_increasing_id()).alias("doc_id"), "text")  # rows without an id are spread too
+    rows = B.over_groups(keyed, _encode, "doc_id long, ids binary").withColumn("h", F.xxhash64("doc_id", "ids"))
+    rows = rows.select("ids", "h", F.pmod("h", F.lit(ROUNDS)).cast("int").alias("round"), F.pmod(F.xxhash64("h"), F.lit(tasks)).alias("part"))
     path = fresh_path(docs.sparkSession, "rounds")
-    rows.repartition("round", "part").write.partitionBy("round", "part").parquet(path)
+    rows.repartition("round", "part").sortWithinPartitions("round", "part", "h", "ids").drop("h").write.partitionBy("round", "part").parquet(path)
     return docs.sparkSession.read.schema("ids binary, round int, part long").parquet(path)
 
 
+SUMS = "part int, n long, sums binary"
+
+
+def _parts_of(n: int, total: np.ndarray) -> pa.RecordBatch:
+    parts = [a.tobytes() for a in np.array_split(total, PARTS)]
+    return pa.record_batch({"part": pa.array(range(PARTS), pa.int32()), "n": pa.array([n] * PARTS, pa.int64()), "sums": pa.array(parts, pa.binary())})
+
+
 def _sum(table: pa.Table) -> pa.Table:
     total = sum(np.frombuffer(v, np.float64) for v in sorted(table.column("sums").to_pylist()))
     return pa.table({"part": table.column("part").slice(0, 1), "n": pa.array([sum(table.column("n").to_pylist())], pa.int64()), "sums": pa.array([total.tobytes()], pa.binary())})
 
 
+def _summed(found: DataFrame) -> tuple[int, np.ndarray]:
+    """The sums over all tasks of what `_parts_of` sent, 0 and an empty array if nothing was."""
+    rows = sorted(found.groupBy("part").applyInArrow(_sum, SUMS).collect(), key=lambda r: r.part)  # at most PARTS rows
+    return (rows[0].n if rows else 0), np.concatenate([np.zeros(0), *(np.frombuffer(r.sums, np.float64) for r in rows)])
+
+
 def gradient(rows: DataFrame, model: Attention) -> tuple[int, np.ndarray]:
     """`gradient_sum` over all rows (ids)."""
     sent = rows.sparkSession.sparkContext.broadcast(model)
-    schema = "part int, n long, sums binary"
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, total = 0, None
         for batch in batches:
             for group in T.groups(batch, "ids"):
-                data, offsets = T.texts(group.column("ids"))
-                here, sums = sent.value.gradient_sum(np.frombuffer(data.tobytes(), np.uint16).astype(np.int64), offsets // 2)
+                here, sums = sent.value.gradient_sum(*_ids(group))
                 n, total = n + here, sums if total is None else total + sums
         if n:
-            parts = [a.tobytes() for a in np.array_split(total, PARTS)]
-            yield pa.record_batch({"part": pa.array(range(PARTS), pa.int32()), "n": pa.array([n] * PARTS, pa.int64()), "sums": pa.array(parts, pa.binary())})
+            yield _parts_of(n, total)
 
-    found = rows.select("ids").mapInArrow(work, schema).groupBy("part").applyInArrow(_sum, schema).orderBy("part").collect()  # at most PARTS rows
+    n, total = _summed(rows.select("ids").mapInArrow(work, SUMS))
     sent.unpersist()
-    if not found:
-        return 0, np.zeros(sum(a.size for a in model.p.values()))
-    return found[0].n, np.concatenate([np.frombuffer(r.sums, np.float64) for r in found])
+    return n, total if n else np.zeros(sum(a.size for a in model.p.values()))
 
 
-def fit_all(model: Attention, docs: DataFrame) -> Attention:
-    """The layers after one step for each round of all documents."""
-    stored, moments, step = in_rounds(docs), model.moments(), 0
-    for k in range(ROUNDS):
+def fit_all(model: Attention, docs: DataFrame, begun: int = 0, stored: DataFrame | None = None) -> Attention:
+    """The layers after one step for each round of all documents but the first `begun` ones."""
+    stored, moments, step = in_rounds(docs) if stored is None else stored, model.moments(), 0
+    for k in range(begun, ROUNDS):
         n, total = gradient(stored.where(F.col("round") == k), model)
         if n:
             step += 1
@@ -414,5 +503,5 @@ def score(docs: DataFrame, model: Attention, counted: DataFrame) -> DataFrame:
 def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = B.read(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), (B.remainder(10) == 0).alias("held_out"))
     training = docs.where(~F.col("held_out"))
-    counted = cut_lineage(counts(training))
+    counted = cut_lineage(counts(training, encode=False))
     return score(docs, train(training, counted), counted)

@@ -263,6 +263,20 @@ def test_lm_layers_learn_from_every_window(spark, docs, texts):
     assert lm_score.train(training, counted, 1).score(ids, bounds).sum() > first.score(ids, bounds).sum()
 
 
+def test_lm_layers_begin_from_all_documents(spark, docs, texts, monkeypatch):
+    monkeypatch.setattr(lm_score.B, "sample", lambda *a: pytest.fail("a sample is drawn"))
+    training = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    ids, _ = lm_score.encoder(lm_score.TOKENIZER).encode(*lm_score.Words(pa.array([t or "" for t in texts])).normal())
+    stored = lm_score.in_rounds(training)
+    counted = lm_score.id_counts(stored)
+    assert counted.tolist() == np.bincount(ids, minlength=lm_score.VOCABULARY).tolist()
+    model = lm_score.Attention.begin(counted)
+    seen = [lm_score.learn(stored.where(F.col("round") == k), model, model.moments(), 0, 0.01, 1)[0] for k in range(lm_score.ROUNDS)]
+    assert sum(seen) == len(ids) + len(texts)
+    begun = lm_score.begin_layers(training, lm_score.Attention.begin(counted), lm_score.ROUNDS, stored)
+    assert begun.score(ids, np.array([0, len(ids)])).sum() > model.score(ids, np.array([0, len(ids)])).sum()
+
+
 def test_attention_gradient_and_lookup():
     rng = np.random.default_rng(0)
     model = lm_score.Attention.begin(np.ones(lm_score.VOCABULARY))
@@ -300,6 +314,28 @@ def test_quality_scores_separate_and_cover_edges(spark, docs, labels, none):
     assert quality_classifier.score(docs.withColumn("held_out", F.lit(False)).select("doc_id", "text", "held_out"), model).count() == docs.count()
 
 
+def test_quality_learns_from_all_labelled_documents(spark):
+    rng = np.random.default_rng(6)
+    rare = {40, 150, 260}
+    rows = [(i, "lo " * 60 if i in rare else sentence(rng, 60) + ".") for i in range(400)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame([(i, int(i not in rare)) for i in range(400)], "doc_id long, quality int")
+    model = quality_classifier.fit(table, marks, 20)
+    got = quality_classifier.score(table.withColumn("held_out", F.lit(True)), model).collect()
+    low = max(r.score for r in got if r.doc_id in rare)
+    assert low < min(r.score for r in got if r.doc_id not in rare)
+
+
+def test_quantile_is_exact(spark, monkeypatch):
+    monkeypatch.setattr(quality_classifier, "MOST_RANKED", 5)
+    monkeypatch.setattr(quality_classifier, "RANGES", 4)
+    rng = np.random.default_rng(8)
+    values = np.concatenate([rng.normal(0, 1, 300), np.full(200, 0.25), [1e6, -1e6]])
+    counted = spark.createDataFrame([(float(v),) for v in values], "value double").groupBy("value").agg(F.count("*").alias("n")).cache()
+    for q in (0.0, 0.2, 0.5, 0.61, 1.0):
+        assert quality_classifier.quantile(counted, q) == pytest.approx(float(np.quantile(values, q)), abs=1e-12)
+
+
 def jaccard(a, b):
     def shingles(t):
         w = WORD.findall((t or "").lower())
