@@ -39,13 +39,13 @@ def read_state(spark: SparkSession, path: str, run_id: str | None = None) -> Dat
 def state_changes(current: DataFrame, earlier: DataFrame) -> DataFrame:
     """Per node of either side: added, removed, changed or same. The run is that of the current side,
     null for a removed node. Several earlier runs of a node: it is the same if one of them is."""
-    side = lambda df, name: df.select(*NODE, F.col("run_id").alias(f"{name}_run"), F.struct("state_1", "state_2").alias(name))
-    before = side(earlier, "before").groupBy(*NODE).agg(F.collect_set("before").alias("before"))
-    both = side(current, "now").join(before, NODE, "full")
-    change = (
-        F.when(F.col("now").isNull(), "removed").when(F.col("before").isNull(), "added")
-        .when(F.array_contains("before", F.col("now")), "same").otherwise("changed")
-    )
+    states = ["state_1", "state_2"]
+    now = current.select(*NODE, F.col("run_id").alias("now_run"), *[F.col(c).alias(f"now_{c}") for c in states], F.lit(True).alias("is_now"))
+    before = earlier.select(*NODE, *states, F.lit(True).alias("was"))
+    # a row for each pair of states, folded to one a node by plain flags: no task holds the states of a node as a set
+    same = F.max(F.struct(*states).eqNullSafe(F.struct(*[F.col(f"now_{c}") for c in states])) & F.col("was").isNotNull())
+    both = now.join(before, NODE, "full").groupBy(*NODE, "now_run", "now_state_1", "now_state_2", "is_now").agg(F.max("was").alias("was"), same.alias("same"))
+    change = F.when(F.col("is_now").isNull(), "removed").when(F.col("was").isNull(), "added").when(F.col("same"), "same").otherwise("changed")
     return both.select("project", F.col("now_run").alias("run_id"), "node_id", change.alias("change"))
 
 

@@ -252,3 +252,14 @@ def test_a_batch_worked_again_replaces_its_own_rows(spark, tmp_path):
     runs.put_unseen(frame([]), 2, path, "s")
     assert unseen(spark, path) == first + [("b", "z")]
     assert {(r.stream, r.batch) for r in runs.read_unseen(spark, path).collect()} == {("s", 0), ("s", 1)}
+
+
+def test_state_changes_hold_no_sets_of_states(spark):
+    frame = lambda rows: spark.createDataFrame(rows, "project string, run_id string, node_id string, state_1 long, state_2 long")
+    now = frame([("p", "n", "a", 1, 1), ("p", "n", "b", 2, 2), ("p", "n", "c", 3, 3), ("p", "m", "a", 9, 9), (None, None, "d", 1, 1)])
+    earlier = frame([("p", "x", "a", 5, 5), ("p", "y", "a", 1, 1), ("p", "y", "a", 1, 1), ("p", "x", "b", 2, 3), ("p", "x", "gone", 1, 1), ("p", "y", "gone", 2, 1), (None, None, "d", 1, 1)])
+    found = state.state_changes(now, earlier)
+    assert "collect_set" not in found._jdf.queryExecution().toString()
+    assert sorted(map(str, (tuple(r) for r in found.collect()))) == sorted(map(str, [
+        ("p", "n", "a", "same"), ("p", "n", "b", "changed"), ("p", "n", "c", "added"), ("p", "m", "a", "changed"),
+        ("p", None, "gone", "removed"), (None, None, "d", "added"), (None, None, "d", "removed")]))
