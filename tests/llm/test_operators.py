@@ -5,6 +5,7 @@ import hashlib
 import itertools
 import math
 import re
+import tracemalloc
 import zlib
 
 import duckdb
@@ -496,6 +497,24 @@ def test_encoder_learns_the_pieces_of_a_column_at_once(monkeypatch):
     assert got[0] == np.array([t.id for t in encode.model.tokenize("".join(map(chr, map(int, subwords.BYTE_SIGNS))))], np.int32).tobytes()
 
 
+def test_spans_side_by_side_are_cut_out_without_a_number_for_each_byte():
+    data = np.frombuffer(b"0123456789" * 100_000, np.uint8)
+    cuts = np.concatenate([[3, 3], np.arange(7, len(data), 1000)])
+    tracemalloc.start()
+    found = textops.cut_out(data, cuts[:-1], cuts[1:])
+    assert tracemalloc.get_traced_memory()[1] < 2 * len(data)
+    tracemalloc.stop()
+    assert found.to_pylist() == [data[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    assert textops.cut_out(data, np.array([4, 2]), np.array([6, 2])).to_pylist() == [b"45", b""]
+
+
+def test_a_worker_keeps_no_powers_after_a_task():
+    assert textops.powers(3).tolist() == [1, textops.BASE, textops.BASE**2 % 2**64]
+    textops.release()
+    assert not textops._powers
+    assert textops.powers(2).tolist() == [1, textops.BASE]
+
+
 def thue_morse(n):
     """A word of n letters and the same with the letters exchanged: a weak modulus takes them for equal."""
     word = "a"
