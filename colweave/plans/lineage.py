@@ -119,7 +119,8 @@ def render_table(
     lineage: Lineage, children: DataFrame, meta: DataFrame, generator: str, backend: Mapping[str, str], cache_stats: DataFrame | None = None
 ) -> DataFrame:
     """Rows of a document table, one document per node."""
-    return emit.document_rows(*_rendered(lineage, children, meta, generator, backend, cache_stats))
+    docs, headers = _rendered(lineage, children, meta, generator, backend, cache_stats)
+    return emit.document_rows(cut_lineage(docs), cut_lineage(headers))  # read twice there
 
 
 def document_stats(doc: LineageTables) -> DataFrame:
